@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,10 @@ HEADER = 32
 CACHE_WORDS = 300_000
 
 
+#: Letters whose case and composition any Unicode library treats alike, then signs that start no contraction or special token.
+_LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!\"#$%&()*,./:;=?@^_`{}~-]*)")
+
+
 class MinimalPerfectHash:
     """Levels of bit sets: a key rests on the first level where no other key falls on its bit; its slot is the rank of that bit."""
 
@@ -159,21 +165,43 @@ class WordEncoder:
         self.number = {"": 0}
         self.start, self.length, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32), 0
 
-    def _add(self, words: list[str]) -> None:
+    def _put(self, words: list[str], lengths: np.ndarray, flat: np.ndarray) -> None:
+        n, total = len(self.number), self.used + len(flat)
+        while len(self.start) < n + len(words):
+            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+        while len(self.ids) < total:
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.start[n : n + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.length[n : n + len(words)] = lengths
+        self.ids[self.used : total] = flat
+        self.used = total
+        self.number.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def _ask(self, words: list[str]) -> None:
+        """Ids of pieces that the cache doesn't have, by the tokenizer."""
         for lo in range(0, len(words), 20_000):
             got = [e.ids for e in self.tokenizer.encode_batch(words[lo : lo + 20_000], add_special_tokens=False)]
             lengths = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((x for ids in got for x in ids), np.uint32, int(lengths.sum()))
-            n, total = len(self.number), self.used + len(flat)
-            while len(self.start) < n + len(got):
-                self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
-            while len(self.ids) < total:
-                self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.start[n : n + len(got)] = self.used + np.cumsum(lengths) - lengths
-            self.length[n : n + len(got)] = lengths
-            self.ids[self.used : total] = flat
-            self.used = total
-            self.number.update(zip(words[lo : lo + 20_000], range(n, n + len(got)), strict=True))
+            self._put(words[lo : lo + 20_000], lengths, np.array(list(chain.from_iterable(got)), np.uint32))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of cache entries end to end, their running lengths from 0)."""
+        length = self.length[at]
+        total = np.concatenate([[0], np.cumsum(length)])
+        return self.ids[np.arange(total[-1]) + np.repeat(self.start[at] - total[:-1], length)], total
+
+    def _add(self, words: list[str]) -> None:
+        """The pre-tokenizer parts a run of letters from a run of signs, and the normaliser lower-cases, so a piece of letters and closing
+        signs has the ids of its lower-cased letters and those of the signs; only other pieces are asked for whole."""
+        simple = [(w, m[1].lower(), m[2]) for w in words if (m := _LETTERS.fullmatch(w))]
+        rest = set(words).difference(w for w, _, _ in simple)
+        rest.update(part for _, core, signs in simple for part in (core, signs) if part not in self.number)
+        self._ask(list(rest))
+        simple = [x for x in simple if x[0] not in self.number]
+        if simple:
+            at = np.array([(self.number[core], self.number[signs]) for _, core, signs in simple])
+            flat, total = self._gather(at.ravel())
+            self._put([w for w, _, _ in simple], np.diff(total[::2]), flat)
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, each followed by end_id; ids per text)."""
@@ -184,9 +212,7 @@ class WordEncoder:
         if fresh := list(set(words).difference(self.number)):
             self._add(fresh)
         at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        length = self.length[at]
-        total = np.concatenate([[0], np.cumsum(length)])
-        ids = self.ids[np.arange(total[-1]) + np.repeat(self.start[at] - total[:-1], length)]
+        ids, total = self._gather(at)
         borders = total[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
         return np.insert(ids, borders, np.uint32(end_id)), np.diff(borders, prepend=0) + 1
 

@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 from poiforge.llm.common import new_path
 from poiforge.llm.token_files import MinimalPerfectHash, Shard, WordEncoder, default_tokenizer, read_ids, write_ids
 
-TEXTS = ["Hello, World!\nit's a  test", "", None, "x́ Σας\tΣ\u00a0b <|endoftext|> c", "a\r\n b 12 3", "Ünïcödé " * 50]
+TEXTS = ["Hello, World!\nit's a  test", "", None, "x́ Σας\tΣ\u00a0b <|endoftext|> c", "a\r\n b 12 3", "Ünïcödé " * 50, "ÀÉ, it's THE... ok?! don't-x don\u2019t (a) a- \u00df\u1e9e, \u0130x. X!"]
 
 
 def whole(text):
