@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 _QUERIES = {
     "op1_substring_dedup": "substring_dedup",
     "op2_url_filters": "url_filters",
+    "op3_decontaminate": "decontaminate",
     "op6_minhash_dedup": "minhash_dedup",
+    "op7_ann": "ann",
     "op8_language_id": "language_id",
     "op9_pii": "pii",
     "op10_token_files": "token_files",
