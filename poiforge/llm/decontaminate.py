@@ -119,25 +119,30 @@ def hit_words(found: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("seen", "start")))).cast("long").alias("n_hit"))
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted array of item ids as strings) of every row."""
+def occurrences(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, start, window, size of every occurrence; the windows)."""
     docs = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     tests = stored(windows(benchmark.select(F.col(item).alias("item_id"), F.col(text).alias("text")), width), "tests")
     index = build_index(docs, stored(tests.select("term").distinct(), "vocabulary"))
     ranked = rarest(tests, index)
-    found = stored(phrases(index, ranked), "found")
+    return stored(phrases(index, ranked), "found"), tests
+
+
+def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
+    """doc_id, n_words, n_hit, items (sorted array of item ids as strings) of every row."""
+    found, tests = occurrences(documents, benchmark, width, key, item, text)
     owner = tests.select("window", "item_id").distinct()
     items = found.select("doc_id", "window").distinct().join(broadcast_if_small(owner), "window").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
     items = items.groupBy("doc_id").agg(F.sort_array(F.collect_list("item")).alias("items"))  # as long as the benchmark at most
-    base = docs.where("doc_id IS NOT NULL").select("doc_id", n_words(F.col("text")).alias("n_words"))
+    base = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), n_words(F.col(text)).alias("n_words"))
     out = base.join(hit_words(found), "doc_id", "left").join(items, "doc_id", "left")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of `docs` without any hit, all columns kept; rows with a null key stay."""
-    bad = decontaminate(docs, benchmark, key=key).where("n_hit > 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[key] == bad["__bad"], "left_anti")
+    bad = stored(occurrences(docs, benchmark, key=key)[0].select(F.col("doc_id").alias("__bad")).distinct(), "bad")
+    return docs.join(broadcast_if_small(bad), docs[key] == bad["__bad"], "left_anti")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,9 +200,10 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` whose key is its component's smallest, all columns kept."""
-    kept = near_duplicates(docs, words, percent, key).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs[key] == kept["__kept"], "left_semi")
+    """The rows of `docs` without those whose component has a smaller key; all columns and rows with a null key stay."""
+    gone = near_duplicates(docs, words, percent, key).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    gone = stored(gone, "gone")
+    return docs.join(broadcast_if_small(gone), docs[key] == gone["__gone"], "left_anti")
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

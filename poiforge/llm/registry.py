@@ -11,6 +11,8 @@ _QUERIES = {
     "op1_substring_dedup": "substring_dedup",
     "op2_url_filters": "url_filters",
     "op3_decontaminate": "decontaminate",
+    "op4_piece_sampling": "piece_sampling",
+    "op5_suffix_dedup": "suffix_dedup",
     "op6_minhash_dedup": "minhash_dedup",
     "op7_ann": "ann",
     "op8_language_id": "language_id",
@@ -20,7 +22,8 @@ _QUERIES = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: getattr(import_module(f"poiforge.llm.{module}"), name) for name, module in _QUERIES.items()}
+    found = {name: getattr(import_module(f"poiforge.llm.{module}"), name) for name, module in _QUERIES.items()}
+    return found | {"pipeline": import_module("corpus_pipeline").run}
 
 
 def oracle_sql() -> dict[str, str]:
