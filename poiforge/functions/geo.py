@@ -91,20 +91,23 @@ def ring_centroid(ring: Column) -> Column:
 def clip_ring(ring: Column, xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
     """Sutherland-Hodgman against a box, one side after the other; the result is closed (empty where nothing is left)."""
 
+    none = F.array().cast("array<struct<x:double,y:double>>")
+    let = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))  # noqa: E731  names a value, so that it isn't written out again and again
+
     def side(points: Column, key: str, other: str, bound: float, sign: int) -> Column:
         keep = lambda p: (p[key] - bound) * sign >= 0
 
-        def step(i: Column) -> Column:
-            a, b = F.element_at(points, i), F.element_at(points, i + 1)
+        def cut(a: Column, b: Column) -> Column:
             t = (F.lit(bound) - a[key]) / (b[key] - a[key])
-            cut = {key: F.lit(bound), other: a[other] + t * (b[other] - a[other])}
-            hit = F.struct(cut["x"].cast("double").alias("x"), cut["y"].cast("double").alias("y"))
-            none = F.array().cast("array<struct<x:double,y:double>>")
+            at = {key: F.lit(float(bound)), other: a[other] + t * (b[other] - a[other])}
+            hit = F.struct(at["x"].cast("double").alias("x"), at["y"].cast("double").alias("y"))
             return F.when(keep(a) & keep(b), F.array(b)).when(keep(a), F.array(hit)).when(keep(b), F.array(hit, b)).otherwise(none)
 
-        out = F.flatten(F.transform(F.sequence(F.lit(1), F.size(points) - 1), step))
-        out = F.when(F.size(points) > 1, out).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
-        return F.when(F.size(out) > 0, F.concat(out, F.array(F.element_at(out, 1)))).otherwise(out)
+        def clip(p: Column) -> Column:
+            pairs = F.arrays_zip(F.slice(p, 1, F.size(p) - 1).alias("a"), F.slice(p, 2, F.size(p) - 1).alias("b"))
+            return F.when(F.size(p) > 1, F.flatten(F.transform(pairs, lambda q: cut(q["a"], q["b"])))).otherwise(none)
+
+        return let(let(points, clip), lambda p: F.when(F.size(p) > 0, F.concat(p, F.slice(p, 1, 1))).otherwise(p))
 
     out = side(ring, "x", "y", xmin, 1)
     out = side(out, "x", "y", xmax, -1)

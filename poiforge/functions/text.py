@@ -67,7 +67,7 @@ def token_set(a: str, b: str) -> float:
 
 
 def jaro_winkler_similarity(a: str, b: str) -> float:
-    """Jaro, raised by a common prefix of up to 4 characters with weight 0.1 where it exceeds 0.7; 0 for two empty strings."""
+    """Over characters (some databases compare bytes). Jaro, raised by a common prefix of up to 4 characters with weight 0.1 where it exceeds 0.7; 0 for two empty strings."""
     if not a or not b:
         return 0.0
     reach = max(max(len(a), len(b)) // 2 - 1, 0)
