@@ -90,7 +90,8 @@ class CrossParser:
             self.roots.append(at * self.width)
             at += len(steps)
         # a state is kept as the place where its row starts in the flat table; -1: no such phrase
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        self.table = np.concatenate([*tables, np.full((1, self.width), -1, np.int32)]).ravel()
+        self.dead = np.int32(at * self.width)  # the last row: the next character begins a phrase
         self.roots = np.array(self.roots, np.int32)
         self.lookup: np.ndarray | None = None
 
@@ -132,8 +133,8 @@ class CrossParser:
         length = np.minimum(BLOCK, size[lane_owner] - nth * BLOCK)
         order = np.argsort(-length, kind="stable")
         lo, length, lane_owner = lo[order], length[order], lane_owner[order]
-        state = np.broadcast_to(self.roots, (len(lo), k)).copy()
-        lane_count = np.ones((len(lo), k), np.int32)
+        state = np.full((len(lo), k), self.dead)
+        lane_count = np.zeros((len(lo), k), np.int32)
         alive = np.searchsorted(-length, -np.arange(int(length[0])), "left")  # lanes longer than i come first
         for i in range(int(length[0])):
             m = alive[i]
@@ -142,7 +143,7 @@ class CrossParser:
             lost = to < 0
             lane_count[:m] += lost
             again = self.table[self.roots + c]
-            state[:m] = np.where(lost, np.where(again < 0, self.roots, again), to)
+            state[:m] = np.where(lost, np.where(again < 0, self.dead, again), to)
         np.add.at(count, lane_owner, lane_count)
         return count, np.maximum(size - 1, 0)  # without the closing border
 
