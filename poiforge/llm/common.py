@@ -46,7 +46,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if a count of the (stored) table stays under the bound; else Spark shuffles both sides."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def string_parts(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
