@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from poiforge.functions import geo, score, text
 from poiforge.operators import fuzzy, quality, resolve, spatial, tags
-from poiforge.plans import conflation
+from poiforge.plans import conflation, gold
 from poiforge.sources import readers
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -582,6 +582,63 @@ def union_by_name(spark, sf):
     return resolve.append(a, read(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("key"), F.col("p_name").alias("name"))).select("key", "name", "brand")
 
 
+@query("""WITH p AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'epa_frs' WHEN 1 THEN 'epa+osm' END AS prov, CASE p_partkey % 5 WHEN 0 THEN 445110 WHEN 1 THEN 493120 WHEN 2 THEN 1 ELSE 2 END::VARCHAR AS n, p_partkey % 7 = 0 AS s FROM part)
+SELECT p_partkey, CASE WHEN n = '493120' OR s THEN 'warehouse_distribution' ELSE 'retail_store' END AS subtype FROM p WHERE prov IS NOT NULL AND (n IN ('445110', '493120') OR s)""")
+def gold_food(spark, sf):
+    k = F.col("p_partkey")
+    code = F.when(k % 5 == 0, "1 | 445110").when(k % 5 == 1, "493120").when(k % 5 == 2, "1").otherwise("2")
+    rows = read(spark, sf, "part").select("p_partkey", k.cast("string").alias("lifeline_id"), F.lit("x").alias("display_name"), F.when(k % 3 == 0, "epa_frs").when(k % 3 == 1, "epa+osm").alias("source_provenance"), code.alias("naics_codes"), F.when(k % 7 == 0, "5411,9").alias("sic_codes"))
+    return gold.food_table(rows, ["445110", "493120"], ["493120"], ["5411"]).select("p_partkey", F.col("food_facility_subtype").alias("subtype"))
+
+
+@query(f"""WITH {_CS}, d AS (SELECT s_suppkey, c_custkey, {MERC.format(a='s', b='c')} AS d FROM c, s), m AS (SELECT * FROM d WHERE d <= 2000 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY d, c_custkey) = 1)
+SELECT s.s_suppkey, coalesce(c_custkey, -1) AS osm, CASE WHEN c_custkey IS NULL THEN 0.85 ELSE 1.0 END::DOUBLE AS score FROM s LEFT JOIN m USING (s_suppkey)""")
+def gold_authority(spark, sf):
+    c, s = _sides(spark, sf)
+    out = gold.authority_layer(s, c.withColumnRenamed("c_custkey", "lifeline_id"), "ports", "s_suppkey", None, "ports", 2000.0)
+    return out.select("s_suppkey", F.coalesce("osm_lifeline_id", F.lit(-1)).alias("osm"), F.col("confidence_score").alias("score"))
+
+
+@query("SELECT c_custkey::VARCHAR AS ID, c_name AS NAME, CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 50 ELSE 7 END AS BEDS, CASE WHEN c_custkey % 3 = 0 THEN 'I' ELSE 'II' END AS TRAUMA, 'USA' AS COUNTRY, 32 AS columns FROM customer WHERE c_custkey % 2 = 1 OR c_custkey % 50 > 0")
+def gold_hospital_table(spark, sf):
+    k = F.col("c_custkey")
+    rows = read(spark, sf, "customer").where("c_custkey % 2 = 1 OR c_custkey % 50 > 0").select(k.cast("string").alias("lifeline_id"), F.col("c_name").alias("display_name"), F.when(k % 2 == 0, k % 50).otherwise(0).alias("cms_bed_cnt"), F.lit("7").alias("beds"), F.when(k % 3 == 0, "I").otherwise(" ").alias("acs_trauma_level"), F.lit("II").alias("hifld_trauma"))
+    out = gold.hospital_table(rows)
+    return out.select("ID", "NAME", "BEDS", "TRAUMA", "COUNTRY", F.lit(len(out.columns)).alias("columns"))
+
+
+@query("""WITH l AS (SELECT p_partkey AS l, p_name AS n, p_brand AS b, p_size::VARCHAR AS z FROM part WHERE p_partkey % 2 = 0), r AS (SELECT p_partkey AS r, p_name AS n, p_brand AS b, p_size::VARCHAR AS z FROM part WHERE p_partkey % 2 = 1 AND p_partkey % 3 = 0),
+t1 AS (SELECT l, min(r) AS r FROM l JOIN r USING (b, z, n) GROUP BY l), l2 AS (SELECT * FROM l WHERE (b, z) NOT IN (SELECT (b, z) FROM r)), r2 AS (SELECT * FROM r WHERE r NOT IN (SELECT r FROM t1)),
+t2 AS (SELECT l, min(r) AS r FROM l2 JOIN r2 USING (b, n) GROUP BY l) SELECT l, r, 'state_zip5' AS method FROM t1 UNION ALL SELECT l, r, 'state' FROM t2""")
+def hospital_attribute_cascade(spark, sf):
+    p = read(spark, sf, "part").select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("state"), F.col("p_size").cast("string").alias("zip5"), F.lit("").alias("city"))
+    left, right = p.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "lifeline_id"), p.where("p_partkey % 2 = 1 AND p_partkey % 3 = 0").withColumnRenamed("p_partkey", "authority_id")
+    found = gold.hospital_attributes(left, right, 1.0)
+    return found.select(F.col("lifeline_id").alias("l"), F.col("authority_id").alias("r"), "method")
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'foreign' WHEN p_partkey % 5 = 0 THEN 'bad_address' WHEN p_partkey % 11 = 0 THEN 'error' WHEN p_size < 10 THEN 'no_match' WHEN p_size < 40 THEN 'score_reject' ELSE 'ok' END AS status FROM part")
+def geocode_status(spark, sf):
+    k = F.col("p_partkey")
+    status = fuzzy.geocode_status(F.when(k % 7 == 0, "DE").otherwise("PR"), F.when(k % 5 == 0, "").otherwise("1"), F.lit("00731"), F.when(k % 11 == 0, "timeout"), F.when(F.col("p_size") >= 10, F.col("p_size") / 50.0))
+    return read(spark, sf, "part").select("p_partkey", status.alias("status"))
+
+
+@query(f"WITH {_CS}, e AS (SELECT c_custkey, s_suppkey, {HAV.format(a='c', b='s')} AS d, c.lon AS x, s.lon AS y FROM c JOIN s ON c_custkey % 10 = s_suppkey) SELECT c_custkey, round(CASE WHEN d <= 20000 THEN y ELSE x END, 4) AS lon FROM e")
+def displacement_split(spark, sf):
+    c, s = _sides(spark, sf)
+    rows = c.join(s.select("s_suppkey", F.col("lon").alias("x"), F.col("lat").alias("y")), c["c_custkey"] % 10 == F.col("s_suppkey"))
+    at = resolve.displaced(F.col("lon"), F.col("lat"), F.col("x"), F.col("y"), 20000.0)[0]
+    return rows.select("c_custkey", F.round(at, 4).alias("lon"))
+
+
+@query("SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    from poiforge.streaming import events
+
+    return events.windowed_counts(read(spark, sf, "events")).select("start", "event_type", "n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, (f, _) in QUERIES.items()}
 

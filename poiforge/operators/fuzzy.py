@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poiforge.functions import text
+from poiforge.operators.lineage import cut
 
 
 def reachable(a: Column, b: Column, threshold: float) -> Column:
@@ -70,6 +71,7 @@ def cascade(places: DataFrame, providers: DataFrame, tiers: list[Tier], place_id
     out = None
     for step in tiers:
         found = best_per(step.match(places, providers), place_id, *(order() if order else [F.desc("score")]), F.asc(provider_id)).select(place_id, provider_id, "score", F.lit(step.name).alias("method"))
+        found = cut(found)  # later tiers read it several times
         done = found.select(place_id)
         if step.stop_on_candidate is not None:
             done = done.unionByName(step.stop_on_candidate(places, providers).select(place_id))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poiforge.functions import geo, text
+from poiforge.operators.lineage import cut
 from poiforge.operators.spatial import nearest_join, radius_join
 
 
@@ -35,28 +36,18 @@ def suppress_near(rows: DataFrame, key: str, score: str = "confidence_score", ra
     pairs = radius_join(ranked, ranked.select(F.col(key).alias("_other"), "lon", "lat"), radius, key, "_other", metric).where(F.col(key) != F.col("_other"))
     orders = ranked.select(F.col(key).alias("_k"), "_o")
     edges = pairs.join(orders, pairs[key] == orders["_k"]).drop("_k").join(orders.select(F.col("_k").alias("_j"), F.col("_o").alias("_p")), F.col("_other") == F.col("_j")).where("_p < _o").select(F.col(key).alias("worse"), F.col("_other").alias("better"))
-    edges = _cut(edges)
+    edges = cut(edges)
     dropped = spark.createDataFrame([], edges.select("worse").schema)
     while not edges.isEmpty():
         winners = edges.select(F.col("better").alias("worse")).distinct().join(edges.select("worse").distinct(), "worse", "left_anti")
         losers = edges.join(winners.select(F.col("worse").alias("better")), "better", "left_semi").select("worse").distinct()
-        losers = _cut(losers)
+        losers = cut(losers)
         dropped = dropped.unionByName(losers)
         # pairs with a decided row are settled: losers no longer drop others
-        edges = _cut(edges.join(losers, "worse", "left_anti").join(losers.select(F.col("worse").alias("better")), "better", "left_anti"))
+        edges = cut(edges.join(losers, "worse", "left_anti").join(losers.select(F.col("worse").alias("better")), "better", "left_anti"))
     return rows.join(dropped.select(F.col("worse").alias(key)), key, "left_anti")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a loop by a reliable checkpoint."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="poiforge-"))
-    return df.checkpoint()
-
-
 def merge_nodes(buildings: DataFrame, nodes: DataFrame, key: str, name: str = "display_name", radius: float = 50.0, threshold: float = 0.85) -> DataFrame:
     """Rows without the nodes that repeat a building: the nearest node of a building within the radius, if their names agree (raw
     token-sort ratio, or a name is missing). The node's values fill the building's gaps; geometry and ids stay. The nearest node is
