@@ -40,7 +40,7 @@ from poiforge.llm.common import blocks, mix64, new_path, stored, table
 MAGIC = b"PFIDS001"
 HEADER = 32
 #: Entries of the word -> ids cache of a Python worker; it is emptied when full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 
 
 #: Letters whose case and composition any Unicode library treats alike, then signs that start no contraction or special token.
