@@ -31,9 +31,9 @@ from poiforge.llm.common import stored, table
 TOP = 20
 #: Vectors that the lists are fit on, vectors per list that are aimed at, and lists at most.
 SAMPLE, LIST, MOST_LISTS = 20_000, 256, 4_000
-REPLICAS, CLOSURE = 4, 1.15
+REPLICAS, CLOSURE = 4, 1.05
 #: Distance ratio up to which a query reads lists, lists at least, and the width of the graph search.
-RATIO, LEAST_LISTS, BEAM = 1.35, 24, 128
+RATIO, LEAST_LISTS, BEAM = 1.12, 24, 128
 DEGREE = 24
 BLOCK, CHUNK = 4_096, 4_096
 
