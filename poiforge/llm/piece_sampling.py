@@ -37,6 +37,9 @@ SAMPLES = 2
 ZIPF, SHARPNESS = 10.0, 1.0
 BLANK = 0x2581
 MOST = 16  # characters of the longest piece
+ROWS = 1 << 16  # arc rows that are looked at together
+#: Bytes of text that are sampled together; they set a worker's memory (about 100 times as much).
+TEXT = 1 << 20
 _POW = Powers(0x8CB92BA72F3D8DD7)
 _PHI = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 1 << 20
@@ -106,7 +109,7 @@ def prefix_hash(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Lattice:
-    """Distinct words of a block: piece ids per place and length, and running sums of the arcs' conditional weights."""
+    """Distinct words of a block: piece ids and conditional probabilities of the arcs, per place and length."""
 
     def __init__(self, pieces: Pieces, points: np.ndarray, start: np.ndarray, size: np.ndarray):
         """points: all characters; start, size: words, which have no blank but at their beginning."""
@@ -119,7 +122,7 @@ class Lattice:
         own = np.repeat(lo - self.begin, n) + np.arange(int(n.sum()))
         self.points = points[own]
         left = np.repeat(self.begin + n, n) - np.arange(len(own))
-        self.ids = np.full((len(own), MOST), -1, np.int32)
+        self.ids = np.full((len(own), MOST), -1, np.int16 if pieces.none < 2**15 else np.int32)
         for length in range(1, min(MOST, int(n.max(initial=0))) + 1):
             at = np.flatnonzero(left >= length)
             i = own[at]
@@ -130,7 +133,6 @@ class Lattice:
         weight = pieces.weight.copy()
         weight[pieces.byte[:128]] = weight[pieces.none]
         self.prob = np.zeros((len(own), MOST), np.float32)
-        self.running = np.ones((len(own), MOST), np.float32)
         # backward sums scaled by a constant per character, which cancels; words that leave the range are done again by logarithms
         with np.errstate(under="ignore", over="ignore", invalid="ignore", divide="ignore"):
             sums = self._backward(weight, self.begin + n, n, np.argsort(-n, kind="stable"), False)
@@ -164,7 +166,6 @@ class Lattice:
                 beta[at] = total
             x /= total[:, None]
             self.prob[at, :k] = x
-            self.running[at, :k] = np.cumsum(x, axis=1)
         first = np.zeros(len(end))
         first[order] = beta[(end - n)[order]]
         return first
@@ -178,9 +179,8 @@ class Lattice:
         logs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         while len(active):
             p, s = place[active], step[active]
-            row = self.running[p]
             u = uniform(noise[active] + s.astype(np.uint64) * _PHI)
-            arc = (row <= u.astype(np.float32)[:, None]).sum(1)
+            arc = np.concatenate([(np.cumsum(self.prob[p[i : i + ROWS]], axis=1) <= u[i : i + ROWS].astype(np.float32)[:, None]).sum(1) for i in range(0, len(p), ROWS)])
             if (bad := np.flatnonzero((arc >= MOST) | (self.prob[p, np.minimum(arc, MOST - 1)] == 0))).size:  # rounding: the likeliest
                 arc[bad] = self.prob[p[bad]].argmax(1)
             logs.append((active, p, arc, s))
@@ -198,10 +198,12 @@ class Lattice:
         """Of the arcs taken, and of all other arcs together."""
         p = self.prob[place, arc].astype(np.float64)
         rest = 1 - p
-        near = np.flatnonzero(p > 0.99)
-        row = self.prob[place[near]].astype(np.float64)
-        row[np.arange(len(near)), arc[near]] = 0
-        rest[near] = row.sum(1)
+        near = np.flatnonzero(p > 0.9999)
+        for i in range(0, len(near), ROWS):
+            some = near[i : i + ROWS]
+            row = self.prob[place[some]].astype(np.float64)
+            row[np.arange(len(some)), arc[some]] = 0
+            rest[some] = row.sum(1)
         with np.errstate(divide="ignore"):
             return np.log(p), np.log(rest)
 
@@ -340,7 +342,7 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
     for t, mine_ in enumerate(found):
         mine = []
         for p in mine_:
-            ids = lattice.ids[p.place, p.arc]
+            ids = lattice.ids[p.place, p.arc].astype(np.int32)
             if (ids == pieces.none).any():
                 ids = _with_bytes(pieces, ids, lattice.points[p.place])
             mine.append((ids, p.log_p, log_inclusion(p.log_p, float(kappa[t]))))
@@ -395,7 +397,7 @@ def encode(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = vocabulary(path)
         for batch in batches:
-            for part in blocks(batch, "_text", 3 << 19):
+            for part in blocks(batch, "_text", TEXT):
                 found = sample_block(p, part.column(2).to_pylist(), np.asarray(part.column(1)), samples)
                 at = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 rows = [r for f in found for r in f]
@@ -414,7 +416,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = vocabulary(path)
         for batch in batches:
-            for part in blocks(batch, "ids", 1 << 21):
+            for part in blocks(batch, "ids", TEXT):
                 texts = decode_block(p, [np.frombuffer(x, "<u4").astype(np.int64) for x in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(texts, pa.string()), *part.columns[at + 1 :]], names=[n if n != "ids" else "text" for n in names])
 
