@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
@@ -44,9 +44,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if a count of the (stored) table stays under the bound; else Spark shuffles both sides."""
-    return F.broadcast(df) if df.count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, items: Column | None = None) -> DataFrame:
+    """Hint a broadcast only if a count of the (stored) table stays under the bound, and that of its list items (if it has lists) under
+    twenty times that; else Spark shuffles both sides."""
+    n, listed = df.agg(F.count(F.lit(1)), F.lit(0) if items is None else F.sum(items)).first()
+    return F.broadcast(df) if n <= rows and (listed or 0) <= 20 * rows else df
 
 
 def string_parts(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

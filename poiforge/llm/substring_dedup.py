@@ -121,7 +121,7 @@ def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width
     found = stored(_anchor_rows(docs, width), "anchors")
     several = stored(found.groupBy("anchor").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select("anchor"), "shared")
     marks = found.join(several, "anchor").groupBy("doc_id", "tid").agg(F.collect_set("pos").alias("at"))
-    marks = broadcast_if_small(stored(marks.join(copies, ["doc_id", "tid"], "left_anti"), "marks"))
+    marks = broadcast_if_small(stored(marks.join(copies, ["doc_id", "tid"], "left_anti"), "marks"), items=F.size("at"))
     windows = stored(_window_rows(docs.join(marks, ["doc_id", "tid"]).select("doc_id", "tid", "text", "at"), width), "windows")
     first = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").select("h", "h2", "least")
     again = windows.join(stored(first, "first"), ["h", "h2"]).where("doc_id > least")

@@ -2,9 +2,9 @@
 
 Sharding. Every window of `width` bytes has an anchor, the leftmost smallest hash among its substrings of `ANCHOR` bytes; equal
 windows have equal anchors at the same offset. Anchors are counted over all texts, and only runs of windows whose anchor
-occurs twice go on. A run (the windows of one anchor occurrence) is stored with its bytes, and equal runs are counted by a 128-bit
-hash: a run that occurs twice is repeated as a whole. What is left, one copy of every distinct run of anchors with several
-of them, is sharded by anchor, so that equal windows meet in one shard.
+occurs twice go on. Equal runs (a run: the windows of one anchor occurrence) are counted by a 128-bit hash: a run that occurs twice is
+repeated as a whole. What is left, one copy of every distinct run of anchors with several of them, is cut out of the texts and sharded
+by anchor, so that equal windows meet in one shard.
 
 Sorting. A shard's runs are laid end to end and their suffixes sorted by induction (see induced_sort: S* substrings, recursion on
 names, two sweeps with queues that go to disk); neighbours with a common prefix of `width` bytes are repeated. An anchor with more than
@@ -81,7 +81,7 @@ def _anchor_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
 
 
 def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
-    """docs: tid, text, at (places of shared anchors). A row per run of windows of one shared anchor occurrence."""
+    """docs: tid, text, at (places of shared anchors). A row per run of windows of one shared anchor occurrence, with the hash of its bytes."""
     many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,19 +89,20 @@ def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
             for part in blocks(batch, "text", BLOCK):
                 flat, at, _ = string_parts(part.column(1))
                 gram, smallest, inside = anchors(flat, at, width, size)
-                place = chosen(gram, smallest, inside, many)
-                starts = np.flatnonzero(inside)
-                if not len(starts) or not len(place):
+                marks = part.column(2)
+                place = np.asarray(marks.flatten()).astype(np.int64) + np.repeat(at[:-1], np.asarray(marks.value_lengths()))
+                place.sort()
+                shared = np.full(len(gram), _TOP)
+                shared[place] = gram[place]
+                if not len(smallest):
                     continue
-                # the leftmost place from the window's start on that has its smallest hash
-                own = np.searchsorted(place, starts)
+                starts = np.flatnonzero(inside & (sliding(shared, many, np.minimum) == smallest) & (smallest < _TOP))
+                # the leftmost place from the window's start on that has its smallest hash; equal hashes of a text are all shared
+                before = np.zeros(len(gram) + 1, np.int64)
+                np.cumsum(shared < _TOP, out=before[1:])
+                own = before[starts]
                 while len(wrong := np.flatnonzero(gram[place[own]] != smallest[starts])):
                     own[wrong] += 1
-                marks = part.column(2)
-                shared = np.zeros(len(gram), bool)
-                shared[np.asarray(marks.flatten()).astype(np.int64) + np.repeat(at[:-1], np.asarray(marks.value_lengths()))] = True
-                open_ = shared[place[own]]
-                starts, own = starts[open_], own[open_]
                 fresh = np.ones(len(starts), bool)
                 fresh[1:] = own[1:] != own[:-1]
                 first = np.flatnonzero(fresh)
@@ -116,14 +117,28 @@ def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
                     np.cumsum(_BYTE[flat] * up[: len(flat)], out=total[1:])
                     hashes.append(mix64((total[lo + length] - total[lo]) * down[lo] + length.astype(np.uint64)))
                 text = np.searchsorted(at, lo, "right") - 1
-                raw = flat.tobytes()
-                for k in range(0, len(lo), 5000):
-                    s = slice(k, k + 5000)
-                    body = [raw[a : a + b] for a, b in zip(lo[s].tolist(), length[s].tolist(), strict=True)]
-                    cols = (np.asarray(part.column(0))[text[s]], i64(gram[place[own[first[s]]]]), i64(hashes[0][s]), i64(hashes[1][s]), (lo - at[text])[s].astype(np.int32), count[s].astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(body, pa.binary())], names=["tid", "anchor", "h1", "h2", "start", "windows", "body"])
+                cols = (np.asarray(part.column(0))[text], i64(gram[place[own[first]]]), i64(hashes[0]), i64(hashes[1]), (lo - at[text]).astype(np.int32), count.astype(np.int32))
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["tid", "anchor", "h1", "h2", "start", "windows"])
+
+    return docs.mapInArrow(run, "tid long, anchor long, h1 long, h2 long, start int, windows int")
+
+
+def _body_rows(docs: DataFrame, width: int) -> DataFrame:
+    """docs: tid, text, runs (anchor, start, windows, lone). A row per run, with its bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "text", BLOCK):
+                rows = []
+                for tid, text, runs in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    data = text.encode()
+                    rows += [(r["anchor"], tid, r["start"], r["lone"], data[r["start"] : r["start"] + r["windows"] + width - 1]) for r in runs]
+                for k in range(0, len(rows), 10_000):
+                    cols = zip(*rows[k : k + 10_000], strict=True)
+                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["anchor", "tid", "start", "lone", "body"])
 
-    return docs.mapInArrow(run, "tid long, anchor long, h1 long, h2 long, start int, windows int, body binary")
+    return docs.mapInArrow(run, "anchor long, tid long, start int, lone boolean, body binary")
 
 
 def _sorted_rows(runs: DataFrame, width: int) -> DataFrame:
@@ -156,7 +171,7 @@ def _sorted_rows(runs: DataFrame, width: int) -> DataFrame:
         if held and (out := flush(held)):
             yield out
 
-    return runs.select("anchor", "tid", "start", "lone", "body").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "tid long, a int, b int")
+    return runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "tid long, a int, b int")
 
 
 def _counted_rows(runs: DataFrame, width: int) -> DataFrame:
@@ -185,20 +200,30 @@ def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width
     found = stored(_anchor_rows(docs.select("tid", "text"), width, size), "anchors")
     several = stored(found.groupBy("anchor").agg(F.min("tid").alias("x"), F.max("tid").alias("y"), F.bool_or("twice").alias("z")).where("x <> y OR z").select("anchor"), "shared")
     marks = found.join(several, "anchor").groupBy("tid").agg(F.collect_set("pos").alias("at"))
-    marks = broadcast_if_small(stored(marks.join(copies, "tid").select(F.col("tid").alias("t"), "rep", "at"), "marks"))
-    picked = docs.join(marks, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("tid", "text", "at")
+
+    def pick(lists: DataFrame, column: str) -> DataFrame:
+        """tid, text and the list, for the row that stands for the text."""
+        lists = stored(lists.join(copies, "tid").select(F.col("tid").alias("t"), "rep", column), column)
+        lists = broadcast_if_small(lists, items=F.size(column))
+        return docs.join(lists, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("tid", "text", column)
+
+    picked = pick(marks, "at")
     runs = stored(_run_rows(picked, width, size), "runs")
     # repeated rows give equal rows here, so a run is counted by its distinct (text, place); "lone" runs have one
-    named = runs.select("anchor", "h1", "h2", "tid", "start").distinct()
-    named = stored(named.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.min("tid").alias("tid"), F.min("start").alias("start")), "named")
+    named = runs.select("anchor", "h1", "h2", "tid", "start", "windows").distinct()
+    named = stored(named.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("tid", "start")).alias("p"), F.min("windows").alias("windows")), "named")
     multiple = stored(named.where("n > 1").select("anchor", "h1", "h2"), "multiple")
     full = runs.join(multiple, ["anchor", "h1", "h2"]).select("tid", F.col("start").alias("a"), (F.col("start") + F.col("windows")).alias("b")).distinct()
     groups = stored(named.groupBy("anchor").agg(F.count("*").alias("k"), F.max((F.col("n") == 1).cast("int")).alias("open")).where("k > 1 AND open = 1").select("anchor", "k"), "groups")
-    bodies = runs.select("anchor", "tid", "start", "body").join(named.join(groups, "anchor").select("anchor", "tid", "start", (F.col("n") == 1).alias("lone"), "k"), ["anchor", "tid", "start"]).dropDuplicates(["anchor", "tid", "start"])
-    bodies = stored(bodies, "bodies")
-    spans = full.unionByName(_sorted_rows(bodies.where(F.col("k") <= crowd), width))
-    if not bodies.where(F.col("k") > crowd).isEmpty():
-        spans = spans.unionByName(_counted_rows(bodies.where(F.col("k") > crowd), width))
+    wanted = stored(named.join(groups, "anchor").select("anchor", "p.tid", "p.start", "windows", (F.col("n") == 1).alias("lone"), "k"), "wanted")
+
+    def bodies(rows: DataFrame) -> DataFrame:
+        # as many runs as a text has
+        return _body_rows(pick(rows.groupBy("tid").agg(F.collect_list(F.struct("anchor", "start", "windows", "lone")).alias("runs")), "runs"), width)
+
+    spans = full.unionByName(_sorted_rows(bodies(wanted.where(F.col("k") <= crowd)), width))
+    if not groups.where(F.col("k") > crowd).isEmpty():
+        spans = spans.unionByName(_counted_rows(bodies(wanted.where(F.col("k") > crowd)), width))
     # neighbouring starts merge before they are gathered per text
     before = Window.partitionBy("tid").orderBy("a", "b")
     rows = spans.withColumn("seen", F.max("b").over(before.rowsBetween(Window.unboundedPreceding, -1)))
