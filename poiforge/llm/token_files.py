@@ -158,9 +158,19 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
+        # lower-case letters need no normaliser or pre-tokenizer: the model itself takes them, as byte characters, if it agrees on a sample
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.byte_character = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+        sample = ["a", "zebra", "word", "\u00e9t\u00e9", "stra\u00dfe", "\u00fc\u00ed\u00f1", "thntblere"]
+        self.direct = [self._by_model(w) for w in sample] == [e.ids for e in self.tokenizer.encode_batch(sample, add_special_tokens=False)]
         self._reset()
 
+    def _by_model(self, word: str) -> list[int]:
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_character)
+        return [t.id for t in self.model.tokenize(text)]
+
     def _reset(self) -> None:
         self.number = {"": 0}
         self.start, self.length, self.ids, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32), 0
@@ -177,10 +187,11 @@ class WordEncoder:
         self.used = total
         self.number.update(zip(words, range(n, n + len(words)), strict=True))
 
-    def _ask(self, words: list[str]) -> None:
-        """Ids of pieces that the cache doesn't have, by the tokenizer."""
+    def _ask(self, words: list[str], letters: bool = False) -> None:
+        """Ids of pieces that the cache doesn't have, by the tokenizer (lower-case letters: by its model)."""
         for lo in range(0, len(words), 20_000):
-            got = [e.ids for e in self.tokenizer.encode_batch(words[lo : lo + 20_000], add_special_tokens=False)]
+            part = words[lo : lo + 20_000]
+            got = [self._by_model(w) for w in part] if letters and self.direct else [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
             lengths = np.fromiter(map(len, got), np.int64, len(got))
             self._put(words[lo : lo + 20_000], lengths, np.array(list(chain.from_iterable(got)), np.uint32))
 
@@ -195,8 +206,10 @@ class WordEncoder:
         signs has the ids of its lower-cased letters and those of the signs; only other pieces are asked for whole."""
         simple = [(w, m[1].lower(), m[2]) for w in words if (m := _LETTERS.fullmatch(w))]
         rest = set(words).difference(w for w, _, _ in simple)
-        rest.update(part for _, core, signs in simple for part in (core, signs) if part not in self.number)
-        self._ask(list(rest))
+        cores = {core for _, core, _ in simple if core not in self.number}
+        rest.update(signs for _, _, signs in simple if signs not in self.number)
+        self._ask(list(rest - cores))
+        self._ask(list(cores), letters=True)
         simple = [x for x in simple if x[0] not in self.number]
         if simple:
             at = np.array([(self.number[core], self.number[signs]) for _, core, signs in simple])
