@@ -5,13 +5,13 @@ fewer). Each of the permutations (odd multiplications modulo 2**64) gives two si
 half as many hashes are evaluated as with minima only. Bands of `ROWS` values put documents into buckets; with 28 bands of 4 values a
 pair of similarity 0.85 is missed in one of a billion cases, one of 0.8 in four of a million.
 
-Documents with equal sets count as one (the smallest key stands for them). Buckets don't emit all pairs: every member is
-compared with its bucket's leader, components are formed, and then only members of different components of one bucket
-are compared further: first with other leaders, then, for what still spans components, exactly. A pair is a link
-if the exact integer test on the full sets holds, so no link between documents of a bucket is lost.
-
-Confirming streams texts grouped by leader; the members of a leader are dealt over as many groups as they need, each with a copy of the
-leader. Components come from the large-star / small-star iteration over stored edge tables.
+Documents with equal sets count as one (the smallest key stands for them). Buckets don't emit pairs: every member is compared with its
+bucket's smallest key, texts streaming past a copy of the leader's set. A bucket whose members aren't all tied together by such
+links is searched exactly: its members' sets are held in blocks of bounded size, and each member is looked for among them by counting
+its rarest shingles (so many of any k shingles of a set must be shared by a partner), then compared in full, unless the two are
+tied together already. Only links that tie something together are emitted. A link holds by the exact integer test on
+the full sets, and none between documents of a bucket is lost. Members and leaders are dealt over as many groups and blocks as they
+need. Components come from the large-star / small-star iteration over stored edge tables.
 
 Edge cases: null or empty texts (or white space only) have an empty set, link with nothing and stand alone; a null key takes no part
 and isn't returned; rows that repeat a key are one document per distinct text, and all of them fall into the component of that key;
@@ -30,10 +30,8 @@ from pyspark.sql import functions as F
 from poiforge.llm.common import _WORD_POW, LOWER, blocks, broadcast_if_small, i64, mix64, rolling, stored, string_parts, table, word_bounds, word_hashes
 
 BANDS, ROWS = 28, 4
-#: Members that one copy of a leader is compared with in one group.
-GROUP = 200
-#: Rounds with other leaders before the exact rest.
-LEADER_ROUNDS = 2
+#: Members that one copy of a leader is compared with in one group, and shingles that a block of an exact search holds.
+GROUP, HELD = 200, 2_000_000
 _MULTIPLIERS = np.random.default_rng(5).integers(0, 2**63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -121,18 +119,104 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                         leader, own = a[i], mine
                         continue
                     assert leader == a[i]
-                    small, large = sorted((mine, own), key=len)
-                    if 100 * len(small) < percent * len(large):
-                        continue
-                    at_ = np.searchsorted(large, small)
-                    shared = int((large[np.minimum(at_, len(large) - 1)] == small).sum())
-                    if 100 * shared >= percent * (len(small) + len(large) - shared):
+                    if similar(mine, own, percent):
                         good.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 
 
+class Searcher:
+    """Sets of one block, and the search for a set's partners among them."""
+
+    def __init__(self, reps: list[int], labels: list[int], sets: list[np.ndarray], percent: int):
+        self.reps, self.sets, self.percent = reps, sets, percent
+        self.parent: dict[int, int] = {}
+        self.labels = labels
+        tokens = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(tokens, kind="stable")
+        self.owner = owner[order]
+        self.token, self.at = np.unique(tokens[order], return_index=True)
+        self.count = np.diff(np.append(self.at, len(tokens)))
+        self.size = np.array([len(x) for x in sets])
+
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
+        return x
+
+    def links(self, rep: int, label: int, mine: np.ndarray) -> list[tuple[int, int]]:
+        """Links of the set that tie its component to another one."""
+        n, q = len(mine), self.percent
+        place = np.minimum(np.searchsorted(self.token, mine), len(self.token) - 1)
+        known = self.token[place] == mine
+        often = np.where(known, self.count[place], 0)
+        # a partner of size m shares at least `least` shingles, so at most n - least of any of mine are missing in it
+        least = -(-q * (n + self.size) // (100 + q))
+        few = min(n, 3 * (n - -(-q * n // 100)) + 1)
+        rare = np.argsort(often, kind="stable")[:few]
+        use = place[rare[known[rare]]]
+        lists = self.count[use]
+        hits = self.owner[np.arange(int(lists.sum())) + np.repeat(self.at[use] - (np.cumsum(lists) - lists), lists)]
+        shared = np.bincount(hits, minlength=len(self.sets))
+        maybe = np.flatnonzero((shared >= few - (n - least)) & (100 * np.minimum(n, self.size) >= q * np.maximum(n, self.size)))
+        out = []
+        for i in maybe[np.argsort(-shared[maybe], kind="stable")].tolist():
+            a, b = self.root(label), self.root(self.labels[i])
+            if a == b or self.reps[i] == rep:
+                continue
+            if similar(mine, self.sets[i], q):
+                self.parent[max(a, b)] = min(a, b)
+                out.append((min(rep, self.reps[i]), max(rep, self.reps[i])))
+        return out
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of sorted sets."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(small) or 100 * len(small) < percent * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int((large[at] == small).sum())
+    return 100 * shared >= percent * (len(small) + len(large) - shared)
+
+
+def search(now: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that tie together components within buckets. now: stored bucket, rep, n, label."""
+    load = stored(now.groupBy("bucket").agg(F.ceil(F.sum("n") / HELD).alias("blocks")), "load")
+    each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    rows = now.join(load, "bucket").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    # block i is held, block j <= i asks: every two blocks meet once
+    held = rows.select("bucket", F.col("own").alias("i"), each("blocks").alias("j"), F.lit(0).alias("role"), "rep", "label").where("j <= i")
+    asks = rows.select("bucket", each("blocks").alias("i"), F.col("own").alias("j"), F.lit(1).alias("role"), "rep", "label").where("j <= i")
+    both = held.unionByName(asks).join(texts, "rep").select("bucket", "i", "j", "role", "rep", "label", "text")
+    both = both.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "role", "rep")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, reps, labels, sets, block = None, [], [], [], None
+        for batch in batches:
+            for part in blocks(batch, "text"):
+                flat, at, _ = string_parts(part.column(6))
+                grams, first = shingle_sets(flat, at, words)
+                out = []
+                for n, row in enumerate(zip(*(part.column(c).to_pylist() for c in range(6)), strict=True)):
+                    if row[:3] != group:
+                        group, reps, labels, sets, block = row[:3], [], [], [], None
+                    mine = grams[first[n] : first[n + 1]]
+                    if row[3] == 0:
+                        reps.append(row[4])
+                        labels.append(row[5])
+                        sets.append(mine.copy())
+                    elif sets:
+                        block = block or Searcher(reps, labels, sets, percent)
+                        out += block.links(row[4], row[5], mine)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) of all nodes of the edges (a, b): large-star and small-star until nothing changes."""
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
@@ -167,33 +251,15 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
 
     sizes = inside.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n")).distinct()
 
-    def fits(rows: DataFrame, other: str) -> DataFrame:
-        return rows.where((F.col("rep") != F.col("leader")) & (100 * F.least("n", other) >= percent * F.greatest("n", other)))
-
-    pairs = fits(inside.join(sizes, "leader"), "leader_n").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    tested = pairs = stored(pairs, "tested")
+    close = (F.col("rep") != F.col("leader")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
+    pairs = inside.join(sizes, "leader").where(close).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     edges = stored(confirm(pairs, texts, words, percent), "links")
-    for turn in range(LEADER_ROUNDS + 1):
-        label = stored(components(edges), "labels")
-        now = inside.join(label, inside["rep"] == label["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        now = stored(now, "now")
-        mixed = stored(now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "component")).alias("l")).where("x <> y").select("bucket", "l"), "mixed")
-        now = now.join(mixed, "bucket")
-        if turn < LEADER_ROUNDS:
-            pairs = now.where(F.col("component") != F.col("l.component")).select("rep", "n", F.col("l.rep").alias("leader"), F.col("l.n").alias("leader_n"))
-        else:
-            now = stored(now.select("bucket", "rep", "n", "component"), "rest")
-            other = now.select("bucket", F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("component").alias("other"))
-            pairs = now.join(other, "bucket").where("component <> other AND leader < rep").select("rep", "n", "leader", "leader_n")
-        pairs = fits(pairs, "leader_n").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")).distinct()
-        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = stored(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn < LEADER_ROUNDS:
-                continue
-            break
-        tested = tested.unionByName(pairs)
-        edges = edges.unionByName(stored(confirm(pairs, texts, words, percent), "links"))
+    # a leader is smaller than its members, so two steps down tie a member to its smallest leader's own
+    down = stored(edges.groupBy("b").agg(F.min("a").alias("a")), "down")
+    tied = down.join(down.select(F.col("b").alias("a"), F.col("a").alias("aa")), "a", "left").select(F.col("b").alias("rep"), F.coalesce("aa", "a").alias("label"))
+    now = stored(inside.select("bucket", "rep", "n").join(tied, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "now")
+    mixed = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+    edges = edges.unionByName(stored(search(stored(now.join(mixed, "bucket"), "mixed"), texts, words, percent), "links"))
     label = stored(components(edges), "labels")
     out = members.join(label, members["rep"] == label["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
