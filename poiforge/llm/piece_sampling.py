@@ -39,7 +39,7 @@ BLANK = 0x2581
 MOST = 16  # characters of the longest piece
 ROWS = 1 << 16  # arc rows that are looked at together
 #: Bytes of text that are sampled together; they set a worker's memory (about 100 times as much).
-TEXT = 1 << 20
+TEXT = 5 << 18
 _POW = Powers(0x8CB92BA72F3D8DD7)
 _PHI = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 1 << 20
@@ -170,6 +170,13 @@ class Lattice:
         first[order] = beta[(end - n)[order]]
         return first
 
+    def _pick(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The first arc at which the running sum of probabilities exceeds u; most are among the short ones."""
+        arc = (np.cumsum(self.prob[:, : MOST // 2][place], axis=1) <= u[:, None]).sum(1)
+        far = np.flatnonzero(arc == MOST // 2)
+        arc[far] = (np.cumsum(self.prob[place[far]], axis=1) <= u[far, None]).sum(1)
+        return arc
+
     def walk(self, noise: np.ndarray, place: np.ndarray, end: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Follow arcs by their probabilities from each place to its word's end, all at once.
 
@@ -180,7 +187,7 @@ class Lattice:
         while len(active):
             p, s = place[active], step[active]
             u = uniform(noise[active] + s.astype(np.uint64) * _PHI)
-            arc = np.concatenate([(np.cumsum(self.prob[p[i : i + ROWS]], axis=1) <= u[i : i + ROWS].astype(np.float32)[:, None]).sum(1) for i in range(0, len(p), ROWS)])
+            arc = np.concatenate([self._pick(p[i : i + ROWS], u[i : i + ROWS].astype(np.float32)) for i in range(0, len(p), ROWS)])
             if (bad := np.flatnonzero((arc >= MOST) | (self.prob[p, np.minimum(arc, MOST - 1)] == 0))).size:  # rounding: the likeliest
                 arc[bad] = self.prob[p[bad]].argmax(1)
             logs.append((active, p, arc, s))
