@@ -40,9 +40,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, sample, n_pieces, ids_crc32, log_p, log_inclusion and the text that the pieces give back."""
-    rows = piece_sampling.encode(docs)
+    rows = piece_sampling.encode(docs, decoded=True)
     rows = rows.withColumn("n_pieces", (F.length("ids") / 4).cast("long")).withColumn("ids_crc32", F.crc32("ids"))
-    return piece_sampling.decode(rows).select("doc_id", "sample", "n_pieces", "ids_crc32", "log_p", "log_inclusion", "text")
+    return rows.select("doc_id", "sample", "n_pieces", "ids_crc32", "log_p", "log_inclusion", "text")
 
 
 STAGES = [

@@ -39,7 +39,7 @@ BLANK = 0x2581
 MOST = 16  # characters of the longest piece
 ROWS = 1 << 16  # arc rows that are looked at together
 #: Bytes of text that are sampled together; they set a worker's memory (about 100 times as much).
-TEXT = 5 << 18
+TEXT = 3 << 18
 _POW = Powers(0x8CB92BA72F3D8DD7)
 _PHI = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 1 << 20
@@ -396,8 +396,9 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
-    """A row per sample: key, sample (from 1, best first), ids (little-endian unsigned 32-bit), log_p, log_inclusion."""
+def encode(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", text: str = "text", model: str | None = None, decoded: bool = False) -> DataFrame:
+    """A row per sample: key, sample (from 1, best first), ids (little-endian unsigned 32-bit), log_p, log_inclusion; and, if asked, the
+    text that decoding the ids gives, in the same pass."""
     path = model or default_model()
     source = docs.select(F.col(key), F.xxhash64(key).alias("_seed"), F.coalesce(text, F.lit("")).alias("_text"))
 
@@ -409,10 +410,14 @@ def encode(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", text: s
                 at = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 rows = [r for f in found for r in f]
                 cols = [pa.array([n + 1 for f in found for n in range(len(f))], pa.int32()), pa.array([r[0].astype("<u4").tobytes() for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.float64())]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), *cols], names=[key, "sample", "ids", "log_p", "log_inclusion"])
+                names = [key, "sample", "ids", "log_p", "log_inclusion"]
+                if decoded:
+                    cols.append(pa.array(decode_block(p, [r[0].astype(np.int64) for r in rows]), pa.string()))
+                    names.append("text")
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), *cols], names=names)
 
     kind = dict(docs.dtypes)[key]
-    return source.mapInArrow(run, f"{key} {kind}, sample int, ids binary, log_p double, log_inclusion double")
+    return source.mapInArrow(run, f"{key} {kind}, sample int, ids binary, log_p double, log_inclusion double" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -433,6 +438,6 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 def op4_piece_sampling(spark: SparkSession, sf_dir: str, samples: int = SAMPLES) -> DataFrame:
     """Per document and sample: doc_id, sample, n_pieces, ids_crc32, log_p, log_inclusion, text_sha256 (of the decoded ids)."""
-    rows = encode(table(spark, sf_dir, "documents"), samples)
+    rows = encode(table(spark, sf_dir, "documents"), samples, decoded=True)
     digest = rows.withColumn("n_pieces", (F.length("ids") / 4).cast("long")).withColumn("ids_crc32", F.crc32("ids"))
-    return decode(digest).select("doc_id", "sample", "n_pieces", "ids_crc32", "log_p", "log_inclusion", F.sha2("text", 256).alias("text_sha256"))
+    return digest.select("doc_id", "sample", "n_pieces", "ids_crc32", "log_p", "log_inclusion", F.sha2("text", 256).alias("text_sha256"))
