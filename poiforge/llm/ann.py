@@ -4,7 +4,8 @@ Largest inner product is turned into smallest distance by one more coordinate, s
 queries). Lists come from a bounded sample: it is halved at the median along its widest direction until the leaves have the wanted size,
 so lists are balanced; a leaf's mean is its centroid. Every vector of the table goes to its nearest list, and boundary
 vectors also to others whose centroid is at most `CLOSURE` times as far (up to `REPLICAS`). A query walks a nearest-neighbour
-graph of the centroids, held in memory, and reads the lists whose centroid is at most `RATIO` times as far as the nearest one.
+graph of the centroids, held in memory, and reads all lists whose centroid is at most `RATIO` times as far as the nearest one: their
+number isn't capped, since the walk goes on from every centroid within the ratio.
 
 Equal vectors are stored once, with their TOP + 1 smallest ids: more can't be among a query's nearest. Lists are dealt out in blocks of
 `BLOCK` vectors and chunks of `CHUNK` queries, so a list that a third of all rows fall into is searched by many tasks. Vectors
@@ -17,7 +18,6 @@ each counts; extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 from poiforge.llm.common import stored, table
 
 TOP = 20
-#: Vectors that the lists are fit on, vectors per list that are aimed at, and lists at most.
-SAMPLE, LIST, MOST_LISTS = 20_000, 256, 4_000
-REPLICAS, CLOSURE = 4, 1.05
-#: Distance ratio up to which a query reads lists, lists at least, and the width of the graph search.
-RATIO, LEAST_LISTS, BEAM = 1.12, 24, 128
+#: Vectors that the lists are fit on, at least and for each list; vectors per list that are aimed at, and lists at most.
+SAMPLE, SAMPLE_LIST, LIST, MOST_LISTS = 20_000, 40, 256, 4_000
+REPLICAS, CLOSURE = 4, 1.15
+#: Distance ratio up to which a query reads lists, lists at least, and the least width of the graph search.
+RATIO, LEAST_LISTS, BEAM = 1.35, 24, 128
 DEGREE = 24
 BLOCK, CHUNK = 4_096, 4_096
+#: Hits that a search task holds before it merges those of a query from several lists.
+HELD = 1_000_000
 
 
 def halved(x: np.ndarray, rows: np.ndarray, most: int) -> list[np.ndarray]:
@@ -74,9 +76,11 @@ class Index:
         leaves = halved(x, np.arange(len(x)), max(1, -(-len(x) // max(1, lists))))
         centroids = np.array([x[r].mean(0) for r in leaves])
         near = ((centroids**2).sum(1)[:, None] - 2 * centroids @ centroids.T + (centroids**2).sum(1)[None]).argsort(1, kind="stable")[:, 1 : DEGREE + 1]
+        graph = np.zeros((len(centroids), len(centroids)), bool)
+        np.put_along_axis(graph, near, True, 1)
         # a ring keeps the graph connected
-        ring = (np.arange(len(centroids)) + 1) % len(centroids)
-        return cls(centroids, largest, np.concatenate([near, ring[:, None]], 1))
+        graph[np.arange(len(centroids)), (np.arange(len(centroids)) + 1) % len(centroids)] = True
+        return cls(centroids, largest, graph | graph.T)
 
     @staticmethod
     def augment(x: np.ndarray, largest: float) -> np.ndarray:
@@ -92,35 +96,38 @@ class Index:
         return [s[f <= CLOSURE * m] for s, f, m in zip(some, far, far.min(1), strict=True)]
 
     def lists_for(self, query: np.ndarray) -> np.ndarray:
-        """Best-first search over the graph, then pruning by the distance ratio."""
+        """Search over the graph in waves, from all centroids among the BEAM nearest or within the distance ratio, then pruning by the ratio."""
         q = np.append(query, 0.0)
-        at = int(np.linspace(0, len(self.centroids) - 1, 16).astype(int)[np.argmin(((self.centroids[np.linspace(0, len(self.centroids) - 1, 16).astype(int)] - q) ** 2).sum(1))])
-        d = float(((self.centroids[at] - q) ** 2).sum())
-        seen, frontier, best = {at}, [(d, at)], [(-d, at)]
-        while frontier:
-            d, at = heapq.heappop(frontier)
-            if len(best) >= BEAM and d > -best[0][0]:
-                break
-            fresh = [int(i) for i in self.graph[at] if int(i) not in seen]
-            fresh = list(dict.fromkeys(fresh))
-            if not fresh:
-                continue
-            seen.update(fresh)
-            for e, i in zip(((self.centroids[fresh] - q) ** 2).sum(1).tolist(), fresh, strict=True):
-                if len(best) < BEAM or e < -best[0][0]:
-                    heapq.heappush(frontier, (e, i))
-                    heapq.heappush(best, (-e, i))
-                    if len(best) > BEAM:
-                        heapq.heappop(best)
-        found = sorted((-e, i) for e, i in best)
-        nearest = found[0][0] ** 0.5
-        return np.array([i for n, (e, i) in enumerate(found) if n < LEAST_LISTS or e**0.5 <= RATIO * nearest])
+        d = np.full(len(self.centroids), np.inf)
+        walked = np.zeros(len(d), bool)
+        fresh = np.unique(np.linspace(0, len(d) - 1, 16).astype(int))
+        while len(fresh):
+            d[fresh] = ((self.centroids[fresh] - q) ** 2).sum(1)
+            beam = np.partition(d, BEAM - 1)[BEAM - 1] if len(d) > BEAM else np.inf
+            go = ~walked & np.isfinite(d) & (d <= max(beam, RATIO**2 * d.min()))
+            walked |= go
+            fresh = np.flatnonzero(self.graph[go].any(0) & np.isinf(d))
+        found = np.argsort(d, kind="stable")
+        return found[(np.arange(len(d)) < LEAST_LISTS) & np.isfinite(d[found]) | (np.sqrt(d[found]) <= RATIO * np.sqrt(d.min()))]
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(-1, dim)
 
 
+def merged(query: np.ndarray, found: np.ndarray, score: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The `top` best hits of each query, a found id once with its best score; ties go to the smaller id."""
+    order = np.lexsort((-score, found, query))
+    query, found, score = query[order], found[order], score[order]
+    first = np.ones(len(query), bool)
+    first[1:] = (query[1:] != query[:-1]) | (found[1:] != found[:-1])
+    query, found, score = query[first], found[first], score[first]
+    order = np.lexsort((found, -score, query))
+    query, found, score = query[order], found[order], score[order]
+    keep = np.arange(len(query)) - np.searchsorted(query, query) < top
+    return query[keep], found[keep], score[keep]
+
+
 def valid(vectors: DataFrame, key: str, column: str) -> DataFrame:
     fine = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(column, lambda x: x != 0)
     return vectors.where(F.col(key).isNotNull() & F.col(column).isNotNull()).where(fine).select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<float>" if "float" in dict(vectors.dtypes)[column] else "array<double>").alias("v"))
@@ -139,10 +146,12 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
     ids = rows.distinct().withColumn("n", F.row_number().over(few)).where(F.col("n") <= top + 1)
     groups = stored(ids.groupBy("v").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids")), "vectors")
     n = groups.count()
-    part = min(1_000_000, 1_000_000 * SAMPLE // max(1, n) + 1)
-    taken = groups.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < part).orderBy(F.xxhash64("rep")).select("v").limit(SAMPLE).toArrow()
+    lists_ = min(MOST_LISTS, -(-n // LIST))
+    size = max(SAMPLE, SAMPLE_LIST * lists_)
+    part = min(1_000_000, 1_000_000 * size // max(1, n) + 1)
+    taken = groups.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < part).orderBy(F.xxhash64("rep")).select("v").limit(size).toArrow()
     sample = _matrix(taken["v"].combine_chunks(), dim) if taken.num_rows else _matrix(groups.select("v").limit(1).toArrow()["v"].combine_chunks(), dim)
-    index = spark.sparkContext.broadcast(Index.fit(sample, largest, min(MOST_LISTS, -(-n // LIST))))  # bounded by MOST_LISTS
+    index = spark.sparkContext.broadcast(Index.fit(sample, largest, lists_))  # bounded by MOST_LISTS
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,6 +185,12 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, block = None, [], None
+        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n_hits = 0
+
+        def rows_of(h: tuple) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(h[0], pa.int64()), pa.array(h[1], pa.int64()), pa.array(h[2], pa.float64())], names=["query_id", key, "score"])
+
         for batch in batches:
             keys = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(4)])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
@@ -208,7 +223,16 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
                         out += [(me, v, -float(e)) for e, v in sorted(picked)[:top]]
                     if out:
                         a, b_, c = zip(*out, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b_, pa.int64()), pa.array(c, pa.float64())], names=["query_id", key, "score"])
+                        hits.append((np.array(a, np.int64), np.array(b_, np.int64), np.array(c, np.float64)))
+                        n_hits += len(out)
+                    if n_hits > HELD:
+                        hits = [merged(*map(np.concatenate, zip(*hits, strict=True)), top)]
+                        n_hits = len(hits[0][0])
+                        if n_hits > HELD // 2:  # more queries than can be held: the rest is merged after the shuffle
+                            yield rows_of(hits[0])
+                            hits, n_hits = [], 0
+        if hits:
+            yield rows_of(merged(*map(np.concatenate, zip(*hits, strict=True)), top))
 
     hits = both.mapInArrow(search, f"query_id long, {key} long, score double").groupBy("query_id", key).agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)

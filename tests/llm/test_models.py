@@ -130,3 +130,14 @@ def test_ann_edges(spark):
     assert sorted(map(tuple, ann.nearest(df).collect())) == [(0, 1, 1, 1.0), (0, 2, 20, 0.0), (20, 1, 1, 1.0), (20, 2, 0, 0.0)]
     assert ann.nearest(df.limit(0)).count() == 0
     assert ann.nearest(df.where("vec_id = 0")).count() == 0
+
+
+def test_ann_ratio_alone_decides_the_lists():
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(12_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = ann.Index.fit(x, 1.0, 600)
+    for q in x[:40]:
+        d = np.sqrt(((index.centroids - np.append(q, 0.0)) ** 2).sum(1))
+        within = set(np.flatnonzero(d <= ann.RATIO * d.min()).tolist())
+        assert len(within) > ann.BEAM and within <= set(index.lists_for(q).tolist())
