@@ -16,6 +16,8 @@ from poiforge.plans import conflation, gold
 from poiforge.sources import readers
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
+#: Queries that no SQL can stand for; they are tested on fixtures.
+WITHOUT_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(sql: str | None = None):
@@ -362,6 +364,14 @@ def normalize_name(spark, sf):
     return rows.select("doc_id", text.normalize_name(F.substring("text", 1, 60)).alias("name"))
 
 
+def normalize_name_whole(spark, sf):
+    """Whole texts of all rows. DuckDB has no NFKD (it folds a sharp s, NFKD drops it), hence no SQL."""
+    return read(spark, sf, "documents").select("doc_id", text.normalize_name(F.col("text")).alias("name"))
+
+
+WITHOUT_SQL["normalize_name_whole"] = normalize_name_whole
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE lpad((c_custkey % 99999)::VARCHAR, 5, '0') END AS zip FROM customer")
 def normalize_zip(spark, sf):
     k = F.col("c_custkey")

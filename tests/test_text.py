@@ -1,9 +1,13 @@
+import re
+import unicodedata
+
 import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from poiforge.functions import text
 
 NAMES = [
@@ -68,3 +72,20 @@ def test_token_ratios():
     assert text.token_sort("Hospital A", "Clinic B") < 85
     assert text.token_set("", "x") == 0
     assert text.indel_ratio("", "") == 100
+
+
+def plain_name(s):
+    words = re.sub("[^a-z0-9 ]", " ", unicodedata.normalize("NFKD", s or "").encode("ascii", "ignore").decode().lower())
+    words = [text.ABBREVIATIONS_A.get(w, w) for w in re.sub(" inc$", "", " ".join(words.split())).split() if w not in text.STOP_WORDS]
+    out = " ".join(words).removeprefix("hospital ")
+    for suffixes in (text.HOSPITAL_SUFFIXES, text.HEALTH_SUFFIXES):
+        out = next((out.removesuffix(x) for x in suffixes if out.endswith(x)), out)
+    return out.strip()
+
+
+def test_whole_names_of_all_rows(spark, tmp_path):
+    texts = [None, "", "Straße del Groß", "ﬁne Ⅻ Ångström ", "word " * 40 + "Clínica\nCTR Inc", "ß" * 70 + " Hospital la Montaña", "Hospital San Lucas healthcare"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.name for r in __spark_entry__.queries()["normalize_name_whole"](spark, str(tmp_path)).collect()}
+    assert got == {i: plain_name(t) for i, t in enumerate(texts)}
+    assert got[2] == "strae gro" and got[4].endswith("word clinica center")
