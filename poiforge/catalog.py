@@ -285,6 +285,16 @@ def mercator_distance_vs_haversine(spark, sf):
     return rows.where(geo.haversine(*at) > 1000).select("c_custkey", "s_suppkey", F.round(geo.mercator_distance(*at) / geo.haversine(*at), 3).alias("inflation"))
 
 
+@query(f"WITH {_CS}, n AS (SELECT count(*) AS k FROM supplier) SELECT c_custkey, s_suppkey, round({MERC.format(a='c', b='s')} / nullif({HAV.format(a='c', b='s')}, 0), 3) AS inflation FROM c CROSS JOIN n JOIN s ON s_suppkey = c_custkey % k")
+def mercator_inflation_whole(spark, sf):
+    """Every customer with one partner out of all suppliers; keys count from 0. NULL where both are one point."""
+    c, s = _sides(spark, sf)
+    rows = c.crossJoin(F.broadcast(s.agg(F.count("*").alias("k")))).withColumn("s_suppkey", F.col("c_custkey") % F.col("k"))  # one row
+    rows = rows.join(s.select("s_suppkey", F.col("lon").alias("x"), F.col("lat").alias("y")), "s_suppkey")
+    at = [F.col(n) for n in ("lon", "lat", "x", "y")]
+    return rows.select("c_custkey", "s_suppkey", F.round(geo.mercator_distance(*at) / F.nullif(geo.haversine(*at), F.lit(0.0)), 3).alias("inflation"))
+
+
 @query(f"""WITH {sql_points('customer', 'c_custkey', 'c', ', c_mktsegment')}, t AS (SELECT floor((lon + 180) / 360 * 2048)::INTEGER AS tile_x, floor((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * 2048)::INTEGER AS tile_y, c_mktsegment FROM c),
 g AS (SELECT tile_x, tile_y, c_mktsegment, count(*) AS k FROM t GROUP BY ALL) SELECT tile_x, tile_y, sum(k)::BIGINT AS n, first(c_mktsegment ORDER BY k DESC, c_mktsegment) AS dominant FROM g GROUP BY ALL""")
 def tile_cluster_dominant(spark, sf):
