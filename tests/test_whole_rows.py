@@ -13,3 +13,8 @@ def test_mercator_inflation_takes_every_customer_and_supplier(spark):
     rows = run(spark, "mercator_inflation_whole")
     assert len(rows) == spark.read.parquet(f"{SF}/customer.parquet").count()
     assert len({r.s_suppkey for r in rows}) == spark.read.parquet(f"{SF}/supplier.parquet").count()
+
+
+def test_every_part_is_geocoded(spark):
+    rows = run(spark, "geocode_top1_whole")
+    assert {r.q for r in rows} == {r.p_partkey for r in spark.read.parquet(f"{SF}/part.parquet").collect()}
