@@ -468,6 +468,16 @@ def match_failure_reason(spark, sf):
     return fuzzy.failure_reason(places, providers, providers.limit(0), "provider_id")
 
 
+@query("""WITH s AS (SELECT 'Brand#' || (s_suppkey % 5 + 1) || (s_nationkey % 4 + 1) AS b, s_suppkey % 37 + 1 AS z FROM supplier)
+SELECT p_partkey AS provider_id, CASE WHEN p_partkey % 7 = 0 THEN 'no_name' WHEN p_size % 5 = 0 THEN 'missing_address' WHEN p_brand NOT IN (SELECT b FROM s) THEN 'no_silver_in_state' WHEN (p_brand, p_size) NOT IN (SELECT (b, z) FROM s) THEN 'no_zip_city_overlap' ELSE 'name_below_threshold' END AS reason FROM part""")
+def match_failure_reason_whole(spark, sf):
+    """Every part is a provider, every supplier a place."""
+    providers = read(spark, sf, "part").select(F.col("p_partkey").alias("provider_id"), F.col("p_brand").alias("state"), F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_size").cast("string")).alias("zip5"), F.lit("").alias("city"), F.when(F.col("p_partkey") % 7 == 0, "nan").otherwise(F.col("p_name")).alias("name"))
+    state = F.concat(F.lit("Brand#"), (F.col("s_suppkey") % 5 + 1).cast("string"), (F.col("s_nationkey") % 4 + 1).cast("string"))
+    places = read(spark, sf, "supplier").select(state.alias("state"), (F.col("s_suppkey") % 37 + 1).cast("string").alias("zip5"), F.lit("").alias("city"))
+    return fuzzy.failure_reason(places, providers, providers.limit(0), "provider_id")
+
+
 @query("SELECT p_partkey, coalesce(s_suppkey, -1) AS place_id, CASE WHEN s_suppkey IS NULL THEN 'unmatched' ELSE 'zip' END AS method FROM part LEFT JOIN (SELECT l_partkey, arg_max(l_suppkey, (l_quantity, -l_suppkey)) AS s_suppkey FROM lineitem WHERE l_quantity > 40 GROUP BY l_partkey) ON l_partkey = p_partkey")
 def match_state_audit(spark, sf):
     matches = read(spark, sf, "lineitem").where("l_quantity > 40").select(F.col("l_partkey").alias("provider_id"), F.col("l_suppkey").alias("place_id"), F.col("l_quantity").alias("score"), F.lit("zip").alias("method"))
@@ -490,6 +500,20 @@ def confidence_score(spark, sf):
     return rows.select("c_custkey", F.round("v", 4).alias("score"), score.tier(F.col("v")).alias("tier"))
 
 
+_UNITS = "greatest(0, 4000 - 8 * coalesce(d, 500)) + CASE WHEN a THEN 2000 ELSE 0 END + CASE WHEN b THEN 2000 ELSE 0 END + CASE c_custkey % 3 WHEN 0 THEN 2000 WHEN 1 THEN 1000 ELSE 500 END"
+
+
+@query(f"WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 601 END AS d, c_custkey % 2 = 0 AS a, c_custkey % 5 < 3 AS b FROM customer), s AS (SELECT c_custkey, {_UNITS} AS v FROM t) SELECT c_custkey, v / 10000.0::DOUBLE AS score, CASE WHEN v >= 7500 THEN 'high' WHEN v >= 4000 THEN 'medium' ELSE 'low' END AS tier FROM s")
+def confidence_score_whole(spark, sf):
+    """All rows, those at a tier's edge too. Every score is a multiple of 0.0001: rounded to that, it meets an edge exactly."""
+    k = F.col("c_custkey")
+    metres = F.when(k % 11 != 0, k % 601)
+    given = lambda c: F.when(c, "x")
+    v = score.composite(score.distance_score(metres), score.attribute_score([(given(k % 2 == 0), F.lit("y")), (given(k % 5 < 3), F.lit("y"))]), score.source_score(k % 3 != 1, k % 3 != 2))
+    rows = read(spark, sf, "customer").select("c_custkey", F.round(v, 4).alias("score"))
+    return rows.select("c_custkey", "score", score.tier(F.col("score")).alias("tier"))
+
+
 CODES = [("naics", f"{c}", c % 3 + 1, f"key{c}") for c in range(0, 40, 3)] + [("sic", f"{c}", c % 3 + 1, f"sic{c}") for c in range(1, 40, 4)]
 
 
@@ -639,6 +663,15 @@ def gold_hospital_table(spark, sf):
     return out.select("ID", "NAME", "BEDS", "TRAUMA", "COUNTRY", F.lit(len(out.columns)).alias("columns"))
 
 
+@query("SELECT c_custkey::VARCHAR AS ID, c_name AS NAME, CASE WHEN c_custkey % 2 = 0 AND c_custkey % 50 > 0 THEN c_custkey % 50 ELSE 7 END AS BEDS, CASE WHEN c_custkey % 3 = 0 THEN 'I' ELSE 'II' END AS TRAUMA, 'USA' AS COUNTRY, 32 AS columns FROM customer")
+def gold_hospital_table_whole(spark, sf):
+    """All rows: a provider's count of 0 gives way to the tag."""
+    k = F.col("c_custkey")
+    rows = read(spark, sf, "customer").select(k.cast("string").alias("lifeline_id"), F.col("c_name").alias("display_name"), F.when(k % 2 == 0, k % 50).otherwise(0).alias("cms_bed_cnt"), F.lit("7").alias("beds"), F.when(k % 3 == 0, "I").otherwise(" ").alias("acs_trauma_level"), F.lit("II").alias("hifld_trauma"))
+    out = gold.hospital_table(rows)
+    return out.select("ID", "NAME", "BEDS", "TRAUMA", "COUNTRY", F.lit(len(out.columns)).alias("columns"))
+
+
 @query("""WITH l AS (SELECT p_partkey AS l, p_name AS n, p_brand AS b, p_size::VARCHAR AS z FROM part WHERE p_partkey % 2 = 0), r AS (SELECT p_partkey AS r, p_name AS n, p_brand AS b, p_size::VARCHAR AS z FROM part WHERE p_partkey % 2 = 1 AND p_partkey % 3 = 0),
 t1 AS (SELECT l, min(r) AS r FROM l JOIN r USING (b, z, n) GROUP BY l), l2 AS (SELECT * FROM l WHERE (b, z) NOT IN (SELECT (b, z) FROM r)), r2 AS (SELECT * FROM r WHERE r NOT IN (SELECT r FROM t1)),
 t2 AS (SELECT l, min(r) AS r FROM l2 JOIN r2 USING (b, n) GROUP BY l) SELECT l, r, 'state_zip5' AS method FROM t1 UNION ALL SELECT l, r, 'state' FROM t2""")
@@ -649,6 +682,17 @@ def hospital_attribute_cascade(spark, sf):
     return found.select(F.col("lifeline_id").alias("l"), F.col("authority_id").alias("r"), "method")
 
 
+@query("""WITH l AS (SELECT p_partkey AS l, p_name AS n, p_brand AS b, p_size::VARCHAR AS z FROM part WHERE p_partkey % 2 = 0), r AS (SELECT p_partkey AS r, p_name AS n, p_brand AS b, p_size::VARCHAR AS z FROM part WHERE p_partkey % 2 = 1),
+t1 AS (SELECT l, min(r) AS r FROM l JOIN r USING (b, z, n) GROUP BY l), l2 AS (SELECT * FROM l WHERE (b, z) NOT IN (SELECT (b, z) FROM r)), r2 AS (SELECT * FROM r WHERE r NOT IN (SELECT r FROM t1)),
+t2 AS (SELECT l, min(r) AS r FROM l2 JOIN r2 USING (b, n) GROUP BY l) SELECT l, r, 'state_zip5' AS method FROM t1 UNION ALL SELECT l, r, 'state' FROM t2""")
+def hospital_attribute_cascade_whole(spark, sf):
+    """Even keys against all odd ones, so that every part is on one side."""
+    p = read(spark, sf, "part").select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("state"), F.col("p_size").cast("string").alias("zip5"), F.lit("").alias("city"))
+    left, right = p.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "lifeline_id"), p.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "authority_id")
+    found = gold.hospital_attributes(left, right, 1.0)
+    return found.select(F.col("lifeline_id").alias("l"), F.col("authority_id").alias("r"), "method")
+
+
 @query("SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'foreign' WHEN p_partkey % 5 = 0 THEN 'bad_address' WHEN p_partkey % 11 = 0 THEN 'error' WHEN p_size < 10 THEN 'no_match' WHEN p_size < 40 THEN 'score_reject' ELSE 'ok' END AS status FROM part")
 def geocode_status(spark, sf):
     k = F.col("p_partkey")
