@@ -14,7 +14,8 @@ the full sets, and none between documents of a bucket is lost. Members and leade
 need. Components come from the large-star / small-star iteration over stored edge tables.
 
 Edge cases: null or empty texts (or white space only) have an empty set, link with nothing and stand alone; a null key takes no part
-and isn't returned; rows that repeat a key are one document per distinct text, and all of them fall into the component of that key;
+and isn't returned; rows that repeat a key are one document per distinct text, and all of them fall into the component of that key
+(of the sets that a key stands for, those beyond the first have numbers above all keys, and edges tie them to it);
 extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poiforge.llm.common import _WORD_POW, LOWER, blocks, broadcast_if_small, i64, mix64, rolling, stored, string_parts, table, word_bounds, word_hashes
@@ -76,8 +77,8 @@ def signatures(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix64(bands + np.arange(BANDS, dtype=np.uint64)[None, :])
 
 
-def features(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (128-bit hash of the set), bands (null without a set)."""
+def features(docs: DataFrame, words: int, texts: bool = False) -> DataFrame:
+    """doc_id, n (set size), s1, s2 (128-bit hash of the set), bands (null without a set), and the text if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,9 +92,9 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                 bands = np.zeros((len(n), BANDS), np.uint64)
                 bands[some] = signatures(grams, first)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(i64(bands.ravel())))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(i64(s1)), pa.array(i64(s2)), lists], names=["doc_id", "n", "s1", "s2", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(i64(s1)), pa.array(i64(s2)), lists, *([part.column(1)] if texts else [])], names=["doc_id", "n", "s1", "s2", "bands", *(["text"] if texts else [])])
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, bands array<long>" + (", text string" if texts else ""))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -240,14 +241,26 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
     """doc_id, n_shingles, component_id (smallest key that links lead to), kept (it is its component's smallest)."""
     docs = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     found = stored(features(docs, words), "features")
-    sets = stored(found.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "sets")
+    sets = stored(found.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("key")), "sets")
+    several = stored(found.groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("x"), F.max(F.struct("s1", "s2")).alias("y")).where("x <> y").select("doc_id"), "several")
+    repeated = several.count() > 0
+    if repeated:
+        above = found.agg(F.max("doc_id")).first()[0] + 1
+        nth = F.row_number().over(Window.partitionBy("key").orderBy("s1", "s2"))
+        sets = stored(sets.withColumns({"nth": nth, "more": F.monotonically_increasing_id() + above}).select("s1", "s2", "key", F.when(F.col("nth") == 1, F.col("key")).otherwise(F.col("more")).alias("rep")), "sets")
+    else:
+        sets = sets.withColumn("rep", F.col("key"))
     members = stored(found.select("doc_id", "n", "s1", "s2").join(sets, ["s1", "s2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    bands = found.where("n > 0").join(sets, (found["s1"] == sets["s1"]) & (found["s2"] == sets["s2"]) & (found["doc_id"] == sets["rep"])).select("rep", "n", "bands").dropDuplicates(["rep"])
+    bands = found.where("n > 0").join(sets, (found["s1"] == sets["s1"]) & (found["s2"] == sets["s2"]) & (found["doc_id"] == sets["key"])).select("rep", "n", "bands").dropDuplicates(["rep"])
     bands = bands.select("rep", "n", F.explode("bands").alias("bucket"))
     crowded = stored(bands.groupBy("bucket").agg(F.count("*").alias("c"), F.min("rep").alias("leader")).where("c > 1"), "crowded")
     inside = stored(bands.join(crowded, "bucket").select("bucket", "leader", "rep", "n"), "inside")
     wanted = stored(inside.select("rep").distinct(), "wanted")
-    texts = stored(docs.join(broadcast_if_small(wanted), docs["doc_id"] == wanted["rep"]).select("rep", "text"), "texts")
+    texts = docs.join(broadcast_if_small(wanted), docs["doc_id"] == wanted["rep"]).select("rep", "text")
+    if repeated:
+        own = features(docs.join(broadcast_if_small(several), "doc_id", "left_semi"), words, texts=True).join(sets, ["s1", "s2"]).where("doc_id = key").select("rep", "text")
+        texts = texts.join(broadcast_if_small(several), F.col("rep") == several["doc_id"], "left_anti").unionByName(own.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]))
+    texts = stored(texts, "texts")
 
     sizes = inside.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n")).distinct()
 
@@ -260,6 +273,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
     now = stored(inside.select("bucket", "rep", "n").join(tied, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "now")
     mixed = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
     edges = edges.unionByName(stored(search(stored(now.join(mixed, "bucket"), "mixed"), texts, words, percent), "links"))
+    if repeated:
+        edges = edges.unionByName(members.join(broadcast_if_small(several), "doc_id", "left_semi").where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     label = stored(components(edges), "labels")
     out = members.join(label, members["rep"] == label["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -83,3 +83,13 @@ def test_keep_one(spark, odd_docs):
     assert kept.columns == odd_docs.columns
     ids = {r.doc_id for r in kept.select("doc_id").collect()}
     assert {2, 3}.isdisjoint(ids) and {1, 4, 5, 6, 7}.issubset(ids)
+
+
+def test_texts_of_one_key_keep_their_links(spark):
+    texts = {c: [f"{c}{i}" for i in range(150)] for c in "abcd"}
+    near = {c: " ".join([*w[:70], "changed", *w[71:]]) for c, w in texts.items()}
+    a, b, c, d = (" ".join(w) for w in texts.values())
+    rows = [(5, a), (5, b), (5, c), (7, near["a"]), (9, near["b"]), (11, near["c"]), (20, d), (20, ""), (21, near["d"]), (3, "alone"), (30, b), (30, d)]
+    for order in (rows, rows[::-1]):
+        got = minhash_dedup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(2))
+        assert {(r.doc_id, r.component_id, r.kept) for r in got.collect()} == {(3, 3, True), *((k, 5, k == 5) for k in (5, 7, 9, 11, 20, 21, 30))}
