@@ -1,21 +1,23 @@
 """Suffix-array dedup: bytes under strings of `width` bytes that start anywhere else are removed.
 
 Sharding. Every window of `width` bytes has an anchor, the leftmost smallest hash among its substrings of `ANCHOR` bytes; equal
-windows have equal anchors at the same offset. Anchors are counted over all texts, and only runs of windows whose anchor
-occurs twice go on. Equal runs (a run: the windows of one anchor occurrence) are counted by a 128-bit hash: a run that occurs twice is
-repeated as a whole. What is left, one copy of every distinct run of anchors with several of them, is cut out of the texts and sharded
-by anchor, so that equal windows meet in one shard.
+windows have equal anchors at the same offset. Anchors are counted over all texts, copies included, and a run of windows goes on if
+its anchor occurs twice. Equal runs are aggregated by a 128-bit hash before anything is shuffled: of each, two copies at most are cut
+out of the texts, and sharded by anchor, so that equal windows meet in one shard.
 
-Sorting. A shard's runs are laid end to end and their suffixes sorted by induction (see induced_sort: S* substrings, recursion on
-names, two sweeps with queues that go to disk); neighbours with a common prefix of `width` bytes are repeated. An anchor with more than
-`CROWD` distinct runs (say, what follows a passage that a third of all texts share) doesn't fit one task: its windows are counted by
-128-bit hashes over all tasks instead, which gives the same answer.
+Sorting. A shard is one text on disk, of any size; its suffixes are sorted by external induction, with common prefixes (see
+induced_sort), and suffixes that share `width` bytes with a neighbour are repeated windows. Nothing else decides: a text's exact copy, too,
+is found by its windows in the sort. What the sort says of a run holds for all runs equal to it.
 
-Texts are told apart by a 64-bit hash.
+Hot anchors. Where a third of all texts share a passage, its edges have one anchor with as many distinct surroundings. The runs of an
+anchor with over `CROWD` bytes are cut into cells of `CELLS` offsets to the anchor, and keyed by the bytes that all windows of a cell have
+in common (180, then all 200). Windows that are equal still meet; cells whose common bytes occur once are gone.
 
-Edge cases: a null text is empty; texts below the width lose nothing, and an exact copy is repeated as a whole; a null key takes part
-like any other document; repeated rows are copies of each other; strings may overlap, also with themselves; extra
-columns are ignored; an empty table gives an empty result.
+Texts longer than a block are worked on in slices, so memory is bounded for any text.
+
+Edge cases: a null text is empty; texts below the width lose nothing; a null key takes part like any other document;
+repeated rows are copies of each other; strings may overlap, also with themselves; extra columns are ignored, whatever their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,21 +32,32 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poiforge.llm.common import _BYTE, Powers, blocks, broadcast_if_small, covered, i64, mix64, rolling, spans_of, stored, string_parts, table
-from poiforge.llm.induced_sort import repeated
+from poiforge.llm.induced_sort import MEMORY, Stream, Work, repeated
 from poiforge.llm.substring_dedup import chosen, sliding
 
 WIDTH = 200
 #: Bytes of an anchor; a window has width - ANCHOR + 1 of them, so one place in 80 is an anchor.
 ANCHOR = 40
-#: Distinct runs of one anchor that one task sorts.
-CROWD = 20_000
-#: Bytes that one suffix sort takes (a larger group is sorted alone).
-SORT_BYTES = 3_000_000
-BLOCK = 1 << 20
+#: Bytes of one anchor's runs beyond which they are cut into cells, and offsets of a cell, round by round.
+CROWD, CELLS = 32 << 20, (21, 1)
+#: Bytes of a shard, at most about (shards are smaller where there are more cores).
+SHARD = 1 << 30
+#: Bytes of a text that one vectorised step works on.
+BLOCK = 1 << 18
 _GRAM, _ONE, _TWO = Powers(0x9FB21C651E98DF25), Powers(0xC3A5C85C97CB3127), Powers(0xB492B66FBE98F273)
 _TOP = np.uint64(2**64 - 1)
 
 
+def slices(flat: np.ndarray, at: np.ndarray, width: int, most: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(bytes, offsets, first text, first byte of that text): all texts at once, or one long text in slices that overlap by width - 1 bytes."""
+    if len(at) == 2 and len(flat) > 2 * most:
+        for lo in range(0, len(flat) - width + 1, most):
+            part = flat[lo : lo + most + width - 1]
+            yield part, np.array([0, len(part)]), 0, lo
+    else:
+        yield flat, at, 0, 0
+
+
 def anchors(flat: np.ndarray, at: np.ndarray, width: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the `size` bytes from each place, smallest of each window, whether the window stays in its text)."""
     n, many = len(flat), width - size + 1
@@ -58,195 +71,242 @@ def anchors(flat: np.ndarray, at: np.ndarray, width: int, size: int) -> tuple[np
     return gram, sliding(gram, many, np.minimum), (left >= width)[: n - many + 1]
 
 
+class Hashes:
+    """128-bit hashes of any substrings of a piece of text."""
+
+    def __init__(self, flat: np.ndarray):
+        self.parts = []
+        for powers in (_ONE, _TWO):
+            up, down = powers.get(len(flat) + 1)
+            total = np.zeros(len(flat) + 1, np.uint64)
+            np.cumsum(_BYTE[flat] * up[: len(flat)], out=total[1:])
+            self.parts.append((total, down))
+
+    def of(self, lo: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+        return [i64(mix64((total[lo + length] - total[lo]) * down[lo] + length.astype(np.uint64))) for total, down in self.parts]
+
+
+def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+
 def _anchor_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
-    """uid, anchor, pos, twice (the anchor occurs elsewhere in its own text)."""
+    """docs: t1, t2 (digest of the text), row, text. A row per anchor occurrence; one may come twice where slices meet."""
     many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                flat, at, _ = string_parts(part.column(1))
-                gram, smallest, inside = anchors(flat, at, width, size)
-                place = chosen(gram, smallest, inside, many)
-                text = np.searchsorted(at, place, "right") - 1
-                h = gram[place]
-                order = np.lexsort((h, text))
-                same = (h[order][1:] == h[order][:-1]) & (text[order][1:] == text[order][:-1])
-                twice = np.zeros(len(place), bool)
-                twice[order[1:][same]] = twice[order[:-1][same]] = True
-                cols = (np.asarray(part.column(0))[text], i64(h), (place - at[text]).astype(np.int32), twice)
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["tid", "anchor", "pos", "twice"])
+                whole, bounds, _ = string_parts(part.column(3))
+                for flat, at, _, base in slices(whole, bounds, width):
+                    gram, smallest, inside = anchors(flat, at, width, size)
+                    place = chosen(gram, smallest, inside, many)
+                    text = np.searchsorted(at, place, "right") - 1
+                    own = {n: np.asarray(part.column(i))[text] for i, n in enumerate(("t1", "t2", "row"))}
+                    yield _batch(own | {"key": i64(gram[place]), "pos": place - at[text] + base})
+
+    return docs.mapInArrow(run, "t1 long, t2 long, row long, key long, pos long")
+
 
-    return docs.mapInArrow(run, "tid long, anchor long, pos int, twice boolean")
+_RUNS = "t1 long, t2 long, n int, key long, h1 long, h2 long, start long, windows int, place long"
 
 
 def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
-    """docs: tid, text, at (places of shared anchors). A row per run of windows of one shared anchor occurrence, with the hash of its bytes."""
+    """docs: t1, t2, n, text, at (places of shared anchors). A row per run of windows of one shared anchor occurrence, with the hash of its bytes."""
     many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                flat, at, _ = string_parts(part.column(1))
-                gram, smallest, inside = anchors(flat, at, width, size)
-                marks = part.column(2)
-                place = np.asarray(marks.flatten()).astype(np.int64) + np.repeat(at[:-1], np.asarray(marks.value_lengths()))
-                place.sort()
-                shared = np.full(len(gram), _TOP)
-                shared[place] = gram[place]
-                if not len(smallest):
-                    continue
-                starts = np.flatnonzero(inside & (sliding(shared, many, np.minimum) == smallest) & (smallest < _TOP))
-                # the leftmost place from the window's start on that has its smallest hash; equal hashes of a text are all shared
-                before = np.zeros(len(gram) + 1, np.int64)
-                np.cumsum(shared < _TOP, out=before[1:])
-                own = before[starts]
-                while len(wrong := np.flatnonzero(gram[place[own]] != smallest[starts])):
-                    own[wrong] += 1
-                fresh = np.ones(len(starts), bool)
-                fresh[1:] = own[1:] != own[:-1]
-                first = np.flatnonzero(fresh)
-                if not len(first):
-                    continue
-                lo, count = starts[first], np.diff(np.append(first, len(starts)))
-                length = count + width - 1
-                hashes = []
-                for powers in (_ONE, _TWO):
-                    up, down = powers.get(len(flat) + 1)
-                    total = np.zeros(len(flat) + 1, np.uint64)
-                    np.cumsum(_BYTE[flat] * up[: len(flat)], out=total[1:])
-                    hashes.append(mix64((total[lo + length] - total[lo]) * down[lo] + length.astype(np.uint64)))
-                text = np.searchsorted(at, lo, "right") - 1
-                cols = (np.asarray(part.column(0))[text], i64(gram[place[own[first]]]), i64(hashes[0]), i64(hashes[1]), (lo - at[text]).astype(np.int32), count.astype(np.int32))
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["tid", "anchor", "h1", "h2", "start", "windows"])
-
-    return docs.mapInArrow(run, "tid long, anchor long, h1 long, h2 long, start int, windows int")
-
-
-def _body_rows(docs: DataFrame, width: int) -> DataFrame:
-    """docs: tid, text, runs (anchor, start, windows, lone). A row per run, with its bytes."""
+                whole, bounds, _ = string_parts(part.column(3))
+                marks = part.column(4)
+                marked = np.asarray(marks.flatten()).astype(np.int64) + np.repeat(bounds[:-1], np.asarray(marks.value_lengths()))
+                marked.sort()
+                for flat, at, _, base in slices(whole, bounds, width):
+                    gram, smallest, inside = anchors(flat, at, width, size)
+                    if not len(smallest):
+                        continue
+                    place = marked[np.searchsorted(marked, base) : np.searchsorted(marked, base + len(flat))] - base
+                    shared = np.full(len(gram), _TOP)
+                    shared[place] = gram[place]
+                    place = place[gram[place] < _TOP]  # a mark near the end of a slice belongs to the next one
+                    starts = np.flatnonzero(inside & (sliding(shared, many, np.minimum) == smallest) & (smallest < _TOP))
+                    # the leftmost place from the window's start on that has its smallest hash; equal hashes of a text are all shared
+                    before = np.zeros(len(gram) + 1, np.int64)
+                    np.cumsum(shared < _TOP, out=before[1:])
+                    own = before[starts]
+                    while len(wrong := np.flatnonzero(gram[place[own]] != smallest[starts])):
+                        own[wrong] += 1
+                    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(starts) else starts
+                    if not len(first):
+                        continue
+                    lo, count = starts[first], np.diff(np.append(first, len(starts)))
+                    h1, h2 = Hashes(flat).of(lo, count + width - 1)
+                    text = np.searchsorted(at, lo, "right") - 1
+                    mine = {n: np.asarray(part.column(i))[text] for i, n in enumerate(("t1", "t2", "n"))}
+                    anchor = place[own[first]]
+                    yield _batch(mine | {"key": i64(gram[anchor]), "h1": h1, "h2": h2, "start": lo - at[text] + base, "windows": count.astype(np.int32), "place": anchor - at[text] + base})
+
+    return docs.mapInArrow(run, _RUNS)
+
+
+def _cell_rows(docs: DataFrame, width: int, size: int, cell: int) -> DataFrame:
+    """docs: t1, t2, n, text, runs (start, windows, place). The runs cut into cells of `cell` offsets to the anchor, keyed by their common bytes."""
+    many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                rows = []
-                for tid, text, runs in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    data = text.encode()
-                    rows += [(r["anchor"], tid, r["start"], r["lone"], data[r["start"] : r["start"] + r["windows"] + width - 1]) for r in runs]
-                for k in range(0, len(rows), 10_000):
-                    cols = zip(*rows[k : k + 10_000], strict=True)
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["anchor", "tid", "start", "lone", "body"])
-
-    return docs.mapInArrow(run, "anchor long, tid long, start int, lone boolean, body binary")
-
-
-def _sorted_rows(runs: DataFrame, width: int) -> DataFrame:
-    """runs: anchor, tid, start, lone, body. Repeated windows of the lone runs as tid, a, b (starts, half-open)."""
-
-    def flush(held: list[tuple]) -> pa.RecordBatch | None:
-        text = np.concatenate([np.append(np.frombuffer(b, np.uint8).astype(np.uint16) + 1, np.uint16(0)) for *_, b in held])
-        at = np.concatenate([[0], np.cumsum([len(b) + 1 for *_, b in held])])
-        wanted = np.zeros(len(text), bool)
-        for (_, _, _, b), lo in zip(held, at[:-1].tolist(), strict=True):
-            wanted[lo : lo + len(b) - width + 1] = True
-        lo, hi = spans_of(repeated(text, width, wanted))
-        owner = np.searchsorted(at, lo, "right") - 1
-        rows = [(held[o][0], held[o][1] + a - int(at[o]), held[o][1] + b - int(at[o])) for o, a, b in zip(owner.tolist(), lo.tolist(), hi.tolist(), strict=True) if held[o][2]]
-        if not rows:
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["tid", "a", "b"])
+                for t1, t2, n, raw, runs in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    runs = sorted(runs, key=lambda r: r["start"])
+                    data = np.frombuffer(raw.encode(), np.uint8)
+                    for k in range(0, len(runs), 1000):
+                        some = runs[k : k + 1000]
+                        # a run's cells; the common bytes of a cell go from its smallest offset's anchor place to its largest one's end
+                        lengths = np.array([r["windows"] for r in some])
+                        place = np.repeat(np.array([r["place"] for r in some]), lengths)
+                        fresh = np.cumsum(lengths) - lengths
+                        start = np.arange(len(place)) - np.repeat(fresh - np.array([r["start"] for r in some]), lengths)
+                        number = (place - start) // cell
+                        edge = np.ones(len(start), bool)
+                        edge[1:] = (number[1:] != number[:-1]) | (start[1:] != start[:-1] + 1)
+                        edge[fresh] = True
+                        first = np.flatnonzero(edge)
+                        windows = np.diff(np.append(first, len(start)))
+                        lo, near, anchor = start[first], number[first] * cell, place[first]
+                        base = int(lo.min())
+                        piece = data[base : int((lo + windows).max()) + width - 1]
+                        hashes = Hashes(piece)
+                        h1, h2 = hashes.of(lo - base, windows + width - 1)
+                        common = width - np.minimum(cell - 1, many - 1 - near)
+                        key = hashes.of(anchor - near - base, common)[0] ^ near
+                        same = {"t1": t1, "t2": t2, "n": np.int32(n)}
+                        yield _batch({k_: np.full(len(lo), v) for k_, v in same.items()} | {"key": key, "h1": h1, "h2": h2, "start": lo, "windows": windows.astype(np.int32), "place": anchor})
+
+    return docs.mapInArrow(run, _RUNS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, now = [], 0, None
-        for batch in batches:
-            for anchor, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if anchor != now and size >= SORT_BYTES:
-                    if out := flush(held):
-                        yield out
-                    held, size = [], 0
-                now = anchor
-                held.append(tuple(row))
-                size += len(row[-1])
-        if held and (out := flush(held)):
-            yield out
 
-    return runs.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "tid long, a int, b int")
-
-
-def _counted_rows(runs: DataFrame, width: int) -> DataFrame:
-    """The same for crowded anchors, by counting window hashes over all tasks."""
+def _body_rows(docs: DataFrame, width: int) -> DataFrame:
+    """docs: t1, t2, n, text, runs (key, h1, h2, copies, start, windows). A row per run, with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tid, start, lone, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                bytes_ = _BYTE[np.frombuffer(body, np.uint8)]
-                h1, h2 = (i64(mix64(rolling(bytes_, width, p))) for p in (_ONE, _TWO))
-                n = len(h1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, tid)), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(np.full(n, lone)), pa.array(h1), pa.array(h2)], names=["tid", "a", "lone", "h1", "h2"])
+            for part in blocks(batch, "text", BLOCK):
+                for raw, runs in zip(part.column(3).to_pylist(), part.column(4), strict=True):
+                    data, runs = raw.encode(), runs.values
+                    for k in range(0, len(runs), 5000):
+                        some = runs.slice(k, 5000)
+                        lo, windows = (np.asarray(some.field(i)).astype(np.int64) for i in (4, 5))
+                        body = pa.array([data[a:b] for a, b in zip(lo.tolist(), (lo + windows + width - 1).tolist(), strict=True)], pa.binary())
+                        yield pa.RecordBatch.from_arrays([*(some.field(i) for i in range(4)), body], names=["key", "h1", "h2", "copies", "body"])
+
+    return docs.mapInArrow(run, "key long, h1 long, h2 long, copies int, body binary")
+
+
+def sort_shard(batches: Iterator[pa.RecordBatch], width: int, work: Work) -> Iterator[pa.RecordBatch]:
+    """batches: key, h1, h2, copies, body. A row per stretch of repeated windows of a run, as a, b (half-open)."""
+    text, runs = Stream((np.uint16,), work), Stream((np.int64,) * 5, work)
+    for batch in (whole.slice(k, 1024) for whole in batches for k in range(0, whole.num_rows, 1024)):
+        copies = np.asarray(batch.column(3))
+        for time, rows in enumerate((np.arange(len(copies)), np.flatnonzero(copies > 1))):
+            flat, at, _ = string_parts(batch.column(4).take(pa.array(rows)))
+            laid = np.ones(len(flat) + len(rows), np.uint16)  # 1 ends each run
+            laid[np.arange(len(flat)) + np.repeat(np.arange(len(rows)), np.diff(at))] = flat.astype(np.uint16) + 2
+            if time == 0:
+                runs.add(*(np.asarray(batch.column(i)) for i in range(3)), text.n + at[:-1] + rows, np.diff(at) - width + 1)
+            text.add(laid)
+    if not runs.n:
+        return
+    text.add(np.zeros(1, np.uint16))
+    flags = repeated(np.asarray(np.memmap(text.files[0], np.uint16, "r+", shape=(text.n,))), width, work)
+    step = 1024
+    for k in range(0, runs.n, step):
+        key, h1, h2, at, windows = runs.read(k, min(runs.n, k + step))
+        end = int(runs.read(k + step, k + step + 1)[3][0]) if k + step < runs.n else text.n
+        # only whole windows of these runs: not those of second copies, nor what goes on behind the end of a run
+        lo, hi = (x + at[0] for x in spans_of(flags[at[0] : end] & covered(end - int(at[0]), at - at[0], at - at[0] + windows)))
+        o = np.searchsorted(at, lo, "right") - 1
+        yield _batch({"key": key[o], "h1": h1[o], "h2": h2[o], "a": lo - at[o], "b": hi - at[o]})
+
+
+def _sorted_rows(bodies: DataFrame, width: int, shards: int, memory: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from sort_shard(batches, width, Work(memory))
 
-    rows = stored(runs.select("tid", "start", "lone", "body").mapInArrow(run, "tid long, a int, lone boolean, h1 long, h2 long"), "crowd")
-    again = stored(rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "again")
-    return rows.join(again, ["h1", "h2"]).where("lone").select("tid", "a", (F.col("a") + 1).alias("b"))
+    return bodies.repartition(shards, "key").mapInArrow(run, "key long, h1 long, h2 long, a long, b long")
 
 
-def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
-    """doc_id, text of every row, with `spans` (repeated windows' starts, half-open; null: none) and `whole` (the text occurs twice)."""
+def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD, memory: int = MEMORY) -> DataFrame:
+    """doc_id, text of every row, with `spans` (repeated windows' starts, half-open; null: none)."""
+    spark = documents.sparkSession
     size = ANCHOR if width > 2 * ANCHOR else max(1, width // 2)
-    docs = documents.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("tid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    digest = [F.xxhash64(F.col(text)).alias("t1"), F.xxhash64(F.lit(1), F.col(text)).alias("t2")]
+    docs = documents.select(*digest, F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(key).alias("doc_id"))
+    same = ["t1", "t2"]
     # the row with the smallest key stands for all copies of a text
-    copies = stored(docs.groupBy("tid").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep")), "texts")
-    whole = copies.where("n > 1").select("tid")
-    found = stored(_anchor_rows(docs.select("tid", "text"), width, size), "anchors")
-    several = stored(found.groupBy("anchor").agg(F.min("tid").alias("x"), F.max("tid").alias("y"), F.bool_or("twice").alias("z")).where("x <> y OR z").select("anchor"), "shared")
-    marks = found.join(several, "anchor").groupBy("tid").agg(F.collect_set("pos").alias("at"))
+    copies = stored(docs.groupBy(*same).agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("n"), F.min("doc_id").alias("rep")), "texts")
+    found = stored(_anchor_rows(docs.select(*same, F.monotonically_increasing_id().alias("row"), "text"), width, size), "anchors")
+    one = F.struct("row", "pos")
+    several = stored(found.groupBy("key").agg(F.min(one).alias("x"), F.max(one).alias("y")).where("x <> y").select("key"), "shared")
+    marks = found.join(several, "key").groupBy(*same).agg(F.collect_set("pos").alias("at"))
 
     def pick(lists: DataFrame, column: str) -> DataFrame:
-        """tid, text and the list, for the row that stands for the text."""
-        lists = stored(lists.join(copies, "tid").select(F.col("tid").alias("t"), "rep", column), column)
+        """t1, t2, n, text and the list (bounded by its text), for the row that stands for the text."""
+        lists = stored(lists.join(copies, same).select(F.col("t1").alias("u1"), F.col("t2").alias("u2"), "n", "rep", column), column)
         lists = broadcast_if_small(lists, items=F.size(column))
-        return docs.join(lists, (F.col("tid") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("tid", "text", column)
-
-    picked = pick(marks, "at")
-    runs = stored(_run_rows(picked, width, size), "runs")
-    # repeated rows give equal rows here, so a run is counted by its distinct (text, place); "lone" runs have one
-    named = runs.select("anchor", "h1", "h2", "tid", "start", "windows").distinct()
-    named = stored(named.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("tid", "start")).alias("p"), F.min("windows").alias("windows")), "named")
-    multiple = stored(named.where("n > 1").select("anchor", "h1", "h2"), "multiple")
-    full = runs.join(multiple, ["anchor", "h1", "h2"]).select("tid", F.col("start").alias("a"), (F.col("start") + F.col("windows")).alias("b")).distinct()
-    groups = stored(named.groupBy("anchor").agg(F.count("*").alias("k"), F.max((F.col("n") == 1).cast("int")).alias("open")).where("k > 1 AND open = 1").select("anchor", "k"), "groups")
-    wanted = stored(named.join(groups, "anchor").select("anchor", "p.tid", "p.start", "windows", (F.col("n") == 1).alias("lone"), "k"), "wanted")
-
-    def bodies(rows: DataFrame) -> DataFrame:
-        # as many runs as a text has
-        return _body_rows(pick(rows.groupBy("tid").agg(F.collect_list(F.struct("anchor", "start", "windows", "lone")).alias("runs")), "runs"), width)
-
-    spans = full.unionByName(_sorted_rows(bodies(wanted.where(F.col("k") <= crowd)), width))
-    if not groups.where(F.col("k") > crowd).isEmpty():
-        spans = spans.unionByName(_counted_rows(bodies(wanted.where(F.col("k") > crowd)), width))
+        fits = (F.col("t1") == F.col("u1")) & (F.col("t2") == F.col("u2")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+        return docs.join(lists, fits).select(*same, "n", "text", column)
+
+    ident = ["key", "h1", "h2"]
+
+    def counted(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Distinct runs with `copies` (2 at most), and keys that have two copies at least, with their bytes."""
+        # repeated rows give equal rows, so a run is counted by its distinct (text, place)
+        named = runs.select(*ident, *same, "start", "windows", "place", "n").distinct().groupBy(*ident)
+        named = stored(named.agg(F.least(F.sum("n"), F.lit(2)).cast("int").alias("copies"), F.min(F.struct(*same, "start", "windows")).alias("p")), "named")
+        size_ = (F.col("p.windows") + width - 1) * F.col("copies")
+        return named, stored(named.groupBy("key").agg(F.sum("copies").alias("all"), F.sum(size_).alias("bytes")).where("all > 1").select("key", "bytes"), "groups")
+
+    runs = stored(_run_rows(pick(marks, "at"), width, size), "runs")
+    named, groups = counted(runs)
+    all_runs, wanted, total = None, None, 0
+    for cell in (*CELLS, None):
+        calm = groups.where(F.col("bytes") <= crowd) if cell else groups
+        rows = named.join(calm.select("key"), "key").select(*ident, "copies", "p.*")
+        part = runs.join(calm.select("key"), "key").select(*ident, *same, "start")
+        wanted = rows if wanted is None else wanted.unionByName(rows)
+        all_runs = part if all_runs is None else all_runs.unionByName(part)
+        total += calm.agg(F.sum("bytes")).first()[0] or 0
+        hot = groups.where(F.col("bytes") > crowd).select("key")
+        if not cell or hot.isEmpty():
+            break
+        lists = runs.join(hot, "key").groupBy(*same).agg(F.collect_set(F.struct("start", "windows", "place")).alias("runs"))
+        runs = stored(_cell_rows(pick(lists, "runs"), width, size, cell), "cells")
+        named, groups = counted(runs)
+
+    lists = wanted.groupBy(*same).agg(F.collect_list(F.struct(*ident, "copies", "start", "windows")).alias("runs"))
+    shards = max(2 * spark.sparkContext.defaultParallelism, -(-total // SHARD))
+    spans = stored(_sorted_rows(_body_rows(pick(lists, "runs"), width), width, shards, memory), "spans")
+    spans = all_runs.join(spans, ident).select(*same, (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b")).distinct()
     # neighbouring starts merge before they are gathered per text
-    before = Window.partitionBy("tid").orderBy("a", "b")
+    before = Window.partitionBy(*same).orderBy("a", "b")
     rows = spans.withColumn("seen", F.max("b").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-    rows = rows.withColumn("run", F.sum(F.when(F.col("seen") >= F.col("a"), 0).otherwise(1)).over(before))
-    merged = rows.groupBy("tid", "run").agg(F.min("a").alias("a"), F.max("b").alias("b")).groupBy("tid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    extra = merged.join(whole.withColumn("whole", F.lit(True)), "tid", "full")
-    extra = stored(extra.select("tid", "spans", F.coalesce("whole", F.lit(False)).alias("whole")), "extra")
-    return docs.join(extra, "tid", "left").select("doc_id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
+    rows = rows.withColumn("stretch", F.sum(F.when(F.col("seen") >= F.col("a"), 0).otherwise(1)).over(before))
+    merged = rows.groupBy(*same, "stretch").agg(F.min("a").alias("a"), F.max("b").alias("b")).groupBy(*same).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return docs.join(stored(merged, "merged"), same, "left").select("doc_id", "text", "spans")
 
 
-def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
+def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD, memory: int = MEMORY) -> DataFrame:
     """Per row: key, n_bytes, n_removed, kept (binary), spans (maximal removed runs of bytes, half-open)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", 2 * BLOCK):
                 out = []
-                for raw, spans, whole in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                for raw, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     data = raw.encode()
                     n = len(data)
-                    if whole and n >= width:
-                        out.append((n, n, b"", [{"start": 0, "end": n}]))
-                    elif spans:
+                    if spans:
                         gone = covered(n, np.array([s["a"] for s in spans]), np.array([s["b"] + width - 1 for s in spans]))
                         lo, hi = (x.tolist() for x in spans_of(gone))
                         kept = b"".join(data[a:b] for a, b in zip([0, *hi], [*lo, n], strict=True))
@@ -257,7 +317,7 @@ def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width:
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "kept", "spans"])
 
     kind = dict(documents.dtypes)[key]
-    rows = removal(documents, key, text, width, crowd)
+    rows = removal(documents, key, text, width, crowd, memory)
     return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, kept binary, spans array<struct<start:long,end:long>>").withColumnRenamed("doc_id", key)
 
 
