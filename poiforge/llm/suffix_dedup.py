@@ -1,13 +1,14 @@
 """Suffix-array dedup: bytes under strings of `width` bytes that start anywhere else are removed.
 
 Sharding. Every window of `width` bytes has an anchor, the leftmost smallest hash among its substrings of `ANCHOR` bytes; equal
-windows have equal anchors at the same offset. Anchors are counted over all texts, copies included, and a run of windows goes on if
-its anchor occurs twice. Equal runs are aggregated by a 128-bit hash before anything is shuffled: of each, two copies at most are cut
-out of the texts, and sharded by anchor, so that equal windows meet in one shard.
+windows have equal anchors at the same offset. A run is what the windows of one anchor occurrence cover. Anchors are counted over all
+texts, and the runs of those that occur twice go on. Equal runs are aggregated by a 128-bit hash before their bytes are
+shuffled: one of each is cut out of the texts, with the number of its occurrences, and sharded by anchor, so that equal windows meet in one shard.
 
 Sorting. A shard is one text on disk, of any size; its suffixes are sorted by external induction, with common prefixes (see
-induced_sort), and suffixes that share `width` bytes with a neighbour are repeated windows. Nothing else decides: a text's exact copy, too,
-is found by its windows in the sort. What the sort says of a run holds for all runs equal to it.
+induced_sort). A window is repeated if its suffix shares `width` bytes with a neighbour in this order, where a run that stands for several
+is its own neighbour. What the sort says of a run holds for all runs equal to it. Exact copies of a whole text, told by a
+128-bit digest, are one text here and repeated as a whole.
 
 Hot anchors. Where a third of all texts share a passage, its edges have one anchor with as many distinct surroundings. The runs of an
 anchor with over `CROWD` bytes are cut into cells of `CELLS` offsets to the anchor, and keyed by the bytes that all windows of a cell have
@@ -45,17 +46,17 @@ SHARD = 1 << 30
 #: Bytes of a text that one vectorised step works on.
 BLOCK = 1 << 18
 _GRAM, _ONE, _TWO = Powers(0x9FB21C651E98DF25), Powers(0xC3A5C85C97CB3127), Powers(0xB492B66FBE98F273)
-_TOP = np.uint64(2**64 - 1)
+_TOP, _ODD = np.uint64(2**64 - 1), np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(flat: np.ndarray, at: np.ndarray, width: int, most: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
-    """(bytes, offsets, first text, first byte of that text): all texts at once, or one long text in slices that overlap by width - 1 bytes."""
+def slices(flat: np.ndarray, at: np.ndarray, width: int, most: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets of texts, first byte): all texts at once, or one long text in slices that overlap by width - 1 bytes."""
     if len(at) == 2 and len(flat) > 2 * most:
         for lo in range(0, len(flat) - width + 1, most):
             part = flat[lo : lo + most + width - 1]
-            yield part, np.array([0, len(part)]), 0, lo
+            yield part, np.array([0, len(part)]), lo
     else:
-        yield flat, at, 0, 0
+        yield flat, at, 0
 
 
 def anchors(flat: np.ndarray, at: np.ndarray, width: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,74 +91,50 @@ def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
-def _anchor_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
-    """docs: t1, t2 (digest of the text), row, text. A row per anchor occurrence; one may come twice where slices meet."""
-    many = width - size + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in blocks(batch, "text", BLOCK):
-                whole, bounds, _ = string_parts(part.column(3))
-                for flat, at, _, base in slices(whole, bounds, width):
-                    gram, smallest, inside = anchors(flat, at, width, size)
-                    place = chosen(gram, smallest, inside, many)
-                    text = np.searchsorted(at, place, "right") - 1
-                    own = {n: np.asarray(part.column(i))[text] for i, n in enumerate(("t1", "t2", "row"))}
-                    yield _batch(own | {"key": i64(gram[place]), "pos": place - at[text] + base})
-
-    return docs.mapInArrow(run, "t1 long, t2 long, row long, key long, pos long")
-
-
-_RUNS = "t1 long, t2 long, n int, key long, h1 long, h2 long, start long, windows int, place long"
+_RUNS = "t1 long, t2 long, place_id long, key long, h1 long, h2 long, start long, windows int, place long"
 
 
 def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
-    """docs: t1, t2, n, text, at (places of shared anchors). A row per run of windows of one shared anchor occurrence, with the hash of its bytes."""
+    """docs: t1, t2 (digest of the text), text. A row per run of windows of one anchor occurrence, with the hash of its bytes."""
     many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                whole, bounds, _ = string_parts(part.column(3))
-                marks = part.column(4)
-                marked = np.asarray(marks.flatten()).astype(np.int64) + np.repeat(bounds[:-1], np.asarray(marks.value_lengths()))
-                marked.sort()
-                for flat, at, _, base in slices(whole, bounds, width):
+                whole, bounds, _ = string_parts(part.column(2))
+                for flat, at, base in slices(whole, bounds, width):
                     gram, smallest, inside = anchors(flat, at, width, size)
-                    if not len(smallest):
+                    starts = np.flatnonzero(inside)
+                    if not len(starts):
                         continue
-                    place = marked[np.searchsorted(marked, base) : np.searchsorted(marked, base + len(flat))] - base
-                    shared = np.full(len(gram), _TOP)
-                    shared[place] = gram[place]
-                    place = place[gram[place] < _TOP]  # a mark near the end of a slice belongs to the next one
-                    starts = np.flatnonzero(inside & (sliding(shared, many, np.minimum) == smallest) & (smallest < _TOP))
-                    # the leftmost place from the window's start on that has its smallest hash; equal hashes of a text are all shared
+                    place = chosen(gram, smallest, inside, many)
+                    # the leftmost place from the window's start on that has its smallest hash
                     before = np.zeros(len(gram) + 1, np.int64)
-                    np.cumsum(shared < _TOP, out=before[1:])
-                    own = before[starts]
+                    before[place + 1] = 1
+                    own = np.cumsum(before, out=before)[starts]
                     while len(wrong := np.flatnonzero(gram[place[own]] != smallest[starts])):
                         own[wrong] += 1
-                    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(starts) else starts
-                    if not len(first):
-                        continue
+                    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                     lo, count = starts[first], np.diff(np.append(first, len(starts)))
                     h1, h2 = Hashes(flat).of(lo, count + width - 1)
                     text = np.searchsorted(at, lo, "right") - 1
-                    mine = {n: np.asarray(part.column(i))[text] for i, n in enumerate(("t1", "t2", "n"))}
+                    t1, t2 = (np.asarray(part.column(i))[text] for i in (0, 1))
                     anchor = place[own[first]]
-                    yield _batch(mine | {"key": i64(gram[anchor]), "h1": h1, "h2": h2, "start": lo - at[text] + base, "windows": count.astype(np.int32), "place": anchor - at[text] + base})
+                    shift = base - at[text]
+                    where = mix64(t1.view(np.uint64) + mix64(t2.view(np.uint64) + (anchor + shift).astype(np.uint64) * _ODD))
+                    yield _batch({"t1": t1, "t2": t2, "place_id": i64(where), "key": i64(gram[anchor]), "h1": h1, "h2": h2, "start": lo + shift, "windows": count.astype(np.int32), "place": anchor + shift})
 
     return docs.mapInArrow(run, _RUNS)
 
 
 def _cell_rows(docs: DataFrame, width: int, size: int, cell: int) -> DataFrame:
-    """docs: t1, t2, n, text, runs (start, windows, place). The runs cut into cells of `cell` offsets to the anchor, keyed by their common bytes."""
+    """docs: t1, t2, text, runs (start, windows, place). The runs cut into cells of `cell` offsets to the anchor, keyed by their common bytes."""
     many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                for t1, t2, n, raw, runs in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for t1, t2, raw, runs in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     runs = sorted(runs, key=lambda r: r["start"])
                     data = np.frombuffer(raw.encode(), np.uint8)
                     for k in range(0, len(runs), 1000):
@@ -180,51 +157,50 @@ def _cell_rows(docs: DataFrame, width: int, size: int, cell: int) -> DataFrame:
                         h1, h2 = hashes.of(lo - base, windows + width - 1)
                         common = width - np.minimum(cell - 1, many - 1 - near)
                         key = hashes.of(anchor - near - base, common)[0] ^ near
-                        same = {"t1": t1, "t2": t2, "n": np.int32(n)}
-                        yield _batch({k_: np.full(len(lo), v) for k_, v in same.items()} | {"key": key, "h1": h1, "h2": h2, "start": lo, "windows": windows.astype(np.int32), "place": anchor})
+                        yield _batch({"t1": np.full(len(lo), t1), "t2": np.full(len(lo), t2), "place_id": lo, "key": key, "h1": h1, "h2": h2, "start": lo, "windows": windows.astype(np.int32), "place": anchor})
 
     return docs.mapInArrow(run, _RUNS)
 
 
 def _body_rows(docs: DataFrame, width: int) -> DataFrame:
-    """docs: t1, t2, n, text, runs (key, h1, h2, copies, start, windows). A row per run, with its bytes."""
+    """docs: t1, t2, text, runs (key, h1, h2, n, start, windows). A row per run, with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
-                for raw, runs in zip(part.column(3).to_pylist(), part.column(4), strict=True):
+                for raw, runs in zip(part.column(2).to_pylist(), part.column(3), strict=True):
                     data, runs = raw.encode(), runs.values
                     for k in range(0, len(runs), 5000):
                         some = runs.slice(k, 5000)
                         lo, windows = (np.asarray(some.field(i)).astype(np.int64) for i in (4, 5))
                         body = pa.array([data[a:b] for a, b in zip(lo.tolist(), (lo + windows + width - 1).tolist(), strict=True)], pa.binary())
-                        yield pa.RecordBatch.from_arrays([*(some.field(i) for i in range(4)), body], names=["key", "h1", "h2", "copies", "body"])
+                        yield pa.RecordBatch.from_arrays([*(some.field(i) for i in range(4)), body], names=["key", "h1", "h2", "n", "body"])
 
-    return docs.mapInArrow(run, "key long, h1 long, h2 long, copies int, body binary")
+    return docs.mapInArrow(run, "key long, h1 long, h2 long, n long, body binary")
 
 
 def sort_shard(batches: Iterator[pa.RecordBatch], width: int, work: Work) -> Iterator[pa.RecordBatch]:
-    """batches: key, h1, h2, copies, body. A row per stretch of repeated windows of a run, as a, b (half-open)."""
-    text, runs = Stream((np.uint16,), work), Stream((np.int64,) * 5, work)
+    """batches: key, h1, h2, n (equal runs that it stands for), body. A row per stretch of repeated windows of a run, as a, b (half-open)."""
+    text, runs = Stream((np.uint16,), work), Stream((np.int64,) * 6, work)
     for batch in (whole.slice(k, 1024) for whole in batches for k in range(0, whole.num_rows, 1024)):
-        copies = np.asarray(batch.column(3))
-        for time, rows in enumerate((np.arange(len(copies)), np.flatnonzero(copies > 1))):
-            flat, at, _ = string_parts(batch.column(4).take(pa.array(rows)))
-            laid = np.ones(len(flat) + len(rows), np.uint16)  # 1 ends each run
-            laid[np.arange(len(flat)) + np.repeat(np.arange(len(rows)), np.diff(at))] = flat.astype(np.uint16) + 2
-            if time == 0:
-                runs.add(*(np.asarray(batch.column(i)) for i in range(3)), text.n + at[:-1] + rows, np.diff(at) - width + 1)
-            text.add(laid)
+        flat, at, _ = string_parts(batch.column(4))
+        rows = np.arange(batch.num_rows)
+        laid = np.ones(len(flat) + len(rows), np.uint16)  # 1 ends each run
+        laid[np.arange(len(flat)) + np.repeat(rows, np.diff(at))] = flat.astype(np.uint16) + 2
+        runs.add(*(np.asarray(batch.column(i)) for i in range(4)), text.n + at[:-1] + rows, np.diff(at) - width + 1)
+        text.add(laid)
     if not runs.n:
         return
     text.add(np.zeros(1, np.uint16))
     flags = repeated(np.asarray(np.memmap(text.files[0], np.uint16, "r+", shape=(text.n,))), width, work)
     step = 1024
     for k in range(0, runs.n, step):
-        key, h1, h2, at, windows = runs.read(k, min(runs.n, k + step))
-        end = int(runs.read(k + step, k + step + 1)[3][0]) if k + step < runs.n else text.n
-        # only whole windows of these runs: not those of second copies, nor what goes on behind the end of a run
-        lo, hi = (x + at[0] for x in spans_of(flags[at[0] : end] & covered(end - int(at[0]), at - at[0], at - at[0] + windows)))
+        key, h1, h2, n, at, windows = runs.read(k, min(runs.n, k + step))
+        end = int(runs.read(k + step, k + step + 1)[4][0]) if k + step < runs.n else text.n
+        lo, size = at - at[0], end - int(at[0])
+        # windows that lie inside their run; all of them where the run stands for several
+        fine = covered(size, lo, lo + windows) & (flags[at[0] : end] | covered(size, lo[n > 1], (lo + windows)[n > 1]))
+        lo, hi = (x + at[0] for x in spans_of(fine))
         o = np.searchsorted(at, lo, "right") - 1
         yield _batch({"key": key[o], "h1": h1[o], "h2": h2[o], "a": lo - at[o], "b": hi - at[o]})
 
@@ -237,42 +213,38 @@ def _sorted_rows(bodies: DataFrame, width: int, shards: int, memory: int) -> Dat
 
 
 def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD, memory: int = MEMORY) -> DataFrame:
-    """doc_id, text of every row, with `spans` (repeated windows' starts, half-open; null: none)."""
+    """doc_id, text of every row, with `spans` (repeated windows' starts, half-open; null: none) and `whole` (the text occurs twice)."""
     spark = documents.sparkSession
     size = ANCHOR if width > 2 * ANCHOR else max(1, width // 2)
+    same, ident = ["t1", "t2"], ["key", "h1", "h2"]
     digest = [F.xxhash64(F.col(text)).alias("t1"), F.xxhash64(F.lit(1), F.col(text)).alias("t2")]
     docs = documents.select(*digest, F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(key).alias("doc_id"))
-    same = ["t1", "t2"]
     # the row with the smallest key stands for all copies of a text
-    copies = stored(docs.groupBy(*same).agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("n"), F.min("doc_id").alias("rep")), "texts")
-    found = stored(_anchor_rows(docs.select(*same, F.monotonically_increasing_id().alias("row"), "text"), width, size), "anchors")
-    one = F.struct("row", "pos")
-    several = stored(found.groupBy("key").agg(F.min(one).alias("x"), F.max(one).alias("y")).where("x <> y").select("key"), "shared")
-    marks = found.join(several, "key").groupBy(*same).agg(F.collect_set("pos").alias("at"))
+    copies = stored(docs.groupBy(*same).agg(F.count("*").alias("n"), F.min("doc_id").alias("rep")), "texts")
+    found = stored(_run_rows(docs.select(*same, "text"), width, size), "runs")
+    several = stored(found.groupBy("key").agg(F.min("place_id").alias("x"), F.max("place_id").alias("y")).where("x <> y").select("key"), "shared")
 
     def pick(lists: DataFrame, column: str) -> DataFrame:
-        """t1, t2, n, text and the list (bounded by its text), for the row that stands for the text."""
-        lists = stored(lists.join(copies, same).select(F.col("t1").alias("u1"), F.col("t2").alias("u2"), "n", "rep", column), column)
+        """t1, t2, text and the list (bounded by its text), for the row that stands for the text."""
+        lists = stored(lists.join(copies, same).select(F.col("t1").alias("u1"), F.col("t2").alias("u2"), "rep", column), column)
         lists = broadcast_if_small(lists, items=F.size(column))
         fits = (F.col("t1") == F.col("u1")) & (F.col("t2") == F.col("u2")) & F.col("doc_id").eqNullSafe(F.col("rep"))
-        return docs.join(lists, fits).select(*same, "n", "text", column)
-
-    ident = ["key", "h1", "h2"]
+        return docs.join(lists, fits).select(*same, "text", column)
 
     def counted(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Distinct runs with `copies` (2 at most), and keys that have two copies at least, with their bytes."""
-        # repeated rows give equal rows, so a run is counted by its distinct (text, place)
-        named = runs.select(*ident, *same, "start", "windows", "place", "n").distinct().groupBy(*ident)
-        named = stored(named.agg(F.least(F.sum("n"), F.lit(2)).cast("int").alias("copies"), F.min(F.struct(*same, "start", "windows")).alias("p")), "named")
-        size_ = (F.col("p.windows") + width - 1) * F.col("copies")
-        return named, stored(named.groupBy("key").agg(F.sum("copies").alias("all"), F.sum(size_).alias("bytes")).where("all > 1").select("key", "bytes"), "groups")
-
-    runs = stored(_run_rows(pick(marks, "at"), width, size), "runs")
+        """Distinct runs with the number of their occurrences and one of them, and keys of two occurrences at least, with their bytes."""
+        one = [F.first(c).alias(c) for c in (*same, "start", "windows")]
+        named = stored(runs.groupBy(*ident).agg(F.count("*").alias("n"), *one), "named")
+        groups = named.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("windows") + F.lit(width - 1)).alias("bytes")).where("all > 1")
+        return named, stored(groups.select("key", "bytes"), "groups")
+
+    # copies of a text have equal rows
+    runs = stored(found.join(several, "key").dropDuplicates([*same, "start"]).drop("place_id"), "shared_runs")
     named, groups = counted(runs)
     all_runs, wanted, total = None, None, 0
     for cell in (*CELLS, None):
         calm = groups.where(F.col("bytes") <= crowd) if cell else groups
-        rows = named.join(calm.select("key"), "key").select(*ident, "copies", "p.*")
+        rows = named.join(calm.select("key"), "key")
         part = runs.join(calm.select("key"), "key").select(*ident, *same, "start")
         wanted = rows if wanted is None else wanted.unionByName(rows)
         all_runs = part if all_runs is None else all_runs.unionByName(part)
@@ -280,20 +252,23 @@ def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width
         hot = groups.where(F.col("bytes") > crowd).select("key")
         if not cell or hot.isEmpty():
             break
-        lists = runs.join(hot, "key").groupBy(*same).agg(F.collect_set(F.struct("start", "windows", "place")).alias("runs"))
-        runs = stored(_cell_rows(pick(lists, "runs"), width, size, cell), "cells")
+        lists = runs.join(hot, "key").groupBy(*same).agg(F.collect_list(F.struct("start", "windows", "place")).alias("runs"))
+        # repeated rows, also of the key that stands for a text, have equal cells
+        runs = stored(_cell_rows(pick(lists, "runs"), width, size, cell).dropDuplicates([*same, "start"]).drop("place_id"), "cells")
         named, groups = counted(runs)
 
-    lists = wanted.groupBy(*same).agg(F.collect_list(F.struct(*ident, "copies", "start", "windows")).alias("runs"))
+    lists = wanted.groupBy(*same).agg(F.collect_list(F.struct(*ident, "n", "start", "windows")).alias("runs"))
     shards = max(2 * spark.sparkContext.defaultParallelism, -(-total // SHARD))
     spans = stored(_sorted_rows(_body_rows(pick(lists, "runs"), width), width, shards, memory), "spans")
-    spans = all_runs.join(spans, ident).select(*same, (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b")).distinct()
+    spans = all_runs.join(spans, ident).select(*same, (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
     # neighbouring starts merge before they are gathered per text
     before = Window.partitionBy(*same).orderBy("a", "b")
     rows = spans.withColumn("seen", F.max("b").over(before.rowsBetween(Window.unboundedPreceding, -1)))
     rows = rows.withColumn("stretch", F.sum(F.when(F.col("seen") >= F.col("a"), 0).otherwise(1)).over(before))
     merged = rows.groupBy(*same, "stretch").agg(F.min("a").alias("a"), F.max("b").alias("b")).groupBy(*same).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    return docs.join(stored(merged, "merged"), same, "left").select("doc_id", "text", "spans")
+    merged = merged.join(copies.where("n > 1").select(*same, F.lit(True).alias("whole")), same, "full")
+    merged = stored(merged.select(*same, "spans", F.coalesce("whole", F.lit(False)).alias("whole")), "merged")
+    return docs.join(merged, same, "left").select("doc_id", "text", "spans", F.coalesce("whole", F.lit(False)).alias("whole"))
 
 
 def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD, memory: int = MEMORY) -> DataFrame:
@@ -303,10 +278,12 @@ def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width:
         for batch in batches:
             for part in blocks(batch, "text", 2 * BLOCK):
                 out = []
-                for raw, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for raw, spans, whole in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                     data = raw.encode()
                     n = len(data)
-                    if spans:
+                    if whole and n >= width:
+                        out.append((n, n, b"", [{"start": 0, "end": n}]))
+                    elif spans:
                         gone = covered(n, np.array([s["a"] for s in spans]), np.array([s["b"] + width - 1 for s in spans]))
                         lo, hi = (x.tolist() for x in spans_of(gone))
                         kept = b"".join(data[a:b] for a, b in zip([0, *hi], [*lo, n], strict=True))
