@@ -1,7 +1,9 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame operations only.
 
-The index stores a posting (term, document, position) for every training token that some test item uses. It is sharded by
+The index stores a posting (term, document, position) for every training token, or for every one that some test item uses where a
+vocabulary is given. `build_index` without one gives an index that any later benchmark can be searched in. It is sharded by
 document and sorted by term within a shard, so that a term's list is a few runs of each file. Terms are 64-bit hashes of the words.
+A document is its key and the digest of its text, so rows that repeat a key with other texts have lists of their own.
 
 A test window is a phrase of consecutive terms. The counts of the index give each window's rarest terms. The list of the
 rarest one, shifted by its offset in the phrase, gives candidate starts; they are intersected with the shifted list of the
@@ -10,8 +12,8 @@ Document and position are the join keys, so a passage that a third of all docume
 
 `proximity` answers a weaker question from the same index: which windows have all their terms within a span of so many words.
 
-Edge cases: null and empty texts have no words; a null key takes no part and isn't returned; an item with fewer words than the window
-is one window; items without words match nothing; repeated keys give repeated rows with the hits of all their texts; repeated
+Edge cases: null and empty texts have no words; a row with a null key is a document like any other; an item with fewer words than the window
+is one window; items without words, or without an id, match nothing; rows that repeat a key are judged each by its own text; repeated
 items count once per item id; extra columns are ignored; empty tables give no hits (or no rows).
 """
 
@@ -38,10 +40,20 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: What tells documents apart: the key (with a value of its own for null) and the digest of the text.
+DOC = ("doc", "tid")
+NO_KEY = -(2**63)
+
+
+def named(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc, tid, text; rows equal in key and text are one document."""
+    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc"), F.xxhash64(F.col(text)).alias("tid"), F.col(text).alias("text"))
+
+
 def postings(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, term of every word. Positions count from the first word or, where the text begins with a gap, from 1."""
+    """doc, tid, pos, term of every word. Positions count from the first word or, where the text begins with a gap, from 1."""
     pieces = F.split(lowered(F.col("text")), GAP)
-    return docs.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.posexplode(pieces).alias("pos", "word")).where("word <> ''").select("doc_id", "pos", F.xxhash64("word").alias("term"))
+    return docs.where("text IS NOT NULL").select(*DOC, F.posexplode(pieces).alias("pos", "word")).where("word <> ''").select(*DOC, "pos", F.xxhash64("word").alias("term"))
 
 
 def windows(items: DataFrame, width: int) -> DataFrame:
@@ -54,17 +66,19 @@ def windows(items: DataFrame, width: int) -> DataFrame:
     return rows.select("item_id", F.xxhash64("item_id", "tid", "first").alias("window"), "size", F.posexplode(F.transform(phrase, lambda w: F.xxhash64(w))).alias("offset", "term"))
 
 
-def build_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """The stored postings of the vocabulary's terms."""
-    kept = postings(docs).join(broadcast_if_small(vocabulary), "term", "left_semi")
+def build_index(docs: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+    """The stored postings of all terms, or of the vocabulary's."""
+    kept = postings(docs)
+    if vocabulary is not None:
+        kept = kept.join(broadcast_if_small(vocabulary), "term", "left_semi")
     path = new_path(docs.sparkSession, "postings")
-    kept.sortWithinPartitions("term", "doc_id", "pos").write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema("doc_id long, pos int, term long").parquet(path)
+    kept.sortWithinPartitions("term", *DOC, "pos").write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema("doc long, tid long, pos int, term long").parquet(path)
 
 
 def rarest(tests: DataFrame, index: DataFrame) -> DataFrame:
     """The windows' terms with their rank by rarity in the training texts (1: rarest). Windows with an absent term are left out."""
-    counts = index.groupBy("term").agg(F.count("*").alias("n"))
+    counts = index.join(broadcast_if_small(stored(tests.select("term").distinct(), "terms")), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
     counted = tests.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     by = Window.partitionBy("window").orderBy("n", "offset")
     ranked = counted.withColumn("rank", F.row_number().over(by)).withColumn("least", F.min("n").over(Window.partitionBy("window")))
@@ -72,77 +86,83 @@ def rarest(tests: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def phrases(index: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Exact occurrences: doc_id, start, window, size. Lists are intersected from the rarest term on."""
+    """Exact occurrences: doc, tid, start, window, size. Lists are intersected from the rarest term on."""
     first = ranked.where("rank = 1").select("window", "size", "term", "offset")
-    found = index.join(broadcast_if_small(first), "term").select("doc_id", (F.col("pos") - F.col("offset")).alias("start"), "window", "size")
+    found = index.join(broadcast_if_small(first), "term").select(*DOC, (F.col("pos") - F.col("offset")).alias("start"), "window", "size")
     second = ranked.where("rank = 2").select("window", F.col("term").alias("term2"), F.col("offset").alias("offset2"))
     wanted = found.join(broadcast_if_small(second), "window", "left").withColumn("pos", F.col("start") + F.col("offset2"))
-    lone = wanted.where("term2 IS NULL").select("doc_id", "start", "window", "size")
-    listed = index.join(broadcast_if_small(second.select(F.col("term2").alias("term")).distinct()), "term", "left_semi").select("doc_id", "pos", F.col("term").alias("term2"))
-    pairs = wanted.where("term2 IS NOT NULL").join(listed, ["doc_id", "pos", "term2"]).select("doc_id", "start", "window", "size")
+    lone = wanted.where("term2 IS NULL").select(*DOC, "start", "window", "size")
+    listed = index.join(broadcast_if_small(second.select(F.col("term2").alias("term")).distinct()), "term", "left_semi").select(*DOC, "pos", F.col("term").alias("term2"))
+    pairs = wanted.where("term2 IS NOT NULL").join(listed, [*DOC, "pos", "term2"]).select(*DOC, "start", "window", "size")
     found = stored(pairs.unionByName(lone).distinct(), "starts")
     # what two terms agree on is checked in full, against the lists of the documents left
-    left = broadcast_if_small(stored(found.select("doc_id").distinct(), "left"))
+    left = broadcast_if_small(stored(found.select(*DOC).distinct(), "left"))
     rest = ranked.where("rank > 2").select("window", "term", "offset")
-    need = found.join(broadcast_if_small(rest), "window").select("doc_id", "start", "window", "size", "term", (F.col("start") + F.col("offset")).alias("pos"))
-    have = index.join(left, "doc_id", "left_semi")
+    need = found.join(broadcast_if_small(rest), "window").select(*DOC, "start", "window", "size", "term", (F.col("start") + F.col("offset")).alias("pos"))
+    have = index.join(left, [*DOC], "left_semi")
     # a start's terms sit at different places, so its matches are counted, never listed
-    full = need.join(have, ["doc_id", "pos", "term"]).groupBy("doc_id", "start", "window", "size").agg(F.countDistinct("pos").alias("n")).where("n = size - 2")
-    return full.select("doc_id", "start", "window", "size").unionByName(found.where("size <= 2"))
+    full = need.join(have, [*DOC, "pos", "term"]).groupBy(*DOC, "start", "window", "size").agg(F.countDistinct("pos").alias("n")).where("n = size - 2")
+    return full.select(*DOC, "start", "window", "size").unionByName(found.where("size <= 2"))
 
 
 def proximity(index: DataFrame, ranked: DataFrame, span: int) -> DataFrame:
-    """doc_id, window of windows with all distinct terms at most span - 1 words after some occurrence of one of them.
+    """doc, tid, window of windows with all distinct terms at most span - 1 words after some occurrence of one of them.
 
     The rarest term's list gives centres; only postings within `span` words of a centre, of that window's terms, are kept."""
     terms = ranked.groupBy("window").agg(F.countDistinct("term").alias("terms"))
     first = ranked.where("rank = 1").select("window", F.col("term"))
-    centres = stored(index.join(broadcast_if_small(first), "term").select("doc_id", "window", F.col("pos").alias("centre")), "centres")
-    docs = broadcast_if_small(stored(centres.select("doc_id").distinct(), "near"))
+    centres = stored(index.join(broadcast_if_small(first), "term").select(*DOC, "window", F.col("pos").alias("centre")), "centres")
+    docs = broadcast_if_small(stored(centres.select(*DOC).distinct(), "near"))
     cell = lambda c: F.floor(c / F.lit(span))
-    near = index.join(docs, "doc_id", "left_semi").join(broadcast_if_small(ranked.select("window", "term").distinct()), "term").withColumn("cell", cell(F.col("pos")))
+    near = index.join(docs, [*DOC], "left_semi").join(broadcast_if_small(ranked.select("window", "term").distinct()), "term").withColumn("cell", cell(F.col("pos")))
     wide = centres.withColumn("cell", F.explode(F.array(*(cell(F.col("centre")) + i for i in (-1, 0, 1)))))
-    both = wide.join(near, ["doc_id", "window", "cell"]).where(F.abs(F.col("pos") - F.col("centre")) < span)
-    hits = both.select("doc_id", "window", "centre", "pos", "term").distinct()
-    starts = hits.select("doc_id", "window", "centre", F.col("pos").alias("start")).distinct()
-    inside = starts.join(hits, ["doc_id", "window", "centre"]).where("pos >= start AND pos < start + %d" % span)
-    whole = inside.groupBy("doc_id", "window", "centre", "start").agg(F.countDistinct("term").alias("n")).join(broadcast_if_small(terms), "window").where("n = terms")
-    return whole.select("doc_id", "window").distinct()
+    both = wide.join(near, [*DOC, "window", "cell"]).where(F.abs(F.col("pos") - F.col("centre")) < span)
+    hits = both.select(*DOC, "window", "centre", "pos", "term").distinct()
+    starts = hits.select(*DOC, "window", "centre", F.col("pos").alias("start")).distinct()
+    inside = starts.join(hits, [*DOC, "window", "centre"]).where("pos >= start AND pos < start + %d" % span)
+    whole = inside.groupBy(*DOC, "window", "centre", "start").agg(F.countDistinct("term").alias("n")).join(broadcast_if_small(terms), "window").where("n = terms")
+    return whole.select(*DOC, "window").distinct()
 
 
 def hit_words(found: DataFrame) -> DataFrame:
-    """doc_id, n_hit: words under any occurrence; runs are merged in order of their starts."""
-    runs = found.groupBy("doc_id", "start").agg(F.max("size").alias("size"))
-    before = Window.partitionBy("doc_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    """doc, tid, n_hit: words under any occurrence; runs are merged in order of their starts."""
+    runs = found.groupBy(*DOC, "start").agg(F.max("size").alias("size"))
+    before = Window.partitionBy(*DOC).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("size")
-    rows = runs.select("doc_id", "start", end.alias("end"), F.max(end).over(before).alias("seen"))
-    return rows.groupBy("doc_id").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("seen", "start")))).cast("long").alias("n_hit"))
+    rows = runs.select(*DOC, "start", end.alias("end"), F.max(end).over(before).alias("seen"))
+    return rows.groupBy(*DOC).agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("seen", "start")))).cast("long").alias("n_hit"))
+
+
+def search(index: DataFrame, tests: DataFrame) -> DataFrame:
+    """doc, tid, start, window, size of every occurrence of the (stored) windows."""
+    return stored(phrases(index, rarest(tests, index)), "found")
 
 
 def occurrences(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, start, window, size of every occurrence; the windows)."""
-    docs = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """(doc, tid, start, window, size of every occurrence; the windows), by an index of the benchmark's terms."""
     tests = stored(windows(benchmark.select(F.col(item).alias("item_id"), F.col(text).alias("text")), width), "tests")
-    index = build_index(docs, stored(tests.select("term").distinct(), "vocabulary"))
-    ranked = rarest(tests, index)
-    return stored(phrases(index, ranked), "found"), tests
+    # rows that repeat a key and a text are indexed each, which changes no count below
+    index = build_index(named(documents, key, text), stored(tests.select("term").distinct(), "vocabulary"))
+    return search(index, tests), tests
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted array of item ids as strings) of every row."""
     found, tests = occurrences(documents, benchmark, width, key, item, text)
     owner = tests.select("window", "item_id").distinct()
-    items = found.select("doc_id", "window").distinct().join(broadcast_if_small(owner), "window").select("doc_id", F.col("item_id").cast("string").alias("item")).distinct()
-    items = items.groupBy("doc_id").agg(F.sort_array(F.collect_list("item")).alias("items"))  # as long as the benchmark at most
-    base = documents.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), n_words(F.col(text)).alias("n_words"))
-    out = base.join(hit_words(found), "doc_id", "left").join(items, "doc_id", "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` without any hit, all columns kept; rows with a null key stay."""
-    bad = stored(occurrences(docs, benchmark, key=key)[0].select(F.col("doc_id").alias("__bad")).distinct(), "bad")
-    return docs.join(broadcast_if_small(bad), docs[key] == bad["__bad"], "left_anti")
+    items = found.select(*DOC, "window").distinct().join(broadcast_if_small(owner), "window").select(*DOC, F.col("item_id").cast("string").alias("item")).distinct()
+    items = items.groupBy(*DOC).agg(F.sort_array(F.collect_list("item")).alias("items"))  # as long as the benchmark at most
+    base = named(documents, key, text).select(*DOC, n_words(F.col("text")).alias("n_words"))
+    out = base.join(hit_words(found), [*DOC], "left").join(items, [*DOC], "left")
+    key_ = F.nullif(F.col("doc"), F.lit(NO_KEY)).alias("doc_id")
+    return out.select(key_, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` without any hit in their text, all columns kept."""
+    bad = stored(occurrences(docs, benchmark, key=key, text=text)[0].select(*(F.col(c).alias(f"__{c}") for c in DOC)).distinct(), "bad")
+    fits = (F.coalesce(docs[key].cast("long"), F.lit(NO_KEY)) == bad["__doc"]) & (F.xxhash64(docs[text]) == bad["__tid"])
+    return docs.join(broadcast_if_small(bad), fits, "left_anti")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
