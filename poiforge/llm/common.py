@@ -23,13 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own in local mode, where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = have.get() if have.isDefined() else "file://" + tempfile.mkdtemp(prefix="poiforge-")
-        if not have.isDefined():
+        if have.isDefined():
+            at = have.get()
+        elif spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+            at = "file://" + tempfile.mkdtemp(prefix="poiforge-")
             spark.sparkContext.setCheckpointDir(at)
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return at.rstrip("/")
 
 
@@ -41,7 +45,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back."""
     path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads, nor the result."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, items: Column | None = None) -> DataFrame:
@@ -51,6 +64,14 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, items: Column
     return F.broadcast(df) if n <= rows and (listed or 0) <= 20 * rows else df
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, lengthened until no column has it (in any case)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def string_parts(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets of each value from 0, valid) of a string column; a null has no bytes."""
     if isinstance(arr, pa.ChunkedArray):

@@ -2,8 +2,8 @@
 
 Sharding. Every window of `width` bytes has an anchor, the leftmost smallest hash among its substrings of `ANCHOR` bytes; equal
 windows have equal anchors at the same offset. A run is what the windows of one anchor occurrence cover. Anchors are counted over all
-texts, and the runs of those that occur twice go on. Equal runs are aggregated by a 128-bit hash before their bytes are
-shuffled: one of each is cut out of the texts, with the number of its occurrences, and sharded by anchor, so that equal windows meet in one shard.
+texts, and the runs of those that occur twice go on. Equal runs are aggregated by two 64-bit hashes, of the anchor and
+of the run, before their bytes are shuffled: one of each is cut out of the texts, with the number of its occurrences, and sharded by anchor, so that equal windows meet in one shard.
 
 Sorting. A shard is one text on disk, of any size; its suffixes are sorted by external induction, with common prefixes (see
 induced_sort). A window is repeated if its suffix shares `width` bytes with a neighbour in this order, where a run that stands for several
@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import _BYTE, Powers, blocks, broadcast_if_small, covered, i64, mix64, rolling, spans_of, stored, string_parts, table
+from poiforge.llm.common import _BYTE, Powers, blocks, broadcast_if_small, covered, discard, i64, mix64, rolling, spans_of, stored, string_parts, table
 from poiforge.llm.induced_sort import MEMORY, Stream, Work, repeated
-from poiforge.llm.substring_dedup import chosen, sliding
+from poiforge.llm.substring_dedup import sliding
 
 WIDTH = 200
 #: Bytes of an anchor; a window has width - ANCHOR + 1 of them, so one place in 80 is an anchor.
@@ -44,9 +44,10 @@ CROWD, CELLS = 32 << 20, (21, 1)
 #: Bytes of a shard, at most about (shards are smaller where there are more cores).
 SHARD = 1 << 30
 #: Bytes of a text that one vectorised step works on.
-BLOCK = 1 << 18
-_GRAM, _ONE, _TWO = Powers(0x9FB21C651E98DF25), Powers(0xC3A5C85C97CB3127), Powers(0xB492B66FBE98F273)
-_TOP, _ODD = np.uint64(2**64 - 1), np.uint64(0x9E3779B97F4A7C15)
+BLOCK = 1 << 16
+_GRAM, _RUN = Powers(0x9FB21C651E98DF25), Powers(0xC3A5C85C97CB3127)
+#: Low bits that hold a place in a piece of text, which has 2 * BLOCK + WIDTH bytes at most.
+_PLACE, _MIX = np.uint64(2**20 - 1), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def slices(flat: np.ndarray, at: np.ndarray, width: int, most: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -60,69 +61,64 @@ def slices(flat: np.ndarray, at: np.ndarray, width: int, most: int = BLOCK) -> I
 
 
 def anchors(flat: np.ndarray, at: np.ndarray, width: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of the `size` bytes from each place, smallest of each window, whether the window stays in its text)."""
+    """(windows that stay in their text, place of each one's anchor, hash of the `size` bytes from each place).
+
+    The smallest hash is found together with its place, which stands in the low bits: of equal hashes the leftmost one wins."""
     n, many = len(flat), width - size + 1
-    gram = np.full(n, _TOP)
-    if n >= size:
-        gram[: n - size + 1] = mix64(rolling(_BYTE[flat], size, _GRAM))
-    left = np.repeat(at[1:], np.diff(at)) - np.arange(n)
-    gram[left < size] = _TOP
-    if n < many:
-        return gram, np.zeros(0, np.uint64), np.zeros(0, bool)
-    return gram, sliding(gram, many, np.minimum), (left >= width)[: n - many + 1]
+    if n < width:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    gram = rolling(_BYTE[flat], size, _GRAM)
+    gram ^= gram >> np.uint64(31)
+    gram *= _MIX
+    order = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
+    inside = np.ones(n - width + 1, bool)
+    for end in at[1:-1].tolist():  # windows across the end of a text; grams across it are in no others
+        inside[max(0, end - width + 1) : end] = False
+    starts = np.flatnonzero(inside)
+    return starts, (sliding(order, many, np.minimum)[starts] & _PLACE).astype(np.int64), gram
 
 
 class Hashes:
-    """128-bit hashes of any substrings of a piece of text."""
+    """Hashes of any substrings of a piece of text."""
 
     def __init__(self, flat: np.ndarray):
-        self.parts = []
-        for powers in (_ONE, _TWO):
-            up, down = powers.get(len(flat) + 1)
-            total = np.zeros(len(flat) + 1, np.uint64)
-            np.cumsum(_BYTE[flat] * up[: len(flat)], out=total[1:])
-            self.parts.append((total, down))
+        up, self.down = _RUN.get(len(flat) + 1)
+        self.total = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum(_BYTE[flat] * up[: len(flat)], out=self.total[1:])
 
-    def of(self, lo: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
-        return [i64(mix64((total[lo + length] - total[lo]) * down[lo] + length.astype(np.uint64))) for total, down in self.parts]
+    def of(self, lo: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return i64(mix64((self.total[lo + length] - self.total[lo]) * self.down[lo] + length.astype(np.uint64)))
 
 
 def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
-_RUNS = "t1 long, t2 long, place_id long, key long, h1 long, h2 long, start long, windows int, place long"
+_RUNS = "t1 long, t2 long, key long, hash long, start int, windows int, place int"
+
+
+def _run(t1, t2, key, hash_, start, windows, place) -> dict[str, np.ndarray]:
+    return {"t1": t1, "t2": t2, "key": i64(key), "hash": hash_, "start": start.astype(np.int32), "windows": windows.astype(np.int32), "place": place.astype(np.int32)}
 
 
 def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
     """docs: t1, t2 (digest of the text), text. A row per run of windows of one anchor occurrence, with the hash of its bytes."""
-    many = width - size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text", BLOCK):
                 whole, bounds, _ = string_parts(part.column(2))
                 for flat, at, base in slices(whole, bounds, width):
-                    gram, smallest, inside = anchors(flat, at, width, size)
-                    starts = np.flatnonzero(inside)
+                    starts, own, gram = anchors(flat, at, width, size)
                     if not len(starts):
                         continue
-                    place = chosen(gram, smallest, inside, many)
-                    # the leftmost place from the window's start on that has its smallest hash
-                    before = np.zeros(len(gram) + 1, np.int64)
-                    before[place + 1] = 1
-                    own = np.cumsum(before, out=before)[starts]
-                    while len(wrong := np.flatnonzero(gram[place[own]] != smallest[starts])):
-                        own[wrong] += 1
                     first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                     lo, count = starts[first], np.diff(np.append(first, len(starts)))
-                    h1, h2 = Hashes(flat).of(lo, count + width - 1)
                     text = np.searchsorted(at, lo, "right") - 1
-                    t1, t2 = (np.asarray(part.column(i))[text] for i in (0, 1))
-                    anchor = place[own[first]]
+                    anchor = own[first]
                     shift = base - at[text]
-                    where = mix64(t1.view(np.uint64) + mix64(t2.view(np.uint64) + (anchor + shift).astype(np.uint64) * _ODD))
-                    yield _batch({"t1": t1, "t2": t2, "place_id": i64(where), "key": i64(gram[anchor]), "h1": h1, "h2": h2, "start": lo + shift, "windows": count.astype(np.int32), "place": anchor + shift})
+                    t1, t2 = (np.asarray(part.column(i))[text] for i in (0, 1))
+                    yield _batch(_run(t1, t2, gram[anchor], Hashes(flat).of(lo, count + width - 1), lo + shift, count, anchor + shift))
 
     return docs.mapInArrow(run, _RUNS)
 
@@ -154,16 +150,15 @@ def _cell_rows(docs: DataFrame, width: int, size: int, cell: int) -> DataFrame:
                         base = int(lo.min())
                         piece = data[base : int((lo + windows).max()) + width - 1]
                         hashes = Hashes(piece)
-                        h1, h2 = hashes.of(lo - base, windows + width - 1)
                         common = width - np.minimum(cell - 1, many - 1 - near)
-                        key = hashes.of(anchor - near - base, common)[0] ^ near
-                        yield _batch({"t1": np.full(len(lo), t1), "t2": np.full(len(lo), t2), "place_id": lo, "key": key, "h1": h1, "h2": h2, "start": lo, "windows": windows.astype(np.int32), "place": anchor})
+                        key = hashes.of(anchor - near - base, common) ^ near
+                        yield _batch(_run(np.full(len(lo), t1), np.full(len(lo), t2), key, hashes.of(lo - base, windows + width - 1), lo, windows, anchor))
 
     return docs.mapInArrow(run, _RUNS)
 
 
 def _body_rows(docs: DataFrame, width: int) -> DataFrame:
-    """docs: t1, t2, text, runs (key, h1, h2, n, start, windows). A row per run, with its bytes."""
+    """docs: t1, t2, text, runs (key, hash, several, start, windows). A row per run, with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,22 +167,23 @@ def _body_rows(docs: DataFrame, width: int) -> DataFrame:
                     data, runs = raw.encode(), runs.values
                     for k in range(0, len(runs), 5000):
                         some = runs.slice(k, 5000)
-                        lo, windows = (np.asarray(some.field(i)).astype(np.int64) for i in (4, 5))
+                        lo, windows = (np.asarray(some.field(i)).astype(np.int64) for i in (3, 4))
                         body = pa.array([data[a:b] for a, b in zip(lo.tolist(), (lo + windows + width - 1).tolist(), strict=True)], pa.binary())
-                        yield pa.RecordBatch.from_arrays([*(some.field(i) for i in range(4)), body], names=["key", "h1", "h2", "n", "body"])
+                        yield pa.RecordBatch.from_arrays([*(some.field(i) for i in range(3)), body], names=["key", "hash", "several", "body"])
 
-    return docs.mapInArrow(run, "key long, h1 long, h2 long, n long, body binary")
+    return docs.mapInArrow(run, "key long, hash long, several boolean, body binary")
 
 
 def sort_shard(batches: Iterator[pa.RecordBatch], width: int, work: Work) -> Iterator[pa.RecordBatch]:
-    """batches: key, h1, h2, n (equal runs that it stands for), body. A row per stretch of repeated windows of a run, as a, b (half-open)."""
-    text, runs = Stream((np.uint16,), work), Stream((np.int64,) * 6, work)
+    """batches: key, hash, several (whether it stands for several equal runs), body. A row per stretch of repeated windows of a run, as a, b (half-open)."""
+    text, runs = Stream((np.uint16,), work), Stream((np.int64, np.int64, bool, np.int64, np.int32), work)
     for batch in (whole.slice(k, 1024) for whole in batches for k in range(0, whole.num_rows, 1024)):
-        flat, at, _ = string_parts(batch.column(4))
+        flat, at, _ = string_parts(batch.column(3))
         rows = np.arange(batch.num_rows)
         laid = np.ones(len(flat) + len(rows), np.uint16)  # 1 ends each run
         laid[np.arange(len(flat)) + np.repeat(rows, np.diff(at))] = flat.astype(np.uint16) + 2
-        runs.add(*(np.asarray(batch.column(i)) for i in range(4)), text.n + at[:-1] + rows, np.diff(at) - width + 1)
+        keys = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:3]]
+        runs.add(*keys, text.n + at[:-1] + rows, np.diff(at) - width + 1)
         text.add(laid)
     if not runs.n:
         return
@@ -195,34 +191,36 @@ def sort_shard(batches: Iterator[pa.RecordBatch], width: int, work: Work) -> Ite
     flags = repeated(np.asarray(np.memmap(text.files[0], np.uint16, "r+", shape=(text.n,))), width, work)
     step = 1024
     for k in range(0, runs.n, step):
-        key, h1, h2, n, at, windows = runs.read(k, min(runs.n, k + step))
-        end = int(runs.read(k + step, k + step + 1)[4][0]) if k + step < runs.n else text.n
+        key, hash_, several, at, windows = runs.read(k, min(runs.n, k + step))
+        end = int(runs.read(k + step, k + step + 1)[3][0]) if k + step < runs.n else text.n
         lo, size = at - at[0], end - int(at[0])
         # windows that lie inside their run; all of them where the run stands for several
-        fine = covered(size, lo, lo + windows) & (flags[at[0] : end] | covered(size, lo[n > 1], (lo + windows)[n > 1]))
+        fine = covered(size, lo, lo + windows) & (flags[at[0] : end] | covered(size, lo[several], (lo + windows)[several]))
         lo, hi = (x + at[0] for x in spans_of(fine))
         o = np.searchsorted(at, lo, "right") - 1
-        yield _batch({"key": key[o], "h1": h1[o], "h2": h2[o], "a": lo - at[o], "b": hi - at[o]})
+        yield _batch({"key": key[o], "hash": hash_[o], "a": (lo - at[o]).astype(np.int32), "b": (hi - at[o]).astype(np.int32)})
 
 
 def _sorted_rows(bodies: DataFrame, width: int, shards: int, memory: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sort_shard(batches, width, Work(memory))
 
-    return bodies.repartition(shards, "key").mapInArrow(run, "key long, h1 long, h2 long, a long, b long")
+    return bodies.repartition(shards, "key").mapInArrow(run, "key long, hash long, a int, b int")
 
 
 def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD, memory: int = MEMORY) -> DataFrame:
     """doc_id, text of every row, with `spans` (repeated windows' starts, half-open; null: none) and `whole` (the text occurs twice)."""
     spark = documents.sparkSession
     size = ANCHOR if width > 2 * ANCHOR else max(1, width // 2)
-    same, ident = ["t1", "t2"], ["key", "h1", "h2"]
+    same, ident = ["t1", "t2"], ["key", "hash"]
     digest = [F.xxhash64(F.col(text)).alias("t1"), F.xxhash64(F.lit(1), F.col(text)).alias("t2")]
     docs = documents.select(*digest, F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(key).alias("doc_id"))
     # the row with the smallest key stands for all copies of a text
     copies = stored(docs.groupBy(*same).agg(F.count("*").alias("n"), F.min("doc_id").alias("rep")), "texts")
     found = stored(_run_rows(docs.select(*same, "text"), width, size), "runs")
-    several = stored(found.groupBy("key").agg(F.min("place_id").alias("x"), F.max("place_id").alias("y")).where("x <> y").select("key"), "shared")
+    # an occurrence is a place of a distinct text; two hashed places that differ make two occurrences
+    where = F.xxhash64(*same, "place")
+    shared = stored(found.groupBy("key").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x <> y").select("key"), "shared")
 
     def pick(lists: DataFrame, column: str) -> DataFrame:
         """t1, t2, text and the list (bounded by its text), for the row that stands for the text."""
@@ -232,14 +230,16 @@ def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width
         return docs.join(lists, fits).select(*same, "text", column)
 
     def counted(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Distinct runs with the number of their occurrences and one of them, and keys of two occurrences at least, with their bytes."""
+        """Distinct runs, with one of their occurrences and whether there are several; keys of two occurrences at least, with their bytes."""
         one = [F.first(c).alias(c) for c in (*same, "start", "windows")]
-        named = stored(runs.groupBy(*ident).agg(F.count("*").alias("n"), *one), "named")
-        groups = named.groupBy("key").agg(F.sum("n").alias("all"), F.sum(F.col("windows") + F.lit(width - 1)).alias("bytes")).where("all > 1")
+        named = stored(runs.groupBy(*ident).agg((F.count("*") > 1).alias("several"), *one), "named")
+        two = (F.count("*") > 1) | F.bool_or("several")
+        groups = named.groupBy("key").agg(two.alias("two"), F.sum(F.col("windows") + F.lit(width - 1)).alias("bytes")).where("two")
         return named, stored(groups.select("key", "bytes"), "groups")
 
     # copies of a text have equal rows
-    runs = stored(found.join(several, "key").dropDuplicates([*same, "start"]).drop("place_id"), "shared_runs")
+    runs = stored(found.join(shared, "key").dropDuplicates([*same, "start"]), "shared_runs")
+    discard(found, shared)
     named, groups = counted(runs)
     all_runs, wanted, total = None, None, 0
     for cell in (*CELLS, None):
@@ -254,10 +254,10 @@ def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width
             break
         lists = runs.join(hot, "key").groupBy(*same).agg(F.collect_list(F.struct("start", "windows", "place")).alias("runs"))
         # repeated rows, also of the key that stands for a text, have equal cells
-        runs = stored(_cell_rows(pick(lists, "runs"), width, size, cell).dropDuplicates([*same, "start"]).drop("place_id"), "cells")
+        runs = stored(_cell_rows(pick(lists, "runs"), width, size, cell).dropDuplicates([*same, "start"]), "cells")
         named, groups = counted(runs)
 
-    lists = wanted.groupBy(*same).agg(F.collect_list(F.struct(*ident, "n", "start", "windows")).alias("runs"))
+    lists = wanted.groupBy(*same).agg(F.collect_list(F.struct(*ident, "several", "start", "windows")).alias("runs"))
     shards = max(2 * spark.sparkContext.defaultParallelism, -(-total // SHARD))
     spans = stored(_sorted_rows(_body_rows(pick(lists, "runs"), width), width, shards, memory), "spans")
     spans = all_runs.join(spans, ident).select(*same, (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
