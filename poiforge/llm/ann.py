@@ -1,15 +1,20 @@
 """Approximate nearest neighbours by inner product, over balanced posting lists.
 
 Largest inner product is turned into smallest distance by one more coordinate, sqrt(M^2 - |x|^2) with M the largest norm (0 for
-queries). Lists come from a bounded sample: it is halved at the median along its widest direction until the leaves have the wanted size,
-so lists are balanced; a leaf's mean is its centroid. Every vector of the table goes to its nearest list, and boundary
-vectors also to others whose centroid is at most `CLOSURE` times as far (up to `REPLICAS`). A query walks a nearest-neighbour
-graph of the centroids, held in memory, and reads all lists whose centroid is at most `RATIO` times as far as the nearest one: their
-number isn't capped, since the walk goes on from every centroid within the ratio.
+queries). Lists come from a bounded sample: it is halved at the median along its widest direction until the leaves have the wanted size;
+a leaf's mean is its centroid. Every vector of the table goes down the same halvings to its list, so lists stay balanced over all rows;
+boundary vectors also go to other lists whose centroid is at most `CLOSURE` times as far as their own (up to `REPLICAS`). A query walks a
+nearest-neighbour graph of the centroids, held in memory, and reads all lists whose centroid is at most `ratio` times as far as the nearest
+one: their number isn't capped, since the walk goes on from every centroid within the ratio.
+
+The ratio is fit, not set: for `ASKED` vectors of the sample it is the least one that reaches `RECALL` of their nearest neighbours within the
+sample. These are farther than those in the whole table, so they ask for more lists. Vectors in clusters need few lists; vectors
+spread evenly in many dimensions need nearly all, as for any index of this kind.
 
 Equal vectors are stored once, with their TOP + 1 smallest ids: more can't be among a query's nearest. Lists are dealt out in blocks of
 `BLOCK` vectors and chunks of `CHUNK` queries, so a list that a third of all rows fall into is searched by many tasks. Vectors
-stream past; only a block's vectors are held. Scores are inner products of the original vectors in double precision.
+stream past; only a block's vectors are held. Scores are inner products of the original vectors in double precision, added up pair
+by pair, so they don't depend on blocks.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, neither do rows with a null id or vectors whose
 length isn't the most frequent one (the larger one on ties); a repeated id with equal vectors counts once, with different vectors
@@ -29,71 +34,131 @@ from pyspark.sql import functions as F
 from poiforge.llm.common import stored, table
 
 TOP = 20
-#: Vectors that the lists are fit on, at least and for each list; vectors per list that are aimed at, and lists at most.
-SAMPLE, SAMPLE_LIST, LIST, MOST_LISTS = 20_000, 40, 256, 4_000
-REPLICAS, CLOSURE = 4, 1.15
-#: Distance ratio up to which a query reads lists, lists at least, and the least width of the graph search.
-RATIO, LEAST_LISTS, BEAM = 1.35, 24, 128
-DEGREE = 24
+#: Vectors that the lists are fit on, at least and for each list, and bytes of them at most; vectors per list that are aimed at, lists at most.
+SAMPLE, SAMPLE_LIST, SAMPLE_BYTES, LIST, MOST_LISTS = 20_000, 40, 256 << 20, 256, 16_384
+REPLICAS, CLOSURE = 4, 1.1
+#: Recall that the distance ratio is fit for, queries and vectors of the sample that it is fit on, and lists that are read at least.
+RECALL, ASKED, AMONG, LEAST_LISTS = 0.98, 400, 40_000, 2
+#: Neighbours of a centroid in the graph, and centroids that a walk goes on from whatever the ratio.
+DEGREE, BEAM = 24, 32
 BLOCK, CHUNK = 4_096, 4_096
 #: Hits that a search task holds before it merges those of a query from several lists.
 HELD = 1_000_000
 
 
-def halved(x: np.ndarray, rows: np.ndarray, most: int) -> list[np.ndarray]:
-    """Row sets of at most so many rows each, by halving at the median along the direction of largest variance."""
-    out, todo = [], [rows]
-    while todo:
-        r = todo.pop()
-        if len(r) <= most:
-            out.append(r)
-            continue
-        c = x[r] - x[r].mean(0)
-        v = np.ones(x.shape[1])
-        for _ in range(8):  # power iteration
-            v = c.T @ (c @ v)
-            size = np.linalg.norm(v)
-            if size == 0:
+@dataclass
+class Halvings:
+    """A tree of median splits. Node i sends x to left[i] if x . way[i] <= at[i], else to right[i]; ~leaf numbers are leaves."""
+
+    way: np.ndarray
+    at: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    @classmethod
+    def fit(cls, x: np.ndarray, most: int) -> tuple[Halvings, list[np.ndarray]]:
+        """(the tree, rows of each leaf). Leaves have at most so many rows, unless all their rows are equal."""
+        ways, at, children, leaves = [], [], [], []
+
+        def grow(rows: np.ndarray) -> int:
+            if len(rows) > most:
+                mean = x[rows].mean(0)
+                c = x[rows] - mean
                 v = np.ones(x.shape[1])
-                break
-            v /= size
-        order = np.argsort(c @ v, kind="stable")
-        todo += [r[order[: len(r) // 2]], r[order[len(r) // 2 :]]]
-    return out
+                for _ in range(8):  # power iteration
+                    v = c.T @ (c @ v)
+                    size = np.linalg.norm(v)
+                    if size == 0:
+                        break
+                    v /= size
+                along = x[rows] @ v
+                bar = np.sort(along)[(len(rows) - 1) // 2]
+                low = along <= bar
+                if 0 < low.sum() < len(rows):
+                    node = len(ways)
+                    ways.append(v), at.append(bar), children.append([0, 0])
+                    children[node] = [grow(rows[low]), grow(rows[~low])]
+                    return node
+            leaves.append(rows)
+            return ~(len(leaves) - 1)
+
+        grow(np.arange(len(x)))
+        pairs = np.array(children, np.int64).reshape(-1, 2)
+        return cls(np.array(ways).reshape(-1, x.shape[1]), np.array(at), pairs[:, 0], pairs[:, 1]), leaves
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        node = np.full(len(x), 0 if len(self.at) else -1)
+        while len(go := np.flatnonzero(node >= 0)):
+            n = node[go]
+            low = (x[go] * self.way[n]).sum(1) <= self.at[n]
+            node[go] = np.where(low, self.left[n], self.right[n])
+        return ~node
 
 
 @dataclass
 class Index:
-    """Centroids in the augmented space, and the graph that leads to the nearest ones."""
+    """Centroids in the augmented space, the halvings that lead a vector to its list, and the graph that leads a query to the nearest centroids."""
 
+    tree: Halvings
     centroids: np.ndarray
     largest: float
     graph: np.ndarray
+    ratio: float = 1.0
 
     @classmethod
     def fit(cls, sample: np.ndarray, largest: float, lists: int) -> Index:
-        x = cls.augment(sample, largest)
-        leaves = halved(x, np.arange(len(x)), max(1, -(-len(x) // max(1, lists))))
+        x = cls.augment(sample.astype(np.float64), largest)
+        tree, leaves = Halvings.fit(x, max(1, -(-len(x) // max(1, lists))))
         centroids = np.array([x[r].mean(0) for r in leaves])
-        near = ((centroids**2).sum(1)[:, None] - 2 * centroids @ centroids.T + (centroids**2).sum(1)[None]).argsort(1, kind="stable")[:, 1 : DEGREE + 1]
-        graph = np.zeros((len(centroids), len(centroids)), bool)
-        np.put_along_axis(graph, near, True, 1)
+        n = len(centroids)
         # a ring keeps the graph connected
-        graph[np.arange(len(centroids)), (np.arange(len(centroids)) + 1) % len(centroids)] = True
-        return cls(centroids, largest, graph | graph.T)
+        near = [(np.arange(n) + 1) % n, (np.arange(n) - 1) % n]
+        graph = np.empty((n, min(DEGREE, n) + 2), np.int32)
+        graph[:, -2], graph[:, -1] = near
+        for lo in range(0, n, 1024):
+            d = cls._distances(centroids[lo : lo + 1024], centroids)
+            graph[lo : lo + 1024, :-2] = np.argpartition(d, graph.shape[1] - 3, axis=1)[:, : graph.shape[1] - 2]
+        index = cls(tree, centroids, largest, graph)
+        index._fit_ratio(x)
+        return index
 
     @staticmethod
     def augment(x: np.ndarray, largest: float) -> np.ndarray:
         return np.concatenate([x, np.sqrt(np.maximum(largest**2 - (x**2).sum(1), 0))[:, None]], 1)
 
-    def assign(self, x: np.ndarray) -> list[np.ndarray]:
-        """Lists of each vector: the nearest, and others within CLOSURE."""
+    @staticmethod
+    def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum((a**2).sum(1)[:, None] - 2 * a @ b.T + (b**2).sum(1)[None], 0))
+
+    def _fit_ratio(self, x: np.ndarray) -> None:
+        """The least distance ratio that finds RECALL of the sample's own nearest neighbours."""
+        step = max(1, len(x) // AMONG)
+        x = x[::step]
+        queries = x[:: max(1, len(x) // ASKED)].copy()
+        queries[:, -1] = 0  # a query has no norm to fill up
+        score = queries[:, :-1] @ x[:, :-1].T
+        top = np.argsort(-score, axis=1, kind="stable")[:, : TOP + 1]  # the query itself is among them
+        found = np.unique(top)
+        lists, where = self.assign(x[found, :-1])
+        far = self._distances(queries, self.centroids)
+        far /= np.maximum(far.min(1, keepdims=True), 1e-300)
+        first = np.searchsorted(where, np.arange(len(found) + 1))
+        need = []
+        for q, wanted in zip(far, np.searchsorted(found, top), strict=True):
+            need += [q[lists[first[w] : first[w + 1]]].min() for w in wanted.tolist()]
+        self.ratio = float(np.quantile(need, RECALL)) * (1 + 1e-9)
+
+    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(list, row) pairs by row: a vector's own list, and others whose centroid is at most CLOSURE times as far."""
         a = self.augment(x, self.largest)
-        d = np.sqrt(np.maximum((a**2).sum(1)[:, None] - 2 * a @ self.centroids.T + (self.centroids**2).sum(1)[None], 0))
+        d = self._distances(a, self.centroids)
+        rows, own = np.arange(len(a)), self.tree.leaf(a)
+        bar = d[rows, own]
+        d[rows, own] = -1  # comes first
         k = min(REPLICAS, d.shape[1])
         some = np.argpartition(d, k - 1, axis=1)[:, :k]
-        far = np.take_along_axis(d, some, 1)
-        return [s[f <= CLOSURE * m] for s, f, m in zip(some, far, far.min(1), strict=True)]
+        fits = np.take_along_axis(d, some, 1) <= CLOSURE * bar[:, None]
+        return some[fits], np.repeat(rows, fits.sum(1))
 
     def lists_for(self, query: np.ndarray) -> np.ndarray:
         """Search over the graph in waves, from all centroids among the BEAM nearest or within the distance ratio, then pruning by the ratio."""
@@ -104,11 +169,12 @@ class Index:
         while len(fresh):
             d[fresh] = ((self.centroids[fresh] - q) ** 2).sum(1)
             beam = np.partition(d, BEAM - 1)[BEAM - 1] if len(d) > BEAM else np.inf
-            go = ~walked & np.isfinite(d) & (d <= max(beam, RATIO**2 * d.min()))
+            go = ~walked & np.isfinite(d) & (d <= max(beam, self.ratio**2 * d.min()))
             walked |= go
-            fresh = np.flatnonzero(self.graph[go].any(0) & np.isinf(d))
+            fresh = np.unique(self.graph[go])
+            fresh = fresh[np.isinf(d[fresh])]
         found = np.argsort(d, kind="stable")
-        return found[(np.arange(len(d)) < LEAST_LISTS) & np.isfinite(d[found]) | (np.sqrt(d[found]) <= RATIO * np.sqrt(d.min()))]
+        return found[(np.arange(len(d)) < LEAST_LISTS) & np.isfinite(d[found]) | (np.sqrt(d[found]) <= self.ratio * np.sqrt(d.min()))]
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -147,19 +213,19 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
     groups = stored(ids.groupBy("v").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids")), "vectors")
     n = groups.count()
     lists_ = min(MOST_LISTS, -(-n // LIST))
-    size = max(SAMPLE, SAMPLE_LIST * lists_)
+    size = max(1, min(max(SAMPLE, SAMPLE_LIST * lists_), SAMPLE_BYTES // (4 * dim)))
+    lists_ = min(lists_, -(-size // 8))
     part = min(1_000_000, 1_000_000 * size // max(1, n) + 1)
     taken = groups.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < part).orderBy(F.xxhash64("rep")).select("v").limit(size).toArrow()
     sample = _matrix(taken["v"].combine_chunks(), dim) if taken.num_rows else _matrix(groups.select("v").limit(1).toArrow()["v"].combine_chunks(), dim)
-    index = spark.sparkContext.broadcast(Index.fit(sample, largest, lists_))  # bounded by MOST_LISTS
+    index = spark.sparkContext.broadcast(Index.fit(sample, largest, lists_))  # bounded by MOST_LISTS and SAMPLE_BYTES
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part_ = batch.slice(lo, 1024)
-                lists = index.value.assign(_matrix(part_.column(0), dim))
-                at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).astype(np.int32)), *(c.take(pa.array(at)) for c in (part_.column(1), part_.column(2), part_.column(0)))], names=["list", "id", "ids", "v"])
+                lists, at = index.value.assign(_matrix(part_.column(0), dim))
+                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), *(c.take(pa.array(at)) for c in (part_.column(1), part_.column(2), part_.column(0)))], names=["list", "id", "ids", "v"])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,11 +281,15 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
                     k = min(top + 1, scores.shape[1])
                     bar = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
                     out: list[tuple] = []
-                    for i, (s, b) in enumerate(zip(scores, bar, strict=True)):
+                    bar -= 1e-12 * (np.abs(bar) + largest**2)  # what a product of blocks may be off
+                    hit, near = np.nonzero(scores >= bar[:, None])
+                    exact = (q[at + hit] * x[near]).sum(1)  # the same for any block
+                    cuts_ = np.searchsorted(hit, np.arange(len(scores) + 1)).tolist()
+                    for i, (a, b) in enumerate(zip(cuts_, cuts_[1:], strict=False)):
                         me = int(qid[at + i])
-                        some = np.flatnonzero(s >= b)
-                        some = some[np.lexsort((rep[some], -s[some]))][: top + 1]
-                        picked = [(-s[j], v) for j in some.tolist() for v in ids[j] if v != me]
+                        some, s = near[a:b], exact[a:b]
+                        order = np.lexsort((rep[some], -s))[: top + 1]
+                        picked = [(-e, v) for e, j in zip(s[order].tolist(), some[order].tolist(), strict=True) for v in ids[j] if v != me]
                         out += [(me, v, -float(e)) for e, v in sorted(picked)[:top]]
                     if out:
                         a, b_, c = zip(*out, strict=True)

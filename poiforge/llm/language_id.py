@@ -7,9 +7,12 @@ Samples have the same length for all languages, so the counts compare without fu
 The automata become transition tables, and all blocks of a batch of texts step through them in lockstep, one character
 at a time. Texts longer than `BLOCK` characters are parsed in blocks (a phrase ends at a block's border), every block counts.
 
+The pipeline's filter rejects texts that need many more phrases a character than labelled text does: `SLACK` times the rate
+that all but a hundredth of the sample's unused documents stay under. Texts below `SHORT` characters are never rejected for that.
+
 Edge cases: a null or empty text, or one without any letter, is `und` with score 0. A language needs a non-null label and
 a letter in its sample; without any such row every text is `und`. Ties go to the smaller label. Rows are
-judged one by one, so repeated rows get equal results; extra columns are ignored.
+judged one by one, so repeated rows get equal results; extra columns may have any names, also those of the results.
 """
 
 from __future__ import annotations
@@ -22,15 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import table
+from poiforge.llm.common import free_name, table
 
 #: The sample that the automata are fit on: at most so many normalised characters of all languages together, of one language,
-#: and of one document. Languages beyond the most frequent MAX_LANGUAGES aren't learned.
-SAMPLE_TOTAL, SAMPLE_LANGUAGE, SAMPLE_DOCUMENT, MAX_LANGUAGES = 160_000, 32_000, 800, 64
+#: and of one document. Languages beyond the most frequent MAX_LANGUAGES would get less than a document each and aren't learned.
+#: All samples are as long as the shortest one, but for languages with less than a quarter of their share, which don't shorten the others.
+SAMPLE_TOTAL, SAMPLE_LANGUAGE, SAMPLE_DOCUMENT, MAX_LANGUAGES = 160_000, 32_000, 800, 200
 #: Characters that a lane parses before it starts anew.
 BLOCK = 1024
-#: Texts whose best language needs more phrases a character than this are rejected by the pipeline's filter.
-MOST_PHRASES = 0.8
+#: The filter's limit is SLACK times the rate of labelled text, MOST_PHRASES without any left to measure; shorter texts pass.
+SLACK, MOST_PHRASES, SHORT = 1.8, 0.5, 24
 
 _OTHER = 1  # class of letters that no sample has; 0 is a border (anything but a letter)
 
@@ -94,6 +98,18 @@ class CrossParser:
         self.dead = np.int32(at * self.width)  # the last row: the next character begins a phrase
         self.roots = np.array(self.roots, np.int32)
         self.lookup: np.ndarray | None = None
+        #: phrases a character from which the filter takes a text for gibberish
+        self.limit = MOST_PHRASES
+
+    def measure(self, texts: dict[str, list[str]]) -> None:
+        """Sets the limit by labelled texts that the automata weren't built from."""
+        rates = []
+        for k, own in texts.items():
+            if k in self.languages and own:
+                count, size = self.phrases(own)
+                rates += (count[:, self.languages.index(k)] / np.maximum(size, 1))[size >= SHORT].tolist()
+        if rates:
+            self.limit = SLACK * float(np.quantile(rates, 0.99))
 
     def _class_of(self, points: np.ndarray) -> np.ndarray:
         if self.lookup is None:
@@ -162,18 +178,30 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
     rows = docs.withColumn("_h", F.xxhash64(F.col(key))).where(F.pmod(F.col("_h"), F.lit(1_000_000)) < bound)
     picked = rows.select(label, key, "_h", F.substring(text, 1, 2 * SAMPLE_DOCUMENT).alias("_t")).where(F.length("_t") > 0).withColumn("_n", F.row_number().over(few)).where(F.col("_n") <= most)
     samples: dict[str, str] = {}
+    rest: dict[str, list[str]] = {}
     for r in sorted(picked.collect(), key=lambda r: (r[label], r["_n"])):
-        samples[r[label]] = (samples.get(r[label], "") + " " + normalise(r["_t"])[:SAMPLE_DOCUMENT])[:share]
+        have = samples.get(r[label], "")
+        if len(have) < share:
+            samples[r[label]] = (have + " " + normalise(r["_t"])[:SAMPLE_DOCUMENT])[:share]
+        else:
+            rest.setdefault(r[label], []).append(r["_t"][:SAMPLE_DOCUMENT])
     least = min((len(s) for s in samples.values() if s.strip()), default=0)
-    return CrossParser({k: s[: max(least, share // 4)] for k, s in samples.items()})
+    parser = CrossParser({k: s[: max(least, share // 4)] for k, s in samples.items()})
+    parser.measure(rest)
+    return parser
+
+
+def result_names(kept: list[str]) -> list[str]:
+    return [free_name(c, kept) for c in ("lang_pred", "score", "phrase_rate")]
 
 
 def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (default: all) with lang_pred, score (1 - best / second-best phrase count; 1 with one language) and
+    """The columns `keep` (default: all) with lang_pred, score and phrase_rate, lengthened by underscores where a kept column has the name: score (1 - best / second-best phrase count; 1 with one language),
     phrase_rate (phrases per normalised character under the winner; null for `und`)."""
     keep = docs.columns if keep is None else keep
-    spare = "__text"
-    source = docs.select(*keep, F.col(text).alias(spare))
+    results = result_names(keep)
+    plain = [f"c{i}" for i in range(len(keep))]  # any names pass, also such with dots
+    source = docs.select(*(F.col(f"`{c}`").alias(p) for c, p in zip(keep, plain, strict=True)), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(parser)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +210,7 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: lis
         p: CrossParser = shared.value
         names = np.array([*p.languages, "und"], object)
         for batch in batches:
-            for part in blocks(batch, spare, 4 << 20):
+            for part in blocks(batch, "text", 4 << 20):
                 count, size = p.phrases([t or "" for t in part.column(len(keep)).to_pylist()])
                 if p.languages:
                     best = count.argmin(1)
@@ -195,11 +223,11 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: lis
                 best = np.where(none, len(p.languages), best)
                 rate = np.where(none, np.nan, fewest / np.maximum(size, 1))
                 extra = [pa.array(names[best], pa.string()), pa.array(np.where(none, 0.0, score)), pa.array(rate, from_pandas=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *extra], names=[*keep, "lang_pred", "score", "phrase_rate"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *extra], names=[*plain, "lang", "score", "rate"])
 
     kinds = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["lang_pred string, score double, phrase_rate double"])
-    return source.mapInArrow(run, schema)
+    schema = ", ".join([f"{p} {kinds[c]}" for c, p in zip(keep, plain, strict=True)] + ["lang string, score double, rate double"])
+    return source.mapInArrow(run, schema).toDF(*keep, *results)
 
 
 def held_out(key: str = "doc_id") -> F.Column:
@@ -214,12 +242,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(docs: DataFrame, parser: CrossParser) -> DataFrame:
-    """The rows with a language: some letter, and phrases that aren't gibberish for the winner. Columns stay."""
-    helper = [c for c in docs.columns if c in ("lang_pred", "score", "phrase_rate")]
-    if helper:
-        raise ValueError(f"columns of the documents clash with results: {helper}")
+    """The rows with a language: some letter, and phrases that aren't gibberish for the winner. Columns stay, whatever their names."""
+    lang, _, rate = result_names(docs.columns)
     found = identify(docs, parser)
-    return found.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") <= MOST_PHRASES)).select(*docs.columns)
+    short = F.length("text") < SHORT
+    return found.where((F.col(lang) != "und") & (short | (F.col(rate) <= parser.limit))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def crc_mod(key: int) -> int:

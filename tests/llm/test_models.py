@@ -54,6 +54,31 @@ def test_language_edges(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in language_id.identify(odd_docs, none).collect()} == {"und"}
     kept = language_id.keep_languages(odd_docs, parser)
     assert kept.columns == odd_docs.columns and kept.where("doc_id in (4, 5, 6)").count() == 0
+    clash = odd_docs.selectExpr("*", "'x' AS score", "'x' AS lang_pred", "'x' AS phrase_rate", "'x' AS __text", "'x' AS text_", "'x' AS `a.b`")
+    again = language_id.keep_languages(clash, parser)
+    assert again.columns == clash.columns and again.count() == kept.count() and {r.score for r in again.collect()} == {"x"}
+    assert language_id.identify(clash, parser).columns == [*clash.columns, "lang_pred_", "score_", "phrase_rate_"]
+
+
+def test_language_filter_rejects_gibberish_and_keeps_short_texts(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    parser = language_id.fit(docs)
+    rnd = random.Random(2)
+    junk = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400)), " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(6)) for _ in range(60))]
+    short = ["A.", "I", "ok", "the"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(junk + short)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in language_id.keep_languages(rows, parser).collect()) == [2, 3, 4, 5]
+    labelled = docs.where("text rlike '[A-Za-z]'")
+    assert language_id.keep_languages(labelled, parser).count() == labelled.count()
+
+
+def test_language_of_very_long_and_of_one_language(spark):
+    parser = language_id.CrossParser({"x": "abc abd abe", "y": "xyz xyw"})
+    rows = spark.createDataFrame([(1, "abc abd " * 40_000), (2, "xyw " * 3)], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(rows, parser).collect()} == {1: "x", 2: "y"}
+    alone = language_id.identify(rows, language_id.CrossParser({"x": "abc"})).collect()
+    assert {(r.lang_pred, r.score) for r in alone} == {("x", 1.0)}
 
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -175,6 +200,42 @@ def test_ann_edges(spark):
     assert ann.nearest(df.where("vec_id = 0")).count() == 0
 
 
+def clustered(rnd, n, dim, clusters):
+    centres = rnd.normal(size=(clusters, dim))
+    x = centres[rnd.integers(0, clusters, n)] + 0.35 * rnd.normal(size=(n, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_ann_prunes_balances_and_recalls():
+    """Over a hundred lists: a small part of the vectors is read, and nearly all neighbours are found."""
+    rnd = np.random.default_rng(6)
+    x = clustered(rnd, 40_000, 24, 300)
+    index = ann.Index.fit(x[::2], 1.0, 156)
+    lists, rows = index.assign(x)
+    sizes = np.bincount(index.tree.leaf(index.augment(x, 1.0)))
+    assert len(sizes) >= 128 and sizes.max() < 2 * sizes.mean() and set(rows.tolist()) == set(range(len(x)))
+    read, hits, queries = 0, 0, range(0, len(x), 200)
+    for q in queries:
+        mine = np.unique(rows[np.isin(lists, index.lists_for(x[q]))])
+        read += len(mine)
+        s = x @ x[q]
+        hits += len(set(np.argsort(-s)[:20].tolist()) & set(mine[np.argsort(-s[mine])[:20]].tolist()))
+    assert hits >= 0.95 * 20 * len(queries) and read < 0.3 * len(x) * len(queries)
+
+
+def test_ann_query_prunes_over_many_lists(spark):
+    rnd = np.random.default_rng(8)
+    x = np.round(clustered(rnd, 30_000, 8, 400), 6)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, every=500).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    want = ann.brute_force(list(enumerate(x.tolist())), every=500)
+    assert set(got) == set(want) and all([n for n, *_ in sorted(g)] == list(range(1, 21)) for g in got.values())
+    assert sum(len({v for _, v, _ in got[q]} & {v for v, _ in e}) for q, e in want.items()) >= 0.95 * 20 * len(want)
+    assert all(s == (x[q] * x[v]).sum() for q, g in got.items() for _, v, s in g)
+
+
 def test_ann_ratio_alone_decides_the_lists():
     rnd = np.random.default_rng(5)
     x = rnd.normal(size=(12_000, 64))
@@ -182,5 +243,5 @@ def test_ann_ratio_alone_decides_the_lists():
     index = ann.Index.fit(x, 1.0, 600)
     for q in x[:40]:
         d = np.sqrt(((index.centroids - np.append(q, 0.0)) ** 2).sum(1))
-        within = set(np.flatnonzero(d <= ann.RATIO * d.min()).tolist())
-        assert len(within) > ann.BEAM and within <= set(index.lists_for(q).tolist())
+        within = set(np.flatnonzero(d <= index.ratio * d.min()).tolist())
+        assert len(within) > ann.BEAM and within <= {int(i) for i in index.lists_for(q)}
