@@ -367,24 +367,114 @@ class Sweep:
         if len(have):
             queued[slot] = False
         edge = start[:-1][counts + given > 0]
-        at, wide = 0, 256
-        while at < n:
-            end = min(n, at + wide)
-            gap = place[at:end] < 0
-            size = int(gap.argmax()) if gap.any() else end - at
-            wide = min(step, max(256, 2 * size))
-            end = at + size
-            shared[edge[np.searchsorted(edge, at) : np.searchsorted(edge, end)]] = 0
-            s = seam[np.searchsorted(seam, at) : np.searchsorted(seam, end)]
-            if len(s):
-                shared[s] = extended(self.text, place[s - 1], place[s], np.ones(len(s), np.int64), self.depth)
+        shared[edge] = 0
+
+        def put(at: int, end: int, inside: int) -> None:
+            """Emits slots and puts what stands before them into slots and queues; characters before `inside` have theirs already."""
             self.emit(place[at:end], shared[at:end], queued[at:end])
             c, p, v = self._put_before(place[at:end], source[at:end], shared[at:end])
-            cut = int(np.searchsorted(c, hi))
-            if cut:
-                fill(c[:cut], p[:cut], v[:cut])
+            first, cut = np.searchsorted(c, (inside, hi)).tolist()
+            if first < cut:
+                fill(c[first:cut], p[first:cut], v[first:cut])
+                shared[edge[np.isin(edge, start[c[first:cut] - lo])]] = 0
             queues.put(c[cut:], p[cut:], v[cut:])
-            at = end
+
+        def seams(at: int, end: int) -> None:
+            s = seam[np.searchsorted(seam, at) : np.searchsorted(seam, end)]
+            if len(s):
+                shared[s] = extended(self.text, place[s - 1], place[s], np.ones(len(s), np.int64), self.depth)
+
+        first = 0
+        while first < hi - lo:
+            last = max(first + 1, int(np.searchsorted(start, start[first] + step, "right")) - 1)
+            at, end = int(start[first]), int(start[last])
+            if end - at <= step:
+                # whole characters: what they put into each other is ordered at once
+                if (place[at:end] < 0).any():
+                    self._close(lo + first, lo + last, at, end, place, shared, start[first : last + 1], free[first:last], seams)
+                else:
+                    seams(at, end)
+                if at < end:
+                    put(at, end, lo + last)
+            wide = 256
+            while end - at > step and at < end:
+                # one large character: as far as its slots are filled
+                stop = min(end, at + wide)
+                gap = place[at:stop] < 0
+                size = int(gap.argmax()) if gap.any() else stop - at
+                wide = min(step, max(256, 2 * size))
+                seams(at, at + size)
+                put(at, at + size, 0)
+                at += size
+                if end - at <= step:
+                    while at < end:
+                        gap = place[at:end] < 0
+                        size = int(gap.argmax()) if gap.any() else end - at
+                        seams(at, at + size)
+                        put(at, at + size, 0)
+                        at += size
+            first = last
+
+    def _close(self, lo: int, hi: int, at: int, end: int, place: np.ndarray, shared: np.ndarray, start: np.ndarray, free: np.ndarray, seams: Callable) -> None:
+        """Fills the slots at:end of the characters lo:hi that tuples of these same characters are put into.
+
+        First all of them are found, generation by generation. A tuple's slot follows from its source's slot among those of its character; where
+        the source has none yet, it counts as the first free one of its character, which is refined until no two are equal. Common
+        prefixes are then settled in the order in which those that they depend on are."""
+        known = np.flatnonzero(place[at:end] >= 0)
+        places, parents, characters, size = [place[at:end][known].astype(np.int64)], [], [], len(known)
+        while True:
+            before = self.text[places[-1] - 1]
+            c = self.character(before)
+            go = np.flatnonzero(((before & 1) == self.kind) & (places[-1] > 0) & (c < hi))
+            if not len(go):
+                break
+            parents.append(go + size - len(places[-1]))
+            characters.append(c[go] - lo)
+            places.append(places[-1][go] - 1)
+            size += len(go)
+        parent, c = np.concatenate(parents), np.concatenate(characters)
+        slot = np.concatenate([known + at, free[c]])
+        mine = slot[len(known) :]
+        while True:
+            key = (c << 40) | slot[parent]
+            order = np.argsort(key)
+            key, by = key[order], c[order]
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = key[1:] != key[:-1]
+            group = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]]))
+            offset = np.arange(len(key)) - np.repeat(group, np.diff(np.append(group, len(key))))
+            offset = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0)) - np.arange(len(key)) + offset
+            mine[order] = free[by] + offset
+            if fresh.all():
+                break
+        place[mine] = np.concatenate(places[1:])
+        seams(at, end)
+        of = slot[parent[order]]  # sources in the order of the slots
+        slots = mine[order]
+        character = np.repeat(np.arange(len(start) - 1), np.diff(start))  # of each slot
+        # next to a tuple of the same queue from the same window, whose source has the same character
+        pair = np.flatnonzero((by[1:] == by[:-1]) & (character[of[1:] - at] == character[of[:-1] - at]))
+        shared[slots] = np.minimum(1, self.depth)
+        shared[slots[slots == start[by]]] = 0
+        left, a, b = slots[pair + 1], of[pair] + 1, of[pair + 1]
+        unsettled = np.zeros(end - at + 1, bool)
+        window = np.append(shared[at:end], 0)
+        left, a, b = left - at, a - at, b - at
+        unsettled[left] = True
+        while len(left):
+            open_ = np.concatenate([[0], np.cumsum(unsettled)])
+            ready = open_[b + 1] == open_[a]
+            x, y = a[ready], b[ready]
+            if int((y - x).sum()) < 4 * len(window):
+                ends = np.stack([x, y + 1], 1).ravel()
+                value = np.minimum.reduceat(window, ends)[::2]
+            else:
+                value = RangeMin(window).of(x, y)
+            window[left[ready]] = np.minimum(value.astype(np.int64) + 1, self.depth)
+            unsettled[left[ready]] = False
+            left, a, b = left[~ready], a[~ready], b[~ready]
+        shared[at:end] = window[:-1]
 
 
 def _typed(text: np.ndarray, block: int) -> None:
