@@ -12,14 +12,17 @@ sweep; so no text is compared. A sweep meets suffixes in order, so a queue is fi
 characters are one priority queue. A character with more tuples than the budget has a file of its own, which is read and
 lengthened at the same time; the others share runs on disk, sorted by ranges of characters that fit the budget when their turn comes.
 
-Only `memory` tuples and blocks of `BULK` are in memory. Texts and their names are memory-mapped files, read by place; all
-files are nameless ones in the executor's own Spark scratch folder, as those of a spilling sort, and end with the task.
+Only `memory` tuples and blocks of `BULK` are in memory. Texts and their names are memory-mapped files, read by place, whose pages are let
+go again when about `RESIDENT` bytes of them may be mapped. All files are nameless ones in the executor's own Spark scratch folder, as
+those of a spilling sort, and end with the task.
 """
 
 from __future__ import annotations
 
+import mmap
 import os
 import tempfile
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,6 +31,8 @@ import numpy as np
 MEMORY = 1 << 18
 #: Suffixes of one vectorised step.
 BULK = 1 << 15
+#: Bytes of files that stay mapped, about.
+RESIDENT = 160 << 20
 #: Names that are sorted without files.
 BASE = 1 << 10
 _SHIFT, _LOW = 20, (1 << 20) - 1
@@ -37,11 +42,34 @@ _LOG[2:] = np.floor(np.log2(np.arange(2, BULK + 2))).astype(np.int64)
 
 
 class Work:
-    """What a sort has used: recursion depth, and bytes written to queues and runs."""
+    """What a sort has used: recursion depth, and bytes written to queues and runs; and the files that it has mapped."""
 
     def __init__(self, memory: int = MEMORY, bulk: int = BULK, base: int = BASE):
         self.memory, self.bulk, self.base = memory, min(bulk, BULK, memory), max(base, 4)
-        self.depth = self.written = 0
+        self.depth = self.written = self.touched = 0
+        self.maps: list[weakref.ref] = []
+
+    def array(self, n: int, kind) -> np.ndarray:
+        """A zeroed array in a memory-mapped file without a name."""
+        with _file() as f:
+            f.truncate(max(n, 1) * np.dtype(kind).itemsize)
+            return self._mapped(f, n, kind, mmap.ACCESS_WRITE)
+
+    def _mapped(self, f, n: int, kind, access: int) -> np.ndarray:
+        # several arrays are alive at once; an array keeps its map alive
+        pages = mmap.mmap(f.fileno(), 0, access=access)
+        self.maps = [r for r in self.maps if r() is not None] + [weakref.ref(pages)]
+        return np.frombuffer(pages, kind, n)
+
+    def touch(self, places: int) -> None:
+        """So many places have been looked at, each perhaps on a page of its own. Pages that are let go are read again from the system's cache."""
+        self.touched += places * mmap.PAGESIZE
+        if self.touched > RESIDENT:
+            self.touched = 0
+            alive = [m for r in self.maps if (m := r()) is not None]
+            if sum(map(len, alive)) > RESIDENT:
+                for m in alive:
+                    m.madvise(mmap.MADV_DONTNEED)
 
 
 def _file():
@@ -49,12 +77,6 @@ def _file():
     return tempfile.TemporaryFile(dir=folder if folder and os.path.isdir(folder) else None)
 
 
-def array(n: int, kind) -> np.ndarray:
-    """A zeroed array in a memory-mapped file without a name."""
-    with _file() as f:
-        return np.asarray(np.memmap(f, kind, "w+", shape=(max(n, 1),)))[:n]
-
-
 def place_kind(n: int) -> type:
     return np.int32 if n < 2**31 - 2 else np.int64
 
@@ -77,6 +99,10 @@ class Stream:
     def read(self, lo: int, hi: int) -> list[np.ndarray]:
         return [np.frombuffer(os.pread(f.fileno(), (hi - lo) * k.itemsize, lo * k.itemsize), k) for f, k in zip(self.files, self.kinds, strict=True)]
 
+    def array(self, column: int = 0, access: int = mmap.ACCESS_READ) -> np.ndarray:
+        """A column as a mapped array."""
+        return self.work._mapped(self.files[column], self.n, self.kinds[column], access)
+
     def backwards(self, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """From the last tuple to the first; a stored common prefix belongs to the tuple and the one that follows it in this direction."""
         before = 0
@@ -261,6 +287,7 @@ class Sweep:
 
     def _put_before(self, place: np.ndarray, source: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(character, place, shared) of the suffixes that these put into queues, by character."""
+        self.work.touch(len(place))
         before = self.text[place - 1]
         go = np.flatnonzero(((before & 1) == self.kind) & (place > 0))
         key = (self.character(before[go]) << _SHIFT) | go
@@ -300,7 +327,7 @@ class Sweep:
     def run(self, counts: np.ndarray, given: np.ndarray, reader: Reader) -> None:
         """counts: tuples that come by queues; given: tuples that the reader has, both by character."""
         step, memory = self.work.bulk, self.work.memory
-        total = array(self.sigma + 1, np.int64)
+        total = self.work.array(self.sigma + 1, np.int64)
         for lo in range(0, self.sigma, 1 << 20):
             part = counts[lo : lo + (1 << 20)] + given[lo : lo + (1 << 20)]
             total[lo + 1 : lo + 1 + len(part)] = total[lo] + np.cumsum(part)
@@ -514,9 +541,10 @@ def _named(text: np.ndarray, star: np.ndarray, sigma: int, depth: int, work: Wor
     bits = int(sigma + 1).bit_length()
     inf = np.uint64((1 << bits) - 1)
     kind = place_kind(m)
-    rank = array(m, kind)  # place of the first one of its group
+    rank = work.array(m, kind)  # place of the first one of its group
 
     def words(i: np.ndarray, done: int, many: int) -> np.ndarray:
+        work.touch(len(i))
         at = star[i].astype(np.int64)
         end = np.where(i + 1 < m, star[np.minimum(i + 1, m - 1)], at).astype(np.int64)
         out = np.zeros(len(i), np.uint64)
@@ -558,6 +586,7 @@ def _named(text: np.ndarray, star: np.ndarray, sigma: int, depth: int, work: Wor
             new = np.maximum.accumulate(np.where(fresh, place, -1))
             new = np.where(new >= 0, new, head)
             rank[i] = new
+            work.touch(len(i))
             head, last, head_of = int(new[-1]), key[-1], int(old[-1])
             at = int(inside[-1]) + 1
             # groups of several that go on; the last group of a block may go on in the next one
@@ -578,18 +607,19 @@ def _named(text: np.ndarray, star: np.ndarray, sigma: int, depth: int, work: Wor
         whole = np.concatenate(waiting) if waiting else np.zeros(0, np.int64)
         sort = _enqueue(again, whole if len(whole) > 1 else whole[:0], open_, words, rank, done, later, bits, work, kind)
         done, first = done + later, False
-    head_at = array(m + 1, bool)
+    head_at = work.array(m + 1, bool)
     for lo in range(0, m, work.bulk):
         head_at[rank[lo : lo + work.bulk]] = True
-    dense = array(m, kind)
+    dense = work.array(m, kind)
     names = 0
     for lo in range(0, m, work.bulk):
         part = np.cumsum(head_at[lo : min(m, lo + work.bulk)])
         dense[lo : lo + len(part)] = names + part - 1
         names += int(part[-1])
-    out = array(m, np.int32 if names < 2**30 else np.int64)
+    out = work.array(m, np.int32 if names < 2**30 else np.int64)
     for lo in range(0, m, work.bulk):
         out[lo : lo + work.bulk] = dense[rank[lo : lo + work.bulk]]
+        work.touch(work.bulk)
     return out, names
 
 
@@ -642,7 +672,7 @@ def sort_suffixes(text: np.ndarray, sigma: int, depth: int, work: Work, emit: Ca
     else:
         out = None
     _typed(text, work.bulk)
-    of = {"L": array(sigma, np.int64), "S": array(sigma, np.int64), "*": array(sigma, np.int64)}
+    of = {kind: work.array(sigma, np.int64) for kind in "LS*"}
     stars = Stream((places,), work)
     for part in _stars(text, work.bulk):
         stars.add(part)
@@ -651,7 +681,7 @@ def sort_suffixes(text: np.ndarray, sigma: int, depth: int, work: Work, emit: Ca
         part = text[lo : min(n - 1, lo + work.bulk)]
         np.add.at(of["S"], part[(part & 1) == 1] >> 1, 1)
         np.add.at(of["L"], part[(part & 1) == 0] >> 1, 1)
-    star = np.asarray(np.memmap(stars.files[0], places, "r", shape=(stars.n,)))
+    star = stars.array()
     names, kinds = _named(text, star, sigma, depth, work)
     # every name goes on by two characters at least
     ranked = sort_suffixes(names, kinds, depth // 2 + 1, work, None, level + 1)
@@ -659,6 +689,7 @@ def sort_suffixes(text: np.ndarray, sigma: int, depth: int, work: Work, emit: Ca
     def ordered() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         last = None
         for r, equal in ranked.backwards(work.bulk):
+            work.touch(len(r))
             r, equal = r.astype(np.int64), equal.astype(np.int64)
             place = star[r].astype(np.int64)
             before = np.concatenate([place[:1] if last is None else last, place[:-1]])
@@ -690,11 +721,12 @@ def repeated(text: np.ndarray, depth: int, work: Work | None = None) -> np.ndarr
 
     Characters 1 separate strings; the text is overwritten."""
     work = work or Work()
-    out = array(len(text), bool)
+    out = work.array(len(text), bool)
     last = np.zeros(1, np.int64)
 
     def mark(place: np.ndarray, shared: np.ndarray) -> None:
         nonlocal last
+        work.touch(len(place))
         at = np.flatnonzero(shared >= depth)
         out[place[at]] = True
         out[np.concatenate([last, place[:-1]])[at]] = True

@@ -24,6 +24,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import mmap
 from collections import Counter
 from collections.abc import Iterator
 
@@ -188,7 +189,7 @@ def sort_shard(batches: Iterator[pa.RecordBatch], width: int, work: Work) -> Ite
     if not runs.n:
         return
     text.add(np.zeros(1, np.uint16))
-    flags = repeated(np.asarray(np.memmap(text.files[0], np.uint16, "r+", shape=(text.n,))), width, work)
+    flags = repeated(text.array(access=mmap.ACCESS_WRITE), width, work)
     step = 1024
     for k in range(0, runs.n, step):
         key, hash_, several, at, windows = runs.read(k, min(runs.n, k + step))
@@ -258,7 +259,7 @@ def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width
         named, groups = counted(runs)
 
     lists = wanted.groupBy(*same).agg(F.collect_list(F.struct(*ident, "several", "start", "windows")).alias("runs"))
-    shards = max(2 * spark.sparkContext.defaultParallelism, -(-total // SHARD))
+    shards = max(4 * spark.sparkContext.defaultParallelism, -(-total // SHARD))
     spans = stored(_sorted_rows(_body_rows(pick(lists, "runs"), width), width, shards, memory), "spans")
     spans = all_runs.join(spans, ident).select(*same, (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
     # neighbouring starts merge before they are gathered per text
