@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poiforge.operators.lineage import small
+
 # Weights, limits and boosts of the scoring rules.
 WEIGHTS = (0.40, 0.40, 0.20)
 REACH = 500.0
@@ -63,7 +65,7 @@ def best_code(rows: DataFrame, key: str, naics: str, sic: str, codes: DataFrame)
     for system, n, c in lists:
         part = rows.select(key, F.posexplode(split_codes(F.col(c))).alias("pos", "code")).withColumns({"system": F.lit(system), "source": F.lit(n)})
         each = part if each is None else each.unionByName(part)
-    hit = each.join(F.broadcast(codes), ["system", "code"])  # a seed of about a hundred rows
+    hit = each.join(small(codes), ["system", "code"])
     return hit.groupBy(key).agg(F.min_by(F.struct("lifeline_key", "level", "code", "system"), F.struct("level", "source", "pos")).alias("best")).select(key, "best.*")
 
 
@@ -91,3 +93,33 @@ def highest_isced(c: Column, names: dict[int, str]) -> Column:
 def color_step(score: Column) -> Column:
     """One of 20 steps of a colour ramp."""
     return F.round(score * 20).cast("int")
+
+
+# Fixed value: the layer of a new point by the first two levels of its taxonomy.
+COMPONENT_LAYERS = {
+    ("Energy", "Power Grid"): "power",
+    ("Energy", "Fuel"): "fuel",
+    ("Communications", "Infrastructure"): "telecom",
+    ("Communications", "911 and Dispatch"): "safety",
+    ("Health and Medical", "Medical Care"): "health",
+    ("Health and Medical", "Medical Supply Chain"): "health",
+    ("Health and Medical", "Public Health"): "health",
+    ("Safety and Security", "Fire Service"): "safety",
+    ("Safety and Security", "Law Enforcement/Security"): "safety",
+    ("Safety and Security", "Community Safety"): "safety",
+    ("Safety and Security", "Government Service"): "safety",
+    ("Transportation", "Aviation"): "transportation",
+    ("Transportation", "Railway"): "transportation",
+    ("Transportation", "Maritime"): "transportation",
+    ("Transportation", "Mass Transit"): "transportation",
+    ("Transportation", "Highway Roadway Motor Vehicle"): "transportation",
+    ("Water Systems", "Potable Water Infrastructure"): "water_infrastructure",
+    ("Water Systems", "Wastewater Management"): "water_infrastructure",
+    ("Hazardous Materials", "Facilities"): "fuel",
+}
+
+
+def component_layer(component: Column, subcomponent: Column) -> Column:
+    """The layer of two taxonomy levels, `other` for unknown ones."""
+    known = F.create_map(*(F.lit(x) for (a, b), layer in COMPONENT_LAYERS.items() for x in (f"{a}/{b}", layer)))
+    return F.coalesce(F.try_element_at(known, F.concat(component, F.lit("/"), subcomponent)), F.lit("other"))

@@ -127,27 +127,28 @@ def _words(c: Column, abbreviations: dict[str, str], stop: tuple[str, ...] = ())
     return F.array_join(F.transform(words, expand), " ")
 
 
-def _drop_suffix(c: Column, suffixes: tuple[str, ...]) -> Column:
-    """Without the first of the suffixes that it ends with."""
-    out = c
-    for s in reversed(suffixes):
-        out = F.when(c.endswith(s), F.substring(c, F.lit(1), F.length(c) - len(s))).otherwise(out)
-    return out
+def _drop(c: Column, pattern: str) -> Column:
+    return F.regexp_replace(c, pattern, "")
+
+
+def _ends(suffixes: tuple[str, ...]) -> str:
+    return "(?:" + "|".join(suffixes) + ")$"
+
+
+# The normalisers name every step once: a `when` that repeats its input would double the plan with each step.
 
 
 def normalize_name(c: Column) -> Column:
     """Normaliser A (provider linkage): ASCII, lower case, without filler words and hospital affixes. NULL gives ''."""
     x = _squeeze(F.lower(ascii_fold(F.coalesce(c, F.lit("")))))
-    x = _words(F.regexp_replace(x, " inc$", ""), ABBREVIATIONS_A, STOP_WORDS)
-    x = F.when(x.startswith("hospital "), F.substring(x, F.lit(10), F.length(x))).otherwise(x)
-    return F.trim(_drop_suffix(_drop_suffix(x, HOSPITAL_SUFFIXES), HEALTH_SUFFIXES))
+    x = _words(_drop(x, " inc$"), ABBREVIATIONS_A, STOP_WORDS)
+    return F.trim(_drop(_drop(_drop(x, "^hospital "), _ends(HOSPITAL_SUFFIXES)), _ends(HEALTH_SUFFIXES)))
 
 
 def normalize_name_plain(c: Column) -> Column:
     """Normaliser B (hospital attributes): no folding, so an accented letter becomes a blank."""
-    x = _words(F.regexp_replace(_squeeze(F.lower(F.coalesce(c, F.lit("")))), " inc$", ""), ABBREVIATIONS_B)
-    x = F.when(x.startswith("hospital "), F.substring(x, F.lit(10), F.length(x))).otherwise(x)
-    return F.trim(F.when(x.endswith(" hospital"), F.substring(x, F.lit(1), F.length(x) - 9)).otherwise(x))
+    x = _words(_drop(_squeeze(F.lower(F.coalesce(c, F.lit("")))), " inc$"), ABBREVIATIONS_B)
+    return F.trim(_drop(_drop(x, "^hospital "), " hospital$"))
 
 
 def normalize_name_simple(c: Column) -> Column:
@@ -157,10 +158,13 @@ def normalize_name_simple(c: Column) -> Column:
 
 def strip_brand(c: Column) -> Column:
     """Without the first brand prefix that fits, unless nothing would be left."""
-    out = c
-    for p in reversed(BRAND_PREFIXES):
-        out = F.when(c.startswith(p), F.when(F.length(c) > len(p), F.substring(c, F.lit(len(p) + 1), F.length(c))).otherwise(c)).otherwise(out)
-    return out
+    return _drop(c, "^(?:" + "|".join(BRAND_PREFIXES) + ")(?=.)")
+
+
+def sorted_words(c: Column, distinct: bool = False) -> Column:
+    """The words in order, joined by one space, as the token ratios compare them."""
+    words = F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
+    return F.array_join(F.array_sort(F.array_distinct(words) if distinct else words), " ")
 
 
 # -- addresses ----------------------------------------------------------------------------------------------------------
@@ -176,6 +180,9 @@ def _first(*options: Column) -> Column:
     return F.coalesce(*(F.nullif(o, F.lit("")) for o in options), F.lit(""))
 
 
+# Where house numbers stand in an address and in a display name.
+
+
 def provider_house_number(c: Column) -> Column:
     """Leading digits, else a road number of 2 to 4 digits."""
     s = F.coalesce(c, F.lit(""))
@@ -192,6 +199,7 @@ def place_zip(postcode: Column, display: Column) -> Column:
     return F.when(F.length(five) == 5, five).otherwise(F.regexp_extract(F.coalesce(display, F.lit("")), r"\b(\d{5})\b", 1))
 
 
+# Fixed value: number and street of an address.
 STREET = r"^(\d+[A-Za-z]?(?:-\d+[A-Za-z]?)?)\s+(.*)"
 
 

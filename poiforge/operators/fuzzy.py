@@ -1,7 +1,9 @@
-"""Blocked fuzzy joins and tiered fall-through. Scores are Arrow UDFs, evaluated on distinct name pairs of a block only.
+"""Blocked fuzzy joins and tiered fall-through. Scores are Arrow UDFs, evaluated once for each pair of distinct names of a block.
 
-A fuzzy join is an inner equi-join on the blocking key plus a filter on the score (a Python UDF can't stand in an outer join's
-condition); winners are joined back. Cheap bounds on the lengths keep pairs from the UDF that can't reach the threshold.
+A fuzzy join is an inner equi-join of distinct names on the blocking key plus a filter on the score (a Python UDF can't stand in an outer
+join's condition); ids are joined back by block and name. Bounds that Catalyst evaluates in the join keep pairs from the UDF that
+can't reach the threshold: the edit distance of the sorted words, or a common word. A block with very many distinct names still costs
+the product of both sides' distinct names in comparisons; AQE splits its partition where it is skewed.
 """
 
 from __future__ import annotations
@@ -16,22 +18,41 @@ from poiforge.functions import text
 from poiforge.operators.lineage import cut
 
 
+#: Kernels that compare sets of words, so that a common word may lift any pair over the threshold.
+_SETS = (text.token_set_ratio, text.max_sort_set_ratio)
+#: Kernels with a bound; others go to the UDF without one.
+_BOUNDED = (text.token_sort_ratio, *_SETS)
+
+
 def reachable(a: Column, b: Column, threshold: float) -> Column:
-    """An indel ratio of 100 * 2 * LCS / (m + n) can't pass where the shorter text is too short."""
-    m, n = F.length(a), F.length(b)
-    return 200 * F.least(m, n) >= threshold * (m + n)
+    """Whether an indel ratio 2 * LCS / (m + n) can reach the threshold: the edit distance is at most m + n - 2 * LCS."""
+    return F.levenshtein(a, b) <= (1 - threshold) * (F.length(a) + F.length(b)) + 1e-9
+
+
+def name_matches(left: DataFrame, right: DataFrame, on: list[str], name: str, threshold: float, score: Callable = text.token_sort_ratio, prefilter: bool = True) -> DataFrame:
+    """The block columns, _a, _b (distinct names of a block's sides) and score (0 to 1) where it reaches the threshold."""
+    bounded = prefilter and score in _BOUNDED
+
+    def names(df: DataFrame, alias: str) -> DataFrame:
+        rows = df.where(" AND ".join(f"`{c}` IS NOT NULL AND `{c}` <> ''" for c in [*on, name])).select(*on, F.col(name).alias(alias)).distinct()
+        if not bounded:
+            return rows
+        return rows.withColumns({f"{alias}_sorted": text.sorted_words(F.col(alias)), f"{alias}_set": text.sorted_words(F.col(alias), distinct=True)})
+
+    pairs = names(left, "_a").join(names(right, "_b"), on)
+    if bounded:
+        fits = reachable(F.col("_a_sorted"), F.col("_b_sorted"), threshold)
+        if score in _SETS:
+            fits = fits | F.arrays_overlap(F.split("_a_set", " "), F.split("_b_set", " ")) | reachable(F.col("_a_set"), F.col("_b_set"), threshold)
+        pairs = pairs.where(fits)
+    return pairs.select(*on, "_a", "_b").withColumn("score", score(F.col("_a"), F.col("_b")) / 100).where(F.col("score") >= threshold)
 
 
 def fuzzy_join(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str, name: str, threshold: float, score: Callable = text.token_sort_ratio, prefilter: bool = True) -> DataFrame:
     """left_id, right_id, score (0 to 1) of pairs in one block whose names reach the threshold; empty block keys and names match nothing."""
-    filled = lambda df: df.where(" AND ".join(f"`{c}` IS NOT NULL AND `{c}` <> ''" for c in [*on, name]))
-    a = filled(left).select(left_id, *on, F.col(name).alias("_a"))
-    b = filled(right).select(right_id, *on, F.col(name).alias("_b"))
-    pairs = a.join(b, on)
-    if prefilter and score is text.token_sort_ratio:
-        pairs = pairs.where(reachable(F.regexp_replace(F.trim("_a"), r"\s+", " "), F.regexp_replace(F.trim("_b"), r"\s+", " "), 100 * threshold))
-    names = pairs.select("_a", "_b").distinct().withColumn("score", score(F.col("_a"), F.col("_b")) / 100).where(F.col("score") >= threshold)
-    return pairs.join(names, ["_a", "_b"]).select(left_id, right_id, "score")
+    found = name_matches(left, right, on, name, threshold, score, prefilter)
+    a, b = left.select(left_id, *on, F.col(name).alias("_a")), right.select(right_id, *on, F.col(name).alias("_b"))
+    return found.join(a, [*on, "_a"]).join(b, [*on, "_b"]).select(left_id, right_id, "score")
 
 
 def best_per(pairs: DataFrame, key: str, *order: Column, keep: int = 1) -> DataFrame:
@@ -55,6 +76,43 @@ def geocode_status(country: Column, number: Column, postcode: Column, error: Col
     return F.when(country.isNotNull() & ~country.isin("US", "PR", "VI", "GU", "AS", "MP"), "foreign").when(text.is_empty(number) | text.is_empty(postcode), "bad_address").when(error.isNotNull(), "error").when(score.isNull(), "no_match").when(score < accept, "score_reject").otherwise("ok")
 
 
+def pending(rows: DataFrame, retry: tuple[str, ...], categories: tuple[str, ...] | None = None, status: str = "geocode_status", category: str = "category") -> DataFrame:
+    """Rows to be geocoded again: with one of the statuses, or never tried; of some categories only, if asked."""
+    rows = rows.where(F.col(status).isin(*retry) | F.col(status).isNull())
+    return rows if categories is None else rows.where(F.col(category).cast("string").isin(*categories))
+
+
+def same_city(a: Column, b: Column) -> Column:
+    """Six letters of one city's beginning occur in the other; an unknown second city (NULL or empty) contradicts nothing."""
+    x, y = F.lower(F.coalesce(a, F.lit(""))), F.lower(F.coalesce(b, F.lit("")))
+    return (y == "") | y.contains(F.substring(x, 1, 6)) | x.contains(F.substring(y, 1, 6))
+
+
+def geocode_checked(addresses: DataFrame, queries: DataFrame, query_id: str, accept: float = 0.80) -> DataFrame:
+    """All queries with id, lon and lat of their best address and a status: matched; rejected where the street's score or the city (of the
+    address, column `city` on both sides) fails; no_match; no_housenumber; no_zip."""
+    best = geocode(addresses, queries, query_id, accept=0.0).join(addresses.select("id", F.col("city").alias("_city")), "id")
+    rows = queries.join(best.select(query_id, "id", "score", "lon", "lat", "_city"), query_id, "left")
+    fine = (F.col("score") >= accept) & same_city(F.col("city"), F.col("_city"))
+    status = F.when(text.is_empty(F.col("number")), "no_housenumber").when(text.is_empty(F.col("postcode")), "no_zip").when(F.col("id").isNull(), "no_match").when(fine, "matched").otherwise("rejected")
+    return rows.withColumn("status", status).select(query_id, *(F.when(F.col("status") == "matched", F.col(c)).alias(c) for c in ("id", "score", "lon", "lat")), "status")
+
+
+def narrowing_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, threshold: float = 0.80) -> DataFrame:
+    """Both sides: id, norm, state, zip5, city. A left row looks among the right rows of its state and zip; where there are none, of its state and
+    city; where there are none either, of its state. The best sorted-word score (ties to the smaller id) of the set counts; then each right row keeps its best left row."""
+    left = left.where("state <> '' AND norm <> ''")
+    found, rest = None, left
+    for on in (["state", "zip5"], ["state", "city"], ["state"]):
+        there = right.select(*on).distinct()
+        some = rest.where(" AND ".join(f"{c} <> ''" for c in on)).join(there, on, "left_semi")
+        rest = rest.join(some.select(left_id), left_id, "left_anti")
+        pairs = fuzzy_join(some, right, on, left_id, right_id, "norm", threshold)
+        found = pairs if found is None else found.unionByName(pairs)
+    best = best_per(found, left_id, F.desc("score"), F.asc(right_id))
+    return best_per(best, right_id, F.desc("score"), F.asc(left_id)).select(right_id, left_id, "score")
+
+
 @dataclass(frozen=True)
 class Tier:
     """One step of a cascade: its pairs of (places, providers), with columns place_id, provider_id and score."""

@@ -73,3 +73,54 @@ def cluster_tiles(rows: DataFrame, tx: F.Column, ty: F.Column, layer: str) -> Da
     """Count and most frequent layer (ties to the smaller name) of each tile."""
     counts = rows.groupBy(tx.alias("tile_x"), ty.alias("tile_y"), layer).agg(F.count("*").alias("_n"))
     return counts.groupBy("tile_x", "tile_y").agg(F.sum("_n").alias("n"), F.min(F.struct((-F.col("_n")).alias("m"), F.col(layer).alias("l"))).alias("_b")).select("tile_x", "tile_y", "n", F.col("_b.l").alias("dominant"))
+
+
+def ordered_counts(rows: DataFrame, *columns: str, name: str = "n") -> DataFrame:
+    """Counts by columns (NULL is a group), most frequent first, ties by the columns."""
+    return rows.groupBy(*columns).agg(F.count("*").alias(name)).orderBy(F.desc(name), *columns)
+
+
+def geometry_types(rows: DataFrame, layer: str) -> DataFrame:
+    """layer, geom_type, n: polygons are rows with a ring, points have a position, the rest is none."""
+    kind = F.when(F.col("ring").isNotNull(), "Polygon").when(F.col("lon").isNotNull() & F.col("lat").isNotNull(), "Point").otherwise("None")
+    return rows.groupBy(layer, kind.alias("geom_type")).agg(F.count("*").alias("n"))
+
+
+def filled(c: F.Column) -> F.Column:
+    return c.isNotNull() & (F.trim(c.cast("string")) != "")
+
+
+def comparison(tables: dict[str, DataFrame], metrics: dict[str, dict[str, F.Column]]) -> DataFrame:
+    """One row per metric with one column per table: how many rows hold its condition there; NULL where a table has no such metric."""
+    out = None
+    for name, df in tables.items():
+        mine = {m: by[name] for m, by in metrics.items() if name in by}
+        counts = df.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(m) for m, c in mine.items()))
+        long = counts.unpivot([], list(mine), "metric", name)
+        out = long if out is None else out.join(long, "metric", "full")
+    return out
+
+
+def browse(rows: DataFrame, flag: F.Column, columns: list[str], n: int = 200) -> tuple[DataFrame, DataFrame]:
+    """(how many rows hold the condition, the first n of them by the first column)."""
+    hit = rows.where(flag)
+    return hit.agg(F.count("*").alias("n")), hit.select(*(c for c in columns if c in rows.columns)).orderBy(columns[0]).limit(n)
+
+
+def coverage_filter(rows: DataFrame, beds: F.Column, trauma: F.Column, missing: str = "all") -> DataFrame:
+    """Rows that miss beds, trauma, both, or (all) any rows."""
+    flags = {"beds": ~filled(beds), "trauma": ~filled(trauma), "both": ~filled(beds) & ~filled(trauma), "all": F.lit(True)}
+    return rows.where(flags[missing])
+
+
+def inventory(rows: DataFrame, table: str, linked: str) -> DataFrame:
+    """Rows, linked rows and their percentage for each table of a union."""
+    return rows.groupBy(table).agg(F.count("*").alias("row_count"), F.count(linked).alias("matched"), F.round(100 * F.count(linked) / F.count("*"), 1).alias("match_pct"))
+
+
+def hierarchy_filter(rows: DataFrame, layers: list[str] | None = None, component: str | None = None, subcomponent: str | None = None, category: str | None = None) -> DataFrame:
+    """Rows of the layers switched on (None: all), whose taxonomy levels equal those that are set."""
+    for column, value in (("component", component), ("subcomponent", subcomponent), ("category", category)):
+        if value is not None:
+            rows = rows.where(F.col(column) == value)
+    return rows if layers is None else rows.where(F.col("source_layer").isin(*layers))

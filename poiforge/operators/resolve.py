@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,22 +28,79 @@ def dedup_coordinates(rows: DataFrame, key: str, score: str = "confidence_score"
     return out.select(*rows.columns).unionByName(rows.where("lat IS NULL OR lon IS NULL"))
 
 
+#: Edges of one patch that one task settles; a patch with more of them is left to the rounds.
+PATCH_EDGES = 500_000
+#: Side of a patch, in radii.
+PATCH = 500
+
+
+def _settled(group: pd.DataFrame) -> pd.DataFrame:
+    """group: rows worse, better, rank (of the worse), crossing (the edge leaves the patch; better is NULL). The greedy choice for all
+    components that no edge leaves: their rows that are dropped, and those that are decided (dropped or kept)."""
+    edges = group[~group["crossing"]]
+    nodes, at = np.unique(np.concatenate([edges["worse"].to_numpy(), edges["better"].to_numpy()]), return_inverse=True)
+    n, m = len(nodes), len(edges)
+    worse, better = at[:m], at[m:]
+    label = np.arange(n)
+    while True:  # components by least label, with pointers followed to their ends
+        low = np.minimum(label[worse], label[better])
+        fresh = label.copy()
+        np.minimum.at(fresh, worse, low)
+        np.minimum.at(fresh, better, low)
+        np.minimum.at(fresh, label[worse], low)
+        np.minimum.at(fresh, label[better], low)
+        fresh = fresh[fresh]
+        if (fresh == label).all():
+            break
+        label = fresh
+    leaving = np.isin(nodes, group.loc[group["crossing"], "worse"].to_numpy())
+    open_ = np.zeros(n, bool)
+    open_[label[leaving]] = True
+    decided = ~open_[label]
+    order = np.lexsort((better, worse))
+    first = np.searchsorted(worse[order], np.arange(n + 1))
+    betters = better[order]
+    kept = np.ones(n, bool)
+    ranks = edges["rank"].to_numpy()
+    rank = np.full(n, -1)
+    rank[worse] = ranks  # rows without a better neighbour are kept, whatever their place
+    for i in np.argsort(rank, kind="stable").tolist():
+        mine = betters[first[i] : first[i + 1]]
+        kept[i] = not kept[mine].any()
+    return pd.DataFrame({"node": nodes[decided], "dropped": ~kept[decided]})
+
+
 def suppress_near(rows: DataFrame, key: str, score: str = "confidence_score", radius: float = 10.0, metric: str = "haversine") -> DataFrame:
     """Greedy suppression in score order: a row goes if a better kept row is within the radius.
 
-    A fixed point over the neighbour pairs instead of a loop over rows: a row is kept once all its better neighbours are
-    dropped, dropped once one is kept. Every round decides at least the best undecided row of each component."""
-    spark = rows.sparkSession
-    ranked = rows.select(key, "lon", "lat", F.struct((-F.coalesce(score, F.lit(float("-inf")))).alias("s"), F.col(key).alias("k")).alias("_o"))
-    pairs = radius_join(ranked, ranked.select(F.col(key).alias("_other"), "lon", "lat"), radius, key, "_other", metric).where(F.col(key) != F.col("_other"))
-    orders = ranked.select(F.col(key).alias("_k"), "_o")
-    edges = pairs.join(orders, pairs[key] == orders["_k"]).drop("_k").join(orders.select(F.col("_k").alias("_j"), F.col("_o").alias("_p")), F.col("_other") == F.col("_j")).where("_p < _o").select(F.col(key).alias("worse"), F.col("_other").alias("better"))
-    edges = cut(edges)
-    dropped = spark.createDataFrame([], edges.select("worse").schema)
+    The neighbour pairs are edges from a row to its better ones. Patches of many radii settle the components that lie inside them, each in one
+    task, whatever the length of their chains. What crosses a patch's border, or is too crowded, is a fixed point over the edges left: a row is kept
+    once all its better neighbours are dropped, dropped once one is kept, so every round decides at least the best rows of each component."""
+    place = F.struct((-F.coalesce(score, F.lit(float("-inf")))).alias("s"), F.col(key).alias("k"))
+    ranked = rows.select(F.col(key).alias("_k"), "lon", "lat", place.alias("_o"))
+    pairs = radius_join(ranked, ranked.select(F.col("_k").alias("_j"), "lon", "lat"), radius, "_k", "_j", metric).where("_k <> _j")
+    wide = PATCH * radius / geo.DEGREE
+    patch = F.struct(F.floor(F.col("lon") / wide).alias("x"), F.floor(F.col("lat") / wide).alias("y"))
+    facts = ranked.select("_k", "_o", patch.alias("_p"))
+    edges = pairs.join(facts, "_k").join(facts.select(F.col("_k").alias("_j"), F.col("_o").alias("_q"), F.col("_p").alias("_r")), "_j").where("_q < _o")
+    edges = cut(edges.select(F.col("_k").alias("worse"), F.col("_j").alias("better"), "_o", "_p", "_r"))
+    kind = dict(edges.dtypes)["worse"]
+    # ranks within a patch stand for the order of scores
+    inner = edges.where("_p = _r")
+    crowded = inner.groupBy("_p").count().where(F.col("count") > PATCH_EDGES).select("_p")
+    inner = inner.join(crowded, "_p", "left_anti")
+    rank = F.dense_rank().over(Window.partitionBy("_p").orderBy("_o")).cast("long").alias("rank")
+    nothing = F.lit(None).cast(kind).alias("better")
+    leaving = edges.where("_p <> _r")
+    marks = leaving.select("worse", "_p").unionByName(leaving.select(F.col("better").alias("worse"), F.col("_r").alias("_p"))).distinct()
+    marks = marks.join(inner.select("_p").distinct(), "_p", "left_semi")
+    patches = inner.select("_p", "worse", "better", rank, F.lit(False).alias("crossing")).unionByName(marks.select("_p", "worse", nothing, F.lit(0).cast("long").alias("rank"), F.lit(True).alias("crossing")))
+    settled = cut(patches.groupBy("_p").applyInPandas(lambda g: _settled(g), f"node {kind}, dropped boolean"))
+    dropped = settled.where("dropped").select(F.col("node").alias("worse"))
+    edges = cut(edges.select("worse", "better").join(settled.select(F.col("node").alias("worse")), "worse", "left_anti"))
     while not edges.isEmpty():
         winners = edges.select(F.col("better").alias("worse")).distinct().join(edges.select("worse").distinct(), "worse", "left_anti")
-        losers = edges.join(winners.select(F.col("worse").alias("better")), "better", "left_semi").select("worse").distinct()
-        losers = cut(losers)
+        losers = cut(edges.join(winners.select(F.col("worse").alias("better")), "better", "left_semi").select("worse").distinct())
         dropped = dropped.unionByName(losers)
         # pairs with a decided row are settled: losers no longer drop others
         edges = cut(edges.join(losers, "worse", "left_anti").join(losers.select(F.col("worse").alias("better")), "better", "left_anti"))

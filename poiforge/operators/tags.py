@@ -143,9 +143,9 @@ def filter_layer(features: DataFrame, layer: str) -> DataFrame:
     return features.where(LAYERS[layer].predicate())
 
 
-def extract_layer(features: DataFrame, layer: str) -> DataFrame:
-    """The layer's features: type, id, projected tags, names by language, bounding box, point (a bare hospital or clinic building becomes
-    its centroid) and ring. One scan of the tag table can feed all layers."""
+def extract_layer(features: DataFrame, layer: str, *carried: str) -> DataFrame:
+    """The layer's features: type, id, carried columns, projected tags, names by language, bounding box, point (a bare hospital or clinic
+    building becomes its centroid) and ring. One scan of the tag table can feed all layers."""
     spec = LAYERS[layer]
     ring = F.col("ring")
     area = (F.col("kind") == "area") & ring.isNotNull()
@@ -157,6 +157,7 @@ def extract_layer(features: DataFrame, layer: str) -> DataFrame:
     return rows.select(
         "type",
         "id",
+        *carried,
         *(t(k).alias(k) for k in spec.keys),
         prefix_map("name:", F.col("tags")).alias("names"),
         F.when(area, geo.ring_box(ring)).otherwise(geo.point_box(F.col("lon"), F.col("lat"))).alias("bbox"),

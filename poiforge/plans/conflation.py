@@ -17,7 +17,7 @@ from poiforge.operators import fuzzy, resolve, spatial, tags
 def silver_core(features: DataFrame, layer: str, rules, taxonomy: DataFrame | None = None, bbox: tuple | None = None) -> DataFrame:
     """Extract a layer and give every feature an id, category, cell, taxonomy key, score and tier."""
     keyed = features.withColumn("lifeline_key", tags.match_rules(F.col("tags"), rules))
-    rows = tags.extract_layer(keyed, layer).join(keyed.select("type", "id", "lifeline_key"), ["type", "id"], "left").dropDuplicates(["type", "id"])
+    rows = tags.extract_layer(keyed, layer, "lifeline_key").dropDuplicates(["type", "id"])
     if bbox:
         rows = rows.where(geo.in_boxes(F.col("lon"), F.col("lat"), [bbox]))
     value = score.composite(F.lit(1.0), F.lit(0.0), score.source_score(F.lit(True), F.lit(False)))
@@ -77,37 +77,6 @@ def link_registry(silver: DataFrame, registry: DataFrame, codes: DataFrame, radi
     return resolve.append(out, minted.select(*(c for c in minted.columns if c in out.columns)))
 
 
-def link_providers(places: DataFrame, providers: DataFrame) -> DataFrame:
-    """Five-tier linkage of places (place_id, name, zip5, state, city, number, lon, lat) and providers (provider_id, the same and
-    category, beds), names normalised: position, block keys from narrow to wide, address, then the zip alone."""
-    ready = lambda df: df.withColumn("norm", text.normalize_name(F.col("name")))
-    places, providers = ready(places), ready(providers)
-
-    def by_place(a: DataFrame, b: DataFrame) -> DataFrame:
-        pairs = spatial.radius_join(a, b, 200.0, "place_id", "provider_id", "mercator")
-        return fuzzy.spatial_name_match(pairs, a.select("place_id", F.col("norm").alias("name")), b.select("provider_id", F.col("norm").alias("name")), "place_id", "provider_id", 0.55)
-
-    def by_block(*on: str, threshold: float, kernel=text.max_sort_set_ratio, penalty: bool = True):
-        def match(a: DataFrame, b: DataFrame) -> DataFrame:
-            pairs = fuzzy.fuzzy_join(a, b, list(on), "place_id", "provider_id", "norm", threshold, kernel)
-            if not penalty:
-                return pairs
-            facts = b.select("provider_id", "category", "beds")
-            return pairs.join(facts, "provider_id").withColumn("score", fuzzy.bed_penalty(F.col("score"), F.col("category"), F.col("beds"))).where(F.col("score") >= threshold).drop("category", "beds")
-
-        return match
-
-    tiers = [
-        fuzzy.Tier("spatial", by_place),
-        fuzzy.Tier("zip_name", by_block("state", "zip5", threshold=0.80)),
-        fuzzy.Tier("city_name", by_block("state", "city", threshold=0.80)),
-        fuzzy.Tier("state_name", by_block("state", threshold=0.80)),
-        fuzzy.Tier("address", by_block("zip5", "number", threshold=0.50, kernel=text.token_sort_ratio, penalty=False)),
-        fuzzy.Tier("zip_set", by_block("zip5", threshold=0.75, kernel=text.token_set_ratio, penalty=False)),
-    ]
-    return fuzzy.cascade(places, providers, tiers, "place_id", "provider_id")
-
-
 def link_trauma(places: DataFrame, centres: DataFrame, radius: float = 200.0, threshold: float = 0.70) -> DataFrame:
     """Best name within the radius, nearer first on ties (places: lifeline_id, name; centres: institution_id, name)."""
     pairs = spatial.radius_join(places, centres, radius, "lifeline_id", "institution_id")
@@ -141,6 +110,12 @@ def hospitals(wide_health: DataFrame) -> DataFrame:
     return resolve.suppress_near(resolve.dedup_coordinates(rows, "lifeline_id"), "lifeline_id")
 
 
+def heuristic_buildings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(buildings, nodes) to be merged where no attribute table says which is which: points without a category, and hospital or clinic points."""
+    point = F.col("ring").isNull()
+    return rows.where(F.col("osm_category").isNull() & point), rows.where(F.col("osm_category").isin("hospital", "clinic") & point)
+
+
 def strict(df: DataFrame, columns: dict[str, tuple[Column | None, str]]) -> DataFrame:
     """Exactly these columns and types; None is a NULL stub."""
     return df.select(*((F.lit(None) if c is None else c).cast(kind).alias(name) for name, (c, kind) in columns.items()))

@@ -9,10 +9,6 @@ from poiforge.functions import geo, score, text
 from poiforge.operators import resolve, spatial
 from poiforge.plans.conflation import strict
 
-# Columns of the strict hospital schema that have no source and stay NULL, with their types.
-STUBS = {"ZIP4": "string", "NAICS_DESC": "string", "ALT_NAME": "string", "STATUS": "string", "TTL_STAFF": "long", "POPULATION": "long", "COUNTY": "string", "COUNTYFIPS": "string", "ST_FIPS": "string", "STATE_ID": "string", "OBJECTID": "long", "SOURCEDATE": "string", "VAL_METHOD": "string", "VAL_DATE": "string"}
-
-
 def _get(df: DataFrame, *names: str) -> Column:
     """The first column of these names that the frame has, else NULL."""
     found = next((n for n in names if n in df.columns), None)
@@ -35,19 +31,22 @@ def beds(df: DataFrame) -> Column:
 
 
 def hospital_table(df: DataFrame) -> DataFrame:
-    """Exactly the 32 columns of the hospital schema, with the point."""
+    """Exactly the 32 columns of the hospital schema, in its order; those without a source are NULL. The point is LATITUDE and LONGITUDE."""
+    # The names, their order and types.
     columns: dict[str, tuple[Column | None, str]] = {
         "NAME": (_text(df, "name", "display_name"), "string"),
         "ADDRESS": (F.trim(F.concat_ws(" ", _text(df, "addr:housenumber"), _text(df, "addr:street"))), "string"),
         "CITY": (_text(df, "addr:city"), "string"),
         "STATE": (_text(df, "addr:state"), "string"),
         "ZIP": (F.substring(_text(df, "addr:postcode"), 1, 5), "string"),
+        "ZIP4": (None, "string"),
         "BEDS": (beds(df), "long"),
         "TELEPHONE": (_text(df, "phone"), "string"),
         "WEBSITE": (_text(df, "website"), "string"),
         "LATITUDE": (_get(df, "lat"), "double"),
         "LONGITUDE": (_get(df, "lon"), "double"),
         "NAICS_CODE": (_text(df, "naics_codes"), "string"),
+        "NAICS_DESC": (None, "string"),
         "SOURCE": (_text(df, "source_provenance"), "string"),
         "COUNTRY": (F.lit("USA"), "string"),
         "ID": (_text(df, "lifeline_id"), "string"),
@@ -55,8 +54,20 @@ def hospital_table(df: DataFrame) -> DataFrame:
         "HELIPAD": (_get(df, "hifld_helipad"), "string"),
         "OWNER": (_get(df, "hifld_owner"), "string"),
         "TYPE": (_get(df, "hifld_hospital_type"), "string"),
+        "ALT_NAME": (None, "string"),
+        "STATUS": (None, "string"),
+        "TTL_STAFF": (None, "long"),
+        "POPULATION": (None, "long"),
+        "COUNTY": (None, "string"),
+        "COUNTYFIPS": (None, "string"),
+        "ST_FIPS": (None, "string"),
+        "STATE_ID": (None, "string"),
+        "OBJECTID": (None, "long"),
+        "SOURCEDATE": (None, "string"),
+        "VAL_METHOD": (None, "string"),
+        "VAL_DATE": (None, "string"),
     }
-    return strict(df, columns | {c: (None, kind) for c, kind in STUBS.items()})
+    return strict(df, columns)
 
 
 def authority_layer(authority: DataFrame, silver: DataFrame, layer: str, id_field: str, name_field: str | None, key: str, radius: float = 50.0) -> DataFrame:

@@ -17,8 +17,8 @@ def parquet(spark: SparkSession, *paths: str, columns: list[str] | None = None,
     return df.select(*columns) if columns else df
 
 
-def csv(spark: SparkSession, *paths: str, all_text: bool = False, date_format: str | None = None, skip_bad: bool = True, separator: str = ",") -> DataFrame:
-    """Files with headers, united by column name."""
+def csv(spark: SparkSession, *paths: str, all_text: bool = False, date_format: str | None = None, skip_bad: bool = False, separator: str = ",") -> DataFrame:
+    """Files with headers, united by column name. Malformed rows stay, with NULL where a field is absent or doesn't parse; `skip_bad` drops them."""
     out = None
     for path in paths:
         read = spark.read.option("header", "true").option("sep", separator).option("inferSchema", str(not all_text).lower()).option("mode", "DROPMALFORMED" if skip_bad else "PERMISSIVE")
@@ -27,6 +27,45 @@ def csv(spark: SparkSession, *paths: str, all_text: bool = False, date_format: s
     return out
 
 
+def merged(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A snapshot that is either one file or a folder of partition files of that name, with the union of their columns."""
+    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{name}*")
+
+
+def boundaries(df: DataFrame, codes: list[str], column: str = "code") -> DataFrame:
+    """The rows of these codes; raises unless every code has exactly one, so that a truncated file isn't taken for whole."""
+    rows = df.where(F.col(column).isin(*codes))
+    n, distinct = rows.agg(F.count("*"), F.countDistinct(column)).first()
+    if n != len(set(codes)) or distinct != n:
+        raise ValueError(f"{n} boundaries with {distinct} codes, {len(set(codes))} expected")
+    return rows
+
+
+def places(df: DataFrame) -> DataFrame:
+    """Nested place records as flat rows: the first address, name and category levels, score and position."""
+    address = lambda field: F.get("addresses", F.lit(0))[field]
+    return df.select(
+        F.col("id").alias("place_id"), F.col("names.primary").alias("place_name"), F.get("taxonomy.hierarchy", F.lit(0)).alias("level0"), F.get("taxonomy.hierarchy", F.lit(1)).alias("level1"), "confidence",
+        address("freeform").alias("street"), address("locality").alias("city"), address("region").alias("state"), address("postcode").alias("postcode"), F.col("bbox.xmin").cast("double").alias("lon"), F.col("bbox.ymin").cast("double").alias("lat"),
+    )
+
+
+def valid_postcode(postcode: Column) -> Column:
+    """Five digits; NULL isn't valid."""
+    return F.coalesce(postcode.rlike(r"^\d{5}$"), F.lit(False))
+
+
+# Fixed value: the country and its territories.
+US_COUNTRIES = ("US", "PR", "VI", "GU", "MP", "AS", "UM")
+
+
+def in_region(df: DataFrame, region: str) -> DataFrame:
+    """All rows for ALL; else those with a valid postcode in the country (US: with its territories)."""
+    if region == "ALL":
+        return df
+    return df.where(F.col("country").isin(*(US_COUNTRIES if region == "US" else (region,))) & valid_postcode(F.col("postcode")))
+
+
 def pipe_records(lines: DataFrame, columns: list[str], record_type: str | None = None, column: str = "value") -> DataFrame:
     """Headerless pipe-separated lines of fixed arity as text columns; absent fields are NULL. Records of one type only, if asked."""
     parts = F.split(column, r"\|")
@@ -70,14 +109,33 @@ def find_column(df: DataFrame, *names: str) -> str | None:
 def flatten_properties(df: DataFrame, column: str = "properties") -> DataFrame:
     """Fields of a nested struct as columns; existing names win."""
     fields = [f.name for f in df.schema[column].dataType.fields if f.name not in df.columns]
-    return df.select(*(c for c in df.columns if c != column), *(F.col(f"{column}.`{f}`").alias(f) for f in fields))
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c != column), *(F.col(f"{column}.`{f}`").alias(f) for f in fields))
+
+
+def field(df: DataFrame, name: str) -> Column:
+    """A column by its own name, dots included, else by the path that the dots make; NULL if neither exists."""
+    if name in df.columns:
+        return F.col(f"`{name}`")
+    kind = df.schema
+    for part in name.split("."):
+        kind = getattr(kind, "dataType", kind)
+        if not hasattr(kind, "fieldNames") or part not in kind.fieldNames():
+            return F.lit(None).cast("string")
+        kind = kind[part]
+    return F.col(".".join(f"`{p}`" for p in name.split(".")))
+
+
+#: Columns of an institution that are carried on where the document has them.
+INSTITUTION = ("institution_id", "institution_name", "address", "city", "state", "zip", "latitude", "longitude")
 
 
 def institutions(df: DataFrame) -> DataFrame:
-    """results[] -> childInstitutions[] -> one row each; adult level before pediatric."""
+    """results[] -> childInstitutions[] -> one row each, with its address and position, and the level of its first program with one: adult before pediatric."""
     rows = df.select(F.explode("results").alias("r")).select(F.explode("r.childInstitutions").alias("i"))
+    have = set(rows.schema["i"].dataType.fieldNames())
     level = lambda kind: F.get(F.filter("i.programs", lambda p: (p["program_type"] == kind) & p["level"].isNotNull()), F.lit(0))["level"]
-    return rows.select("i.institution_id", "i.institution_name", F.coalesce(level("adult"), level("pediatric")).alias("trauma_level"))
+    carried = [F.col(f"i.{c}") if c in have else F.lit(None).cast("string").alias(c) for c in INSTITUTION]
+    return rows.select(*carried, F.coalesce(level("adult"), level("pediatric")).alias("trauma_level"))
 
 
 def places_in(df: DataFrame, boxes: list[tuple[float, float, float, float]]) -> DataFrame:
@@ -97,9 +155,18 @@ def allow_list(hierarchy: Column, allowed: list[tuple[str, str | None]]) -> Colu
     return out
 
 
-def newest_release(spark: SparkSession, folder: str) -> str:
-    """Largest release=... partition of a folder, in string order."""
-    return spark.read.parquet(folder).agg(F.max(F.col("release").cast("string"))).first()[0]
+def newest_release(spark: SparkSession, folder: str, names: list[str] | None = None, truncated: bool = False) -> str:
+    """Largest release=... folder in string order, from the folder's listing (or from a listing of names); no table is read.
+    A listing that its service cut short is rejected: the newest name may be missing."""
+    if truncated:
+        raise ValueError("the listing is truncated")
+    if names is None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path) if s.isDirectory()]
+    found = [n.rstrip("/").rpartition("release=")[2] for n in names if "release=" in n]
+    if not found:
+        raise FileNotFoundError(f"no release under {folder}")
+    return max(found)
 
 
 def tower_points(spark_lines: DataFrame, columns: list[str], record_type: str) -> DataFrame:

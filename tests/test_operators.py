@@ -1,3 +1,4 @@
+import math
 import random
 import uuid
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from poiforge.functions import geo, score
-from poiforge.operators import resolve, spatial, tags
+from poiforge.operators import fuzzy, resolve, spatial, tags
 from poiforge.sources import readers, writers
 
 FEATURE = "kind string, type string, id long, tags map<string,string>, lon double, lat double, ring array<struct<x:double,y:double>>"
@@ -123,7 +124,8 @@ def test_sources_and_sinks(spark, tmp_path):
         assert writers.stage(spark, out, lambda: built.append(1) or df).count() == 3
     assert built == [1]
     writers.sorted_table(spark.range(100).select((F.lit(99) - F.col("id")).alias("k")), f"{tmp_path}/sorted", "k", 3)
-    assert spark.read.parquet(f"{tmp_path}/sorted").count() == 100
+    parts = [[r.k for r in spark.read.parquet(f).collect()] for f in sorted(writers.read(spark, f"{tmp_path}/sorted").inputFiles())]
+    assert len(parts) > 1 and [k for part in parts for k in part] == list(range(100))
 
 
 def fetch(offset, size):
@@ -135,3 +137,49 @@ def test_paged_source(spark):
     for options in ({}, {"total": "7"}):
         df = spark.read.format("paged").options(fetch="tests.test_operators:fetch", size="3", **options).load()
         assert sorted(r.row["i"] for r in df.collect()) == [str(i) for i in range(7)]
+
+
+def test_table_versions_are_atomic(spark, tmp_path):
+    """A failed write leaves the version before, a reader of it stays valid while it is replaced, no version is left over."""
+    at = f"{tmp_path}/t"
+    writers.table(spark.range(3), at)
+    bad = spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        writers.table(bad, at)
+    assert writers.read(spark, at).count() == 3
+    assert sorted(r.id for r in writers.update(spark, at, lambda df: df.union(df)).collect()) == [0, 0, 1, 1, 2, 2]
+    kept = writers.current(spark, at)
+    writers.table(spark.range(1), at, keep_old=True)
+    assert spark.read.parquet(kept).count() == 6 and writers.read(spark, at).count() == 1
+    with pytest.raises(FileNotFoundError):
+        writers.read(spark, f"{tmp_path}/none")
+
+
+def test_malformed_rows_stay_unless_dropped(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("x,y\n1,a\nbad,b,c\n3,d\n")
+    schema_free = readers.csv(spark, f"{tmp_path}/m.csv", all_text=True)
+    assert schema_free.count() == 3
+    assert len(readers.csv(spark, f"{tmp_path}/m.csv", all_text=True, skip_bad=True).collect()) == 2
+
+
+def test_suppression_crosses_patches(spark):
+    """Long chains over the borders of patches are decided as by the loop over rows."""
+    step = 8 / 111_194
+    rows = [(f"k{i:03}", 1000 * i * step / 40, 0.0, float((i * 37) % 101)) for i in range(120)]
+    rows += [(f"c{i:03}", -66.0 + i * step, 18.0, float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, lon double, lat double, confidence_score double")
+    kept = []
+    for p in sorted(rows, key=lambda r: (-r[3], r[0])):
+        near = lambda q, p=p: 6_371_000 * math.radians(abs(p[1] - q[1])) * math.cos(math.radians(p[2])) <= 240 and p[2] == q[2]
+        if not any(near(q) for q in kept):
+            kept.append(p)
+    got = resolve.suppress_near(df, "id", radius=240.0)
+    assert sorted(r.id for r in got.collect()) == sorted(p[0] for p in kept)
+
+
+def test_same_city_and_pending(spark):
+    df = spark.createDataFrame([("San Juan", "san juan bautista"), ("Ponce", "Caguas"), ("Ponce", None), ("Ponce", "")], "a string, b string")
+    assert [r[0] for r in df.select(fuzzy.same_city(F.col("a"), F.col("b"))).collect()] == [True, False, True, True]
+    rows = spark.createDataFrame([(1, "ok", "01"), (2, None, "01"), (3, "error", "02"), (4, "error", "01")], "k long, geocode_status string, category string")
+    assert sorted(r.k for r in fuzzy.pending(rows, ("error",)).collect()) == [2, 3, 4]
+    assert sorted(r.k for r in fuzzy.pending(rows, ("error",), ("01",)).collect()) == [2, 4]

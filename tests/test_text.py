@@ -86,6 +86,6 @@ def plain_name(s):
 def test_whole_names_of_all_rows(spark, tmp_path):
     texts = [None, "", "Straße del Groß", "ﬁne Ⅻ Ångström ", "word " * 40 + "Clínica\nCTR Inc", "ß" * 70 + " Hospital la Montaña", "Hospital San Lucas healthcare"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.name for r in __spark_entry__.queries()["normalize_name_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.name for r in __spark_entry__.queries()["normalize_name"](spark, str(tmp_path)).collect()}
     assert got == {i: plain_name(t) for i, t in enumerate(texts)}
     assert got[2] == "strae gro" and got[4].endswith("word clinica center")
