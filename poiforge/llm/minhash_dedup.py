@@ -13,8 +13,8 @@ tied together already. Only links that tie something together are emitted. A lin
 the full sets, and none between documents of a bucket is lost. Members and leaders are dealt over as many groups and blocks as they
 need. Components come from the large-star / small-star iteration over stored edge tables.
 
-Edge cases: null or empty texts (or white space only) have an empty set, link with nothing and stand alone; a null key takes no part
-and isn't returned; rows that repeat a key are one document per distinct text, and all of them fall into the component of that key
+Edge cases: null or empty texts (or white space only) have an empty set, link with nothing and stand alone; a row with a null key links
+with nothing either, has no component (NULL) and is kept; rows that repeat a key are one document per distinct text, and all of them fall into the component of that key
 (of the sets that a key stands for, those beyond the first have numbers above all keys, and edges tie them to it);
 extra columns are ignored; an empty table gives an empty result.
 """
@@ -101,7 +101,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     """Pairs (a, b) whose full sets satisfy 100 * intersection >= percent * union. texts: stored rep, text."""
     pairs = stored(pairs, "pairs")
     load = stored(pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups")), "load")
-    dealt = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g"))
+    dealt = pairs.join(broadcast_if_small(load), "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g"))
     members = dealt.join(texts, dealt["b"] == texts["rep"]).select("a", "g", "b", "text")
     leaders = load.join(texts, load["a"] == texts["rep"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g"), F.col("a").alias("b"), "text")
     both = members.unionByName(leaders).repartition("a", "g").sortWithinPartitions("a", "g", F.col("a") != F.col("b"))
@@ -239,7 +239,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest key that links lead to), kept (it is its component's smallest)."""
-    docs = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
+    every = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = every.where("doc_id IS NOT NULL")
     found = stored(features(docs, words), "features")
     sets = stored(found.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("key")), "sets")
     several = stored(found.groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("x"), F.max(F.struct("s1", "s2")).alias("y")).where("x <> y").select("doc_id"), "several")
@@ -253,8 +254,10 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
     members = stored(found.select("doc_id", "n", "s1", "s2").join(sets, ["s1", "s2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
     bands = found.where("n > 0").join(sets, (found["s1"] == sets["s1"]) & (found["s2"] == sets["s2"]) & (found["doc_id"] == sets["key"])).select("rep", "n", "bands").dropDuplicates(["rep"])
     bands = bands.select("rep", "n", F.explode("bands").alias("bucket"))
-    crowded = stored(bands.groupBy("bucket").agg(F.count("*").alias("c"), F.min("rep").alias("leader")).where("c > 1"), "crowded")
-    inside = stored(bands.join(crowded, "bucket").select("bucket", "leader", "rep", "n"), "inside")
+    # the leader's size comes along, so that no join meets all members of a leader in one task
+    leaders = bands.groupBy("bucket").agg(F.count("*").alias("c"), F.min("rep").alias("leader"), F.min_by("n", "rep").alias("leader_n"))
+    crowded = stored(leaders.where("c > 1").drop("c"), "crowded")
+    inside = stored(bands.join(crowded, "bucket").select("bucket", "leader", "leader_n", "rep", "n"), "inside")
     wanted = stored(inside.select("rep").distinct(), "wanted")
     texts = docs.join(broadcast_if_small(wanted), docs["doc_id"] == wanted["rep"]).select("rep", "text")
     if repeated:
@@ -262,10 +265,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
         texts = texts.join(broadcast_if_small(several), F.col("rep") == several["doc_id"], "left_anti").unionByName(own.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]))
     texts = stored(texts, "texts")
 
-    sizes = inside.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n")).distinct()
-
     close = (F.col("rep") != F.col("leader")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
-    pairs = inside.join(sizes, "leader").where(close).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = inside.where(close).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     edges = stored(confirm(pairs, texts, words, percent), "links")
     # a leader is smaller than its members, so two steps down tie a member to its smallest leader's own
     down = stored(edges.groupBy("b").agg(F.min("a").alias("a")), "down")
@@ -277,7 +278,9 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
         edges = edges.unionByName(members.join(broadcast_if_small(several), "doc_id", "left_semi").where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     label = stored(components(edges), "labels")
     out = members.join(label, members["rep"] == label["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    out = out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    nameless = features(every.where("doc_id IS NULL"), words)
+    return out.unionByName(nameless.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id") -> DataFrame:

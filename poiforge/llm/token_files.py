@@ -4,22 +4,23 @@ File format, one shard per range of document keys, keys ascending within and acr
 
 * ``ids-K.bin``: 32-byte header (magic ``PFIDS001``, then little-endian u64 id width in bytes, documents, ids), then the ids
   of all documents end to end, little-endian, 2 bytes each where the vocabulary fits, else 4.
-* ``ids-K.idx``: a numpy archive with the minimal perfect hash of the shard's keys (bit words and sizes of its levels), per slot the
-  key's fingerprint (u32), first document and number of documents, and the documents' start offsets (documents + 1, u64).
+* ``ids-K.idx``: magic ``PFIDX002`` and the byte lengths of eight sections (little-endian u64), then the sections: the minimal perfect hash
+  of the shard's keys (sizes of its levels, first word of each, bit words, and the rank of each word), per slot the key's fingerprint (u32),
+  first document and number of documents, and the documents' start offsets (documents + 1, u64).
 
 A key hashes to one slot in constant time; the slot's fingerprint rejects keys that were never stored (but for one in
-2**32); its document numbers give the payload range. Shards are found from the manifest's key ranges.
+2**32); its document numbers give the payload range. Shards are found from the manifest. A single lookup reads a few words of the index by
+their places, whatever its size; only bulk lookups load it.
 
 Writing is repeatable: a task writes under a name of its own and renames, so a lost or doubled task leaves one whole file.
 
-Edge cases: a null or empty text has only the end id. Rows with a null key can't be looked up and are left out.
-Repeated keys are stored one after another (texts ascending); a lookup returns all of them. Extra columns are ignored.
-An empty table writes no shard and returns no rows.
+Edge cases: a null or empty text has only the end id. Rows with a null key come first, under the key -2**63, and are returned with a
+null key. Repeated keys are stored one after another (by the hash of their texts), over several shards if they are many; a lookup
+returns all of a shard's. Extra columns are ignored. An empty table writes no shard and returns no rows.
 """
 
 from __future__ import annotations
 
-import io
 import os
 import re
 import uuid
@@ -37,8 +38,12 @@ from pyspark.sql import functions as F
 
 from poiforge.llm.common import blocks, mix64, new_path, stored, table
 
-MAGIC = b"PFIDS001"
+MAGIC, INDEX_MAGIC = b"PFIDS001", b"PFIDX002"
 HEADER = 32
+#: Sections of an index, with their types.
+SECTIONS = (("sizes", "<i8"), ("base", "<i8"), ("words", "<u8"), ("rank", "<i8"), ("fingerprint", "<u4"), ("first", "<i8"), ("count", "<i8"), ("starts", "<u8"))
+#: The key that stands for null, and bytes of a shard's texts at most, about (as Spark estimates them), with as many shards as shuffle partitions at least.
+NO_KEY, SHARD_BYTES = -(2**63), 512 << 20
 #: Entries of the word -> ids cache of a Python worker; it is emptied when full.
 CACHE_WORDS = 800_000
 
@@ -50,7 +55,7 @@ _LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!\"#$
 class MinimalPerfectHash:
     """Levels of bit sets: a key rests on the first level where no other key falls on its bit; its slot is the rank of that bit."""
 
-    GAMMA, SEEDS = 2.0, 64
+    GAMMA = 2.0
 
     def __init__(self, sizes: np.ndarray, words: np.ndarray):
         self.sizes, self.words = sizes, words
@@ -105,25 +110,46 @@ def build_index(keys: np.ndarray, starts: np.ndarray) -> bytes:
     mph = MinimalPerfectHash.build(distinct)
     slot = mph.slots(distinct)
     put = np.argsort(slot)
-    out = io.BytesIO()
-    np.savez(out, sizes=mph.sizes, words=mph.words, fingerprint=fingerprints(distinct)[put], first=first[put].astype(np.int64), count=count[put].astype(np.int64), starts=starts)
-    return out.getvalue()
+    parts = {"sizes": mph.sizes, "base": mph.base, "words": mph.words, "rank": mph.rank, "fingerprint": fingerprints(distinct)[put], "first": first[put], "count": count[put], "starts": starts}
+    raw = [np.ascontiguousarray(parts[name], kind).tobytes() for name, kind in SECTIONS]
+    return INDEX_MAGIC + np.array([len(r) for r in raw], "<u8").tobytes() + b"".join(raw)
 
 
 class Shard:
-    """Keyed access to one shard."""
+    """Keyed access to one shard. Sections of the index are read when a bulk lookup needs them; a single lookup reads single entries."""
 
     def __init__(self, folder: str, number: int):
         self.fs, path = pafs.FileSystem.from_uri(folder)
-        with self.fs.open_input_file(f"{path}/ids-{number}.idx") as f:
-            index = np.load(io.BytesIO(f.read()))
-        self.mph = MinimalPerfectHash(index["sizes"], index["words"])
-        self.fingerprint, self.first, self.count, self.starts = (index[k] for k in ("fingerprint", "first", "count", "starts"))
+        self.index = self.fs.open_input_file(f"{path}/ids-{number}.idx")
+        head = self.index.read(8 + 8 * len(SECTIONS))
         self.file = self.fs.open_input_file(f"{path}/ids-{number}.bin")
-        head = self.file.read(HEADER)
-        if head[:8] != MAGIC:
-            raise ValueError(f"not a token-id shard: ids-{number}.bin")
-        self.width = int.from_bytes(head[8:16], "little")
+        ids = self.file.read(HEADER)
+        if ids[:8] != MAGIC or head[:8] != INDEX_MAGIC:
+            raise ValueError(f"not a token-id shard: ids-{number}")
+        self.width = int.from_bytes(ids[8:16], "little")
+        lengths = np.frombuffer(head[8:], "<u8").astype(np.int64)
+        at = len(head) + np.cumsum(lengths) - lengths
+        self.place = {name: (int(a), int(n), np.dtype(kind)) for (name, kind), a, n in zip(SECTIONS, at, lengths, strict=True)}
+        self.read_bytes = len(head)
+        self.levels = [(int(size), int(base)) for size, base in zip(self._section("sizes"), self._section("base"), strict=False)]
+
+    def _section(self, name: str, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Entries lo to hi of a section."""
+        at, n, kind = self.place[name]
+        hi = n // kind.itemsize if hi is None else hi
+        self.index.seek(at + lo * kind.itemsize)
+        raw = self.index.read((hi - lo) * kind.itemsize)
+        self.read_bytes += len(raw)
+        return np.frombuffer(raw, kind)
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        if name in ("fingerprint", "first", "count", "starts"):
+            setattr(self, name, self._section(name))
+            return self.__dict__[name]
+        if name == "mph":
+            self.mph = MinimalPerfectHash(self._section("sizes"), self._section("words"))
+            return self.mph
+        raise AttributeError(name)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Slots of int64 keys; -1: not stored."""
@@ -133,25 +159,37 @@ class Shard:
         known[known] = self.fingerprint[slot[known]] == fingerprints(keys[known])
         return np.where(known, slot, -1)
 
+    def slot(self, key: int) -> int:
+        """The slot of one key, -1 if it isn't stored: a word and a rank for each level that it passes, and a fingerprint."""
+        one = np.array([key], np.int64).view(np.uint64)
+        for level, (size, base) in enumerate(self.levels):
+            at = int(MinimalPerfectHash._hash(one, level)[0] % np.uint64(size))
+            word = int(self._section("words", base + at // 64, base + at // 64 + 1)[0])
+            if word >> at % 64 & 1:
+                slot = int(self._section("rank", base + at // 64, base + at // 64 + 1)[0]) + (word & ((1 << at % 64) - 1)).bit_count()
+                return slot if self._section("fingerprint", slot, slot + 1)[0] == fingerprints(one)[0] else -1
+        return -1
+
     def read(self, lo: int, hi: int) -> np.ndarray:
         """Ids lo to hi of the shard."""
         self.file.seek(HEADER + lo * self.width)
         return np.frombuffer(self.file.read((hi - lo) * self.width), f"<u{self.width}")
 
     def documents(self, key: int) -> list[np.ndarray]:
-        slot = int(self.find(np.array([key]))[0])
+        slot = self.slot(key)
         if slot < 0:
             return []
-        docs = range(int(self.first[slot]), int(self.first[slot] + self.count[slot]))
-        return [self.read(int(self.starts[d]), int(self.starts[d + 1])) for d in docs]
+        first, count = (int(self._section(name, slot, slot + 1)[0]) for name in ("first", "count"))
+        starts = self._section("starts", first, first + count + 1).astype(np.int64).tolist()
+        return [self.read(lo, hi) for lo, hi in zip(starts, starts[1:], strict=False)]
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizer, which is asked once per distinct piece between blanks.
+    """Ids of whole texts by the tokenizer, which is asked once per distinct piece between blanks, where it treats blanks and line feeds only
+    as borders and drops them, so that a text's ids are those of its pieces end to end; and once per distinct run of letters, where it
+    lower-cases and parts letters from signs. Both are tried on `PROBES` first. Any other tokenizer gets whole pieces, or whole texts."""
 
-    The tokenizer's normaliser and pre-tokenizer treat blanks and line feeds only as borders and drop them, so a text's ids are those of its
-    pieces end to end (checked against whole-text encoding in the tests).
-    """
+    PROBES = ("Hello, World! it's THE end.", "a b  c\nd\n\n e ", " lead", "ÀÉ straße (x) y-z ok?!", "MixedCase CamelWords, ABC.", "one\ntwo THREE", "l'Été, m\u00fcde... Niño")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -165,7 +203,17 @@ class WordEncoder:
         self.byte_character = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
         sample = ["a", "zebra", "word", "\u00e9t\u00e9", "stra\u00dfe", "\u00fc\u00ed\u00f1", "thntblere"]
         self.direct = [self._by_model(w) for w in sample] == [e.ids for e in self.tokenizer.encode_batch(sample, add_special_tokens=False)]
+        self.pieces = self.parts = True
+        whole = [e.ids for e in self.tokenizer.encode_batch(list(self.PROBES), add_special_tokens=False)]
+        if not self._agrees(whole):
+            self.parts = False
+            self.pieces = self._agrees(whole)
+        self._reset()
+
+    def _agrees(self, whole: list[list[int]]) -> bool:
         self._reset()
+        ids, n = self.encode(list(self.PROBES), 0)
+        return [x[:-1].tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == whole
 
     def _by_model(self, word: str) -> list[int]:
         text = word if word.isascii() else word.encode().decode("latin-1").translate(self.byte_character)
@@ -204,7 +252,7 @@ class WordEncoder:
     def _add(self, words: list[str]) -> None:
         """The pre-tokenizer parts a run of letters from a run of signs, and the normaliser lower-cases, so a piece of letters and closing
         signs has the ids of its lower-cased letters and those of the signs; only other pieces are asked for whole."""
-        simple = [(w, m[1].lower(), m[2]) for w in words if (m := _LETTERS.fullmatch(w))]
+        simple = [(w, m[1].lower(), m[2]) for w in words if (m := _LETTERS.fullmatch(w))] if self.parts else []
         rest = set(words).difference(w for w, _, _ in simple)
         cores = {core for _, core, _ in simple if core not in self.number}
         rest.update(signs for _, _, signs in simple if signs not in self.number)
@@ -220,6 +268,9 @@ class WordEncoder:
         """(ids of all texts end to end, each followed by end_id; ids per text)."""
         if len(self.number) > CACHE_WORDS:
             self._reset()
+        if not self.pieces:
+            got = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return np.array([i for ids in got for i in (*ids, end_id)], np.uint32), np.fromiter((len(ids) + 1 for ids in got), np.int64, len(got))
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
         words = [w for p in pieces for w in p]
         if fresh := list(set(words).difference(self.number)):
@@ -236,8 +287,9 @@ def encoder(path: str) -> WordEncoder:
 
 
 def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
-    """Write shards of token ids under the folder; returns the stored manifest: key, shard, nth (of a repeated key's documents), n_tokens."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Write shards of token ids under the folder; returns the stored manifest: key, shard, nth (of a repeated key's documents in the shard), n_tokens."""
+    estimate = int(str(docs.select(text)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(estimate // SHARD_BYTES, 100_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, out, keys, counts = TaskContext.get().partitionId(), None, [], []
@@ -273,8 +325,10 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, key: str = "doc
             yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=[key, "shard", "nth", "n_tokens"])
 
     _make_dir(folder)
-    rows = docs.select(F.col(key).cast("long").alias(key), text).where(F.col(key).isNotNull())
-    rows = rows.repartitionByRange(shards, key).sortWithinPartitions(key, text)
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias(key), F.col(text).alias(text))
+    # a key with very many rows is dealt over several shards
+    order = [F.col(key), F.xxhash64(text)]
+    rows = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, text)
     return stored(rows.mapInArrow(run, f"{key} long, shard long, nth long, n_tokens long"), "manifest")
 
 
@@ -316,7 +370,8 @@ def read_ids(manifest: DataFrame, folder: str, key: str = "doc_id") -> DataFrame
                     run_at = end
                 yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(lo + before[int(k)]), pa.array(hi - lo), pa.array(crc)], names=[key, "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select(key, "shard", "nth").mapInArrow(run, f"{key} long, start long, n_tokens long, ids_crc32 long")
+    found = manifest.select(key, "shard", "nth").mapInArrow(run, f"{key} long, start long, n_tokens long, ids_crc32 long")
+    return found.withColumn(key, F.nullif(F.col(key), F.lit(NO_KEY)))
 
 
 def default_tokenizer() -> str:
