@@ -13,7 +13,7 @@ falls apart at blanks; backward sums are taken once per distinct word of a block
 noise is a hash of the row's key and the decision's place, so a row's samples don't depend on partitions, batches or retries.
 
 Texts are encoded as the model does: a blank goes in front, blanks become U+2581, a character without a piece becomes its
-UTF-8 bytes. Decoding is exact but for U+2581 itself, which comes back as a blank.
+UTF-8 bytes; so does a text's own U+2581, which makes decoding exact for every text.
 
 Edge cases: a null or empty text has one segmentation, without pieces. A text with fewer than k segmentations
 gives all of them. Rows are encoded one by one, so equal keys and texts give equal samples; a null key is a key of its own;
@@ -36,6 +36,8 @@ SAMPLES = 2
 #: Piece weights are (rank + ZIPF) ** -SHARPNESS, ranks by the model's scores.
 ZIPF, SHARPNESS = 10.0, 1.0
 BLANK = 0x2581
+#: Stands for a text's own U+2581, beyond all characters, so that no piece has it.
+PLAIN = 0x110000
 MOST = 16  # characters of the longest piece
 ROWS = 1 << 16  # arc rows that are looked at together
 #: Bytes of text that are sampled together; they set a worker's memory (about 100 times as much).
@@ -139,6 +141,7 @@ class Lattice:
         odd = np.flatnonzero(~((sums > 1e-280) & (sums < 1e280)))
         if len(odd):
             self._backward(weight, self.begin + n, n, odd[np.argsort(-n[odd], kind="stable")], True)
+        self.running = np.cumsum(self.prob[:, : MOST // 2], axis=1)  # once a place, however many walks come by
 
     def _backward(self, weight: np.ndarray, end: np.ndarray, n: np.ndarray, order: np.ndarray, logs: bool) -> np.ndarray:
         """Fill the arcs' conditional probabilities of the words in `order` (longest first); the sums at their beginnings."""
@@ -172,7 +175,7 @@ class Lattice:
 
     def _pick(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The first arc at which the running sum of probabilities exceeds u; most are among the short ones."""
-        arc = (np.cumsum(self.prob[:, : MOST // 2][place], axis=1) <= u[:, None]).sum(1)
+        arc = (self.running[place] <= u[:, None]).sum(1)
         far = np.flatnonzero(arc == MOST // 2)
         arc[far] = (np.cumsum(self.prob[place[far]], axis=1) <= u[far, None]).sum(1)
         return arc
@@ -243,7 +246,7 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
     chars = [np.frombuffer((" " + t if t else "").encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     at = np.concatenate([[0], np.cumsum([len(c) for c in chars])]).astype(np.int64)
     points = np.concatenate(chars) if chars else np.zeros(0, np.uint32)
-    points = np.where(points == 0x20, np.uint32(BLANK), points)
+    points = np.where(points == 0x20, np.uint32(BLANK), np.where(points == BLANK, np.uint32(PLAIN), points))
     blank = points == BLANK
     begin = np.ones(len(points), bool)
     begin[1:] = blank[1:] & ~blank[:-1]
@@ -361,7 +364,8 @@ def _with_bytes(pieces: Pieces, ids: np.ndarray, points: np.ndarray) -> np.ndarr
     """Put the UTF-8 bytes of each character without a piece in its place."""
     out, last = [], 0
     for i in np.flatnonzero(ids == pieces.none).tolist():
-        out += [ids[last:i], pieces.byte[np.frombuffer(chr(int(points[i])).encode("utf-8", "replace"), np.uint8)]]
+        character = chr(BLANK if points[i] == PLAIN else int(points[i]))
+        out += [ids[last:i], pieces.byte[np.frombuffer(character.encode("utf-8", "replace"), np.uint8)]]
         last = i + 1
     return np.concatenate([*out, ids[last:]]).astype(np.int32)
 

@@ -78,3 +78,10 @@ def test_round_trip(spark, odd_docs, no_docs):
     counts = Counter((r.doc_id, r.sample) for r in got)
     assert counts[(4, 1)] == 1 and (4, 2) not in counts and counts[(7, 2)] == 1
     assert ps.encode(no_docs).count() == 0
+
+
+def test_decoding_is_exact_for_any_text(pieces):
+    texts = ["▁", "a▁b ▁ c▁", " lead", "  two  ", "\u0000\t\n", "😀▁é ", "▁▁ ▁", "x" * 3000]
+    found = ps.sample_block(pieces, texts, np.arange(len(texts)), 2)
+    for text, samples in zip(texts, found, strict=True):
+        assert samples and all(ps.decode_block(pieces, [ids.astype(np.int64)]) == [text] for ids, _, _ in samples)
