@@ -1,13 +1,13 @@
 """The corpus pipeline: five stages over `documents`, each written and read again before the next one.
 
-language_id   keeps documents with a language (some letter, and phrases that aren't gibberish for the winner)
+language_id   keeps documents with a language (some letter, and, unless the text is short, phrases that aren't gibberish for the winner)
 near_dedup    keeps one document, the smallest doc_id, of every component of near-duplicates (five words, similarity 0.8)
 decontaminate keeps documents without any 10-word window of a benchmark item
 pii           replaces personal data in the texts, and sets n_chars anew
 encode        samples two distinct segmentations of every text and decodes them again
 
 A table that lacks some column of `documents` works as long as doc_id and text (and lang for the first stage) are there; extra
-columns are carried through. Rows with a null doc_id pass the filters unless they have no language.
+columns are carried through, whatever their names. Rows with a null doc_id are judged like others, but for copies. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = pii.redacted(docs, pii.fit(docs))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
+        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*(F.col(f"`{c}`") for c in docs.columns))
     return out
 
 
