@@ -8,8 +8,8 @@ nearest-neighbour graph of the centroids, held in memory, and reads all lists wh
 one: their number isn't capped, since the walk goes on from every centroid within the ratio.
 
 The ratio is fit, not set: for `ASKED` vectors of the sample it is the least one that reaches `RECALL` of their nearest neighbours within the
-sample. These are farther than those in the whole table, so they ask for more lists. Vectors in clusters need few lists; vectors
-spread evenly in many dimensions need nearly all, as for any index of this kind.
+sample, of which as many count as lie as near as the nearest ones in the whole table. Vectors in clusters need few lists;
+vectors spread evenly in many dimensions need most, as for any index of this kind.
 
 Equal vectors are stored once, with their TOP + 1 smallest ids: more can't be among a query's nearest. Lists are dealt out in blocks of
 `BLOCK` vectors and chunks of `CHUNK` queries, so a list that a third of all rows fall into is searched by many tasks. Vectors
@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import stored, table
+from poiforge.llm.common import released, stored, table
 
 TOP = 20
 #: Vectors that the lists are fit on, at least and for each list, and bytes of them at most; vectors per list that are aimed at, lists at most.
 SAMPLE, SAMPLE_LIST, SAMPLE_BYTES, LIST, MOST_LISTS = 20_000, 40, 256 << 20, 256, 16_384
 REPLICAS, CLOSURE = 4, 1.1
 #: Recall that the distance ratio is fit for, queries and vectors of the sample that it is fit on, and lists that are read at least.
-RECALL, ASKED, AMONG, LEAST_LISTS = 0.98, 400, 40_000, 2
+RECALL, ASKED, AMONG, LEAST_LISTS = 0.98, 1_000, 40_000, 2
 #: Neighbours of a centroid in the graph, and centroids that a walk goes on from whatever the ratio.
 DEGREE, BEAM = 24, 32
 BLOCK, CHUNK = 4_096, 4_096
@@ -106,7 +106,8 @@ class Index:
     ratio: float = 1.0
 
     @classmethod
-    def fit(cls, sample: np.ndarray, largest: float, lists: int) -> Index:
+    def fit(cls, sample: np.ndarray, largest: float, lists: int, among: int | None = None) -> Index:
+        """among: vectors that will be searched (default: as many as the sample has)."""
         x = cls.augment(sample.astype(np.float64), largest)
         tree, leaves = Halvings.fit(x, max(1, -(-len(x) // max(1, lists))))
         centroids = np.array([x[r].mean(0) for r in leaves])
@@ -119,7 +120,7 @@ class Index:
             d = cls._distances(centroids[lo : lo + 1024], centroids)
             graph[lo : lo + 1024, :-2] = np.argpartition(d, graph.shape[1] - 3, axis=1)[:, : graph.shape[1] - 2]
         index = cls(tree, centroids, largest, graph)
-        index._fit_ratio(x)
+        index._fit_ratio(x, among or len(x))
         return index
 
     @staticmethod
@@ -130,23 +131,28 @@ class Index:
     def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum((a**2).sum(1)[:, None] - 2 * a @ b.T + (b**2).sum(1)[None], 0))
 
-    def _fit_ratio(self, x: np.ndarray) -> None:
-        """The least distance ratio that finds RECALL of the sample's own nearest neighbours."""
+    def _fit_ratio(self, x: np.ndarray, among: int) -> None:
+        """The least distance ratio that finds RECALL of the sample's own nearest neighbours: the TOP of them in `among` vectors correspond to fewer here."""
         step = max(1, len(x) // AMONG)
         x = x[::step]
         queries = x[:: max(1, len(x) // ASKED)].copy()
         queries[:, -1] = 0  # a query has no norm to fill up
-        score = queries[:, :-1] @ x[:, :-1].T
-        top = np.argsort(-score, axis=1, kind="stable")[:, : TOP + 1]  # the query itself is among them
-        found = np.unique(top)
-        lists, where = self.assign(x[found, :-1])
-        far = self._distances(queries, self.centroids)
-        far /= np.maximum(far.min(1, keepdims=True), 1e-300)
-        first = np.searchsorted(where, np.arange(len(found) + 1))
+        few = max(1, min(TOP, round(TOP * len(x) / among)))
         need = []
-        for q, wanted in zip(far, np.searchsorted(found, top), strict=True):
-            need += [q[lists[first[w] : first[w + 1]]].min() for w in wanted.tolist()]
-        self.ratio = float(np.quantile(need, RECALL)) * (1 + 1e-9)
+        for lo in range(0, len(queries), 100):
+            some = queries[lo : lo + 100]
+            score = some[:, :-1] @ x[:, :-1].T
+            top = np.argpartition(-score, min(few, score.shape[1] - 1), axis=1)[:, : few + 1]  # the query itself is among them
+            found = np.unique(top)
+            lists, where = self.assign(x[found, :-1])
+            far = self._distances(some, self.centroids)
+            far /= np.maximum(far.min(1, keepdims=True), 1e-300)
+            first = np.searchsorted(where, np.arange(len(found) + 1))
+            own = (np.arange(lo, lo + len(some)) * max(1, len(x) // ASKED)).tolist()
+            for q, me, ids in zip(far, own, top, strict=True):
+                wanted = np.searchsorted(found, ids[ids != me][:few] if (ids == me).any() else ids[:few])
+                need += [q[lists[first[w] : first[w + 1]]].min() for w in wanted.tolist()]
+        self.ratio = float(np.quantile(need, RECALL)) * (1 + 1e-9) if need else 1.0
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(list, row) pairs by row: a vector's own list, and others whose centroid is at most CLOSURE times as far."""
@@ -218,7 +224,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
     part = min(1_000_000, 1_000_000 * size // max(1, n) + 1)
     taken = groups.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < part).orderBy(F.xxhash64("rep")).select("v").limit(size).toArrow()
     sample = _matrix(taken["v"].combine_chunks(), dim) if taken.num_rows else _matrix(groups.select("v").limit(1).toArrow()["v"].combine_chunks(), dim)
-    index = spark.sparkContext.broadcast(Index.fit(sample, largest, lists_))  # bounded by MOST_LISTS and SAMPLE_BYTES
+    index = spark.sparkContext.broadcast(Index.fit(sample, largest, lists_, n))  # bounded by MOST_LISTS and SAMPLE_BYTES
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,9 +241,9 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).astype(np.int32)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], names=["list", "id", "v"])
 
     kind = dict(groups.dtypes)["v"]
-    stored_lists = stored(groups.select("v", "rep", "ids").mapInArrow(place, f"list int, id long, ids array<long>, v {kind}"), "lists")
+    stored_lists = stored(groups.select("v", "rep", "ids").mapInArrow(released(place), f"list int, id long, ids array<long>, v {kind}"), "lists")
     queries = rows.where(F.col("id") % every == 0).select("id", "v").distinct()
-    asked = stored(queries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(route, f"list int, id long, v {kind}"), "asked")
+    asked = stored(queries.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(released(route), f"list int, id long, v {kind}"), "asked")
 
     def shares(df: DataFrame, size: int, name: str) -> DataFrame:
         return df.groupBy("list").agg(F.ceil(F.count("*") / size).alias(name))
@@ -304,7 +310,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
         if hits:
             yield rows_of(merged(*map(np.concatenate, zip(*hits, strict=True)), top))
 
-    hits = both.mapInArrow(search, f"query_id long, {key} long, score double").groupBy("query_id", key).agg(F.max("score").alias("score"))
+    hits = both.mapInArrow(released(search), f"query_id long, {key} long, score double").groupBy("query_id", key).agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", key, "score")
 

@@ -3,9 +3,10 @@ vectorised word hashing over Arrow string buffers."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,18 @@ BLOCK_BYTES = 2 << 20
 BROADCAST_ROWS = 200_000
 
 
+#: Rows of an Arrow batch: with long texts, ten thousand of them take much memory outside the heap.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch, where the session has Spark's own value."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -64,6 +76,22 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, items: Column
     return F.broadcast(df) if n <= rows and (listed or 0) <= 20 * rows else df
 
 
+def released(run: Callable) -> Callable:
+    """The same function over batches, which gives freed memory back to the system when a task ends: a worker waits for its next task, maybe for long."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not every C library has it
+                pass
+
+    return task
+
+
 def free_name(name: str, taken: list[str]) -> str:
     """The name, lengthened until no column has it (in any case)."""
     used = {c.lower() for c in taken}

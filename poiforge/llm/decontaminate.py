@@ -76,9 +76,10 @@ def build_index(docs: DataFrame, vocabulary: DataFrame | None = None) -> DataFra
     return docs.sparkSession.read.schema("doc long, tid long, pos int, term long").parquet(path)
 
 
-def rarest(tests: DataFrame, index: DataFrame) -> DataFrame:
-    """The windows' terms with their rank by rarity in the training texts (1: rarest). Windows with an absent term are left out."""
-    counts = index.join(broadcast_if_small(stored(tests.select("term").distinct(), "terms")), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+def rarest(tests: DataFrame, index: DataFrame, own: bool = False) -> DataFrame:
+    """own: the index has the tests' terms only. The windows' terms with their rank by rarity in the training texts (1: rarest). Windows with an absent term are left out."""
+    wanted = index if own else index.join(broadcast_if_small(stored(tests.select("term").distinct(), "terms")), "term", "left_semi")
+    counts = wanted.groupBy("term").agg(F.count("*").alias("n"))
     counted = tests.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     by = Window.partitionBy("window").orderBy("n", "offset")
     ranked = counted.withColumn("rank", F.row_number().over(by)).withColumn("least", F.min("n").over(Window.partitionBy("window")))
@@ -133,9 +134,9 @@ def hit_words(found: DataFrame) -> DataFrame:
     return rows.groupBy(*DOC).agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("seen", "start")))).cast("long").alias("n_hit"))
 
 
-def search(index: DataFrame, tests: DataFrame) -> DataFrame:
-    """doc, tid, start, window, size of every occurrence of the (stored) windows."""
-    return stored(phrases(index, rarest(tests, index)), "found")
+def search(index: DataFrame, tests: DataFrame, own: bool = False) -> DataFrame:
+    """doc, tid, start, window, size of every occurrence of the (stored) windows. own: the index has their terms only."""
+    return stored(phrases(index, rarest(tests, index, own)), "found")
 
 
 def occurrences(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -143,7 +144,7 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH,
     tests = stored(windows(benchmark.select(F.col(item).alias("item_id"), F.col(text).alias("text")), width), "tests")
     # rows that repeat a key and a text are indexed each, which changes no count below
     index = build_index(named(documents, key, text), stored(tests.select("term").distinct(), "vocabulary"))
-    return search(index, tests), tests
+    return search(index, tests, own=True), tests
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, key: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:

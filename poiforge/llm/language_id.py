@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import free_name, table
+from poiforge.llm.common import free_name, released, table
 
 #: The sample that the automata are fit on: at most so many normalised characters of all languages together, of one language,
 #: and of one document. Languages beyond the most frequent MAX_LANGUAGES would get less than a document each and aren't learned.
@@ -130,7 +130,7 @@ class CrossParser:
         flat = np.zeros(ends[-1] if n else 0, np.int32)
         for p, e in zip(points, ends, strict=True):
             flat[e - 1 - len(p) : e - 1] = self._class_of(p)
-        owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(ends, prepend=0))
         # runs of borders shrink to one; a text's leading and closing ones go
         first = np.zeros(len(flat), bool)
         first[np.concatenate([[0], ends[:-1]]).astype(np.int64)] = True
@@ -210,7 +210,7 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: lis
         p: CrossParser = shared.value
         names = np.array([*p.languages, "und"], object)
         for batch in batches:
-            for part in blocks(batch, "text", 4 << 20):
+            for part in blocks(batch, "text", 3 << 19):
                 count, size = p.phrases([t or "" for t in part.column(len(keep)).to_pylist()])
                 if p.languages:
                     best = count.argmin(1)
@@ -227,7 +227,7 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: lis
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([f"{p} {kinds[c]}" for c, p in zip(keep, plain, strict=True)] + ["lang string, score double, rate double"])
-    return source.mapInArrow(run, schema).toDF(*keep, *results)
+    return source.mapInArrow(released(run), schema).toDF(*keep, *results)
 
 
 def held_out(key: str = "doc_id") -> F.Column:

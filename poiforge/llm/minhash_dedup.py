@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import _WORD_POW, LOWER, blocks, broadcast_if_small, i64, mix64, rolling, stored, string_parts, table, word_bounds, word_hashes
+from poiforge.llm.common import blocks, broadcast_if_small, i64, LOWER, mix64, released, rolling, stored, string_parts, table, word_bounds, word_hashes, _WORD_POW
 
 BANDS, ROWS = 28, 4
 #: Members that one copy of a leader is compared with in one group, and shingles that a block of an exact search holds.
@@ -94,7 +94,7 @@ def features(docs: DataFrame, words: int, texts: bool = False) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(i64(bands.ravel())))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(i64(s1)), pa.array(i64(s2)), lists, *([part.column(1)] if texts else [])], names=["doc_id", "n", "s1", "s2", "bands", *(["text"] if texts else [])])
 
-    return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, bands array<long>" + (", text string" if texts else ""))
+    return docs.mapInArrow(released(run), "doc_id long, n long, s1 long, s2 long, bands array<long>" + (", text string" if texts else ""))
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -124,7 +124,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                         good.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(released(run), "a long, b long")
 
 
 class Searcher:
@@ -215,7 +215,7 @@ def search(now: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFr
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(released(run), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

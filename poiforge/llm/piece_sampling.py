@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import Powers, blocks, mix64, table
+from poiforge.llm.common import blocks, mix64, Powers, released, table
 
 SAMPLES = 2
 #: Piece weights are (rank + ZIPF) ** -SHARPNESS, ranks by the model's scores.
@@ -421,7 +421,7 @@ def encode(docs: DataFrame, samples: int = SAMPLES, key: str = "doc_id", text: s
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), *cols], names=names)
 
     kind = dict(docs.dtypes)[key]
-    return source.mapInArrow(run, f"{key} {kind}, sample int, ids binary, log_p double, log_inclusion double" + ", text string" * decoded)
+    return source.mapInArrow(released(run), f"{key} {kind}, sample int, ids binary, log_p double, log_inclusion double" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -437,7 +437,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(texts, pa.string()), *part.columns[at + 1 :]], names=[n if n != "ids" else "text" for n in names])
 
     schema = ", ".join(f"`{c}` {t}" if c != "ids" else "text string" for c, t in encoded.dtypes)
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(released(run), schema)
 
 
 def op4_piece_sampling(spark: SparkSession, sf_dir: str, samples: int = SAMPLES) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import _WORD_POW, blocks, broadcast_if_small, covered, i64, mix64, rolling, spans_of, stored, string_parts, table, window_hashes, word_bounds, word_hashes
+from poiforge.llm.common import blocks, broadcast_if_small, covered, i64, mix64, released, rolling, spans_of, stored, string_parts, table, window_hashes, word_bounds, word_hashes, _WORD_POW
 
 WIDTH = 50
 _TOP = np.uint64(2**64 - 1)
@@ -82,7 +82,7 @@ def _anchor_rows(docs: DataFrame, width: int) -> DataFrame:
                 cols = (np.asarray(part.column(0))[text], np.asarray(part.column(1))[text], i64(gram[place]), (place - first[text]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), names=["doc_id", "tid", "anchor", "pos"])
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, tid long, anchor long, pos int")
+    return docs.where("doc_id IS NOT NULL").mapInArrow(released(run), "doc_id long, tid long, anchor long, pos int")
 
 
 def _window_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -108,7 +108,7 @@ def _window_rows(docs: DataFrame, width: int) -> DataFrame:
                 for lo in range(0, max(1, len(pos)), 200_000):
                     yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 200_000]) for c in cols], names=["doc_id", "tid", "pos", "h", "h2"])
 
-    return docs.mapInArrow(run, "doc_id long, tid long, pos int, h long, h2 int")
+    return docs.mapInArrow(released(run), "doc_id long, tid long, pos int, h long, h2 int")
 
 
 def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
@@ -152,7 +152,7 @@ def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width:
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["doc_id", "n_words", "n_removed", "kept_text", "spans"])
 
     rows = removal(documents, key, text, width)
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<start:long,end:long>>").withColumnRenamed("doc_id", key)
+    return rows.mapInArrow(released(run), "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<start:long,end:long>>").withColumnRenamed("doc_id", key)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

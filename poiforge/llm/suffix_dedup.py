@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import _BYTE, Powers, blocks, broadcast_if_small, covered, discard, i64, mix64, rolling, spans_of, stored, string_parts, table
+from poiforge.llm.common import blocks, broadcast_if_small, _BYTE, covered, discard, i64, mix64, Powers, released, rolling, spans_of, stored, string_parts, table
 from poiforge.llm.induced_sort import MEMORY, Stream, Work, repeated
 from poiforge.llm.substring_dedup import sliding
 
@@ -121,7 +121,7 @@ def _run_rows(docs: DataFrame, width: int, size: int) -> DataFrame:
                     t1, t2 = (np.asarray(part.column(i))[text] for i in (0, 1))
                     yield _batch(_run(t1, t2, gram[anchor], Hashes(flat).of(lo, count + width - 1), lo + shift, count, anchor + shift))
 
-    return docs.mapInArrow(run, _RUNS)
+    return docs.mapInArrow(released(run), _RUNS)
 
 
 def _cell_rows(docs: DataFrame, width: int, size: int, cell: int) -> DataFrame:
@@ -155,7 +155,7 @@ def _cell_rows(docs: DataFrame, width: int, size: int, cell: int) -> DataFrame:
                         key = hashes.of(anchor - near - base, common) ^ near
                         yield _batch(_run(np.full(len(lo), t1), np.full(len(lo), t2), key, hashes.of(lo - base, windows + width - 1), lo, windows, anchor))
 
-    return docs.mapInArrow(run, _RUNS)
+    return docs.mapInArrow(released(run), _RUNS)
 
 
 def _body_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -172,7 +172,7 @@ def _body_rows(docs: DataFrame, width: int) -> DataFrame:
                         body = pa.array([data[a:b] for a, b in zip(lo.tolist(), (lo + windows + width - 1).tolist(), strict=True)], pa.binary())
                         yield pa.RecordBatch.from_arrays([*(some.field(i) for i in range(3)), body], names=["key", "hash", "several", "body"])
 
-    return docs.mapInArrow(run, "key long, hash long, several boolean, body binary")
+    return docs.mapInArrow(released(run), "key long, hash long, several boolean, body binary")
 
 
 def sort_shard(batches: Iterator[pa.RecordBatch], width: int, work: Work) -> Iterator[pa.RecordBatch]:
@@ -206,7 +206,7 @@ def _sorted_rows(bodies: DataFrame, width: int, shards: int, memory: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from sort_shard(batches, width, Work(memory))
 
-    return bodies.repartition(shards, "key").mapInArrow(run, "key long, hash long, a int, b int")
+    return bodies.repartition(shards, "key").mapInArrow(released(run), "key long, hash long, a int, b int")
 
 
 def removal(documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, crowd: int = CROWD, memory: int = MEMORY) -> DataFrame:
@@ -296,7 +296,7 @@ def dedup(documents: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     kind = dict(documents.dtypes)[key]
     rows = removal(documents, key, text, width, crowd, memory)
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, kept binary, spans array<struct<start:long,end:long>>").withColumnRenamed("doc_id", key)
+    return rows.mapInArrow(released(run), f"doc_id {kind}, n_bytes long, n_removed long, kept binary, spans array<struct<start:long,end:long>>").withColumnRenamed("doc_id", key)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import blocks, mix64, new_path, stored, table
+from poiforge.llm.common import blocks, mix64, new_path, released, stored, table
 
 MAGIC, INDEX_MAGIC = b"PFIDS001", b"PFIDX002"
 HEADER = 32
@@ -329,7 +329,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, key: str = "doc
     # a key with very many rows is dealt over several shards
     order = [F.col(key), F.xxhash64(text)]
     rows = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, text)
-    return stored(rows.mapInArrow(run, f"{key} long, shard long, nth long, n_tokens long"), "manifest")
+    return stored(rows.mapInArrow(released(run), f"{key} long, shard long, nth long, n_tokens long"), "manifest")
 
 
 def _make_dir(folder: str) -> None:
@@ -370,7 +370,7 @@ def read_ids(manifest: DataFrame, folder: str, key: str = "doc_id") -> DataFrame
                     run_at = end
                 yield pa.RecordBatch.from_arrays([pa.array(mine), pa.array(lo + before[int(k)]), pa.array(hi - lo), pa.array(crc)], names=[key, "start", "n_tokens", "ids_crc32"])
 
-    found = manifest.select(key, "shard", "nth").mapInArrow(run, f"{key} long, start long, n_tokens long, ids_crc32 long")
+    found = manifest.select(key, "shard", "nth").mapInArrow(released(run), f"{key} long, start long, n_tokens long, ids_crc32 long")
     return found.withColumn(key, F.nullif(F.col(key), F.lit(NO_KEY)))
 
 

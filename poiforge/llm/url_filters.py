@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import broadcast_if_small, stored, table
+from poiforge.llm.common import broadcast_if_small, released, stored, table
 
 TOKEN = "[a-z0-9]+"
 #: Rules that are sent to the tasks.
@@ -239,7 +239,7 @@ def url_filter(urls: DataFrame, key: str = "page_id", column: str = "url", site_
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.string()) for c in cols)], names=["key", "host", "path", "rule", "verdict", "pattern"])
 
     kind = dict(urls.dtypes)[key]
-    found = urls.select(F.col(key).alias("key"), F.col(column).alias("url")).mapInArrow(run, f"key {kind}, host string, path string, rule string, verdict string, pattern string")
+    found = urls.select(F.col(key).alias("key"), F.col(column).alias("url")).mapInArrow(released(run), f"key {kind}, host string, path string, rule string, verdict string, pattern string")
     return found.withColumnRenamed("key", key)
 
 
@@ -254,7 +254,7 @@ def _by_join(urls: DataFrame, key: str, column: str, rules: DataFrame, default:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.list_(pa.string()))], names=[*batch.schema.names, "tokens"])
 
     # the same rule twice is one rule
-    spelt = stored(rules.select("verdict", "host", "path", "pattern").distinct().mapInArrow(spelled, RULES + ", tokens array<string>"), "rules")
+    spelt = stored(rules.select("verdict", "host", "path", "pattern").distinct().mapInArrow(released(spelled), RULES + ", tokens array<string>"), "rules")
     each = spelt.select("verdict", "host", "path", "pattern", F.explode_outer("tokens").alias("token"))
     counts = token_counts(urls, column, stored(each.where("token IS NOT NULL").select("token").distinct(), "wanted"))
     ranked = each.join(counts, "token", "left").withColumn("order", F.struct(F.coalesce("n", F.lit(0)).alias("n"), -F.length("token"), "token"))
@@ -283,9 +283,9 @@ def _by_join(urls: DataFrame, key: str, column: str, rules: DataFrame, default:
         return run
 
     kinds = "url string, rule string, verdict string, pattern string"
-    hits = pairs.mapInArrow(judged(True), kinds)
+    hits = pairs.mapInArrow(released(judged(True)), kinds)
     if bare:
-        hits = hits.unionByName(distinct.mapInArrow(judged(False), kinds))
+        hits = hits.unionByName(distinct.mapInArrow(released(judged(False)), kinds))
     text = F.coalesce("rule", "pattern")
     order = F.struct(F.col("rule").isNull(), F.when(F.col("rule").isNull(), F.col("verdict") != "allow").otherwise(False), -F.length(text), text, "verdict")
     best = hits.groupBy(F.col("url").alias("_url")).agg(F.min_by(F.struct("rule", "verdict", "pattern"), order).alias("_b"))
