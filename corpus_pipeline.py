@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poiforge.llm import decontaminate, language_id, minhash_dedup, piece_sampling, pii
-from poiforge.llm.common import new_path, table
+from poiforge.llm.common import new_path, small_batches, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language_id.keep_languages(docs, language_id.fit(docs))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash_dedup.keep_one(docs, words=5, percent=80)
 
 
@@ -32,6 +34,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     out = pii.redacted(docs, pii.fit(docs))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*(F.col(f"`{c}`") for c in docs.columns))
@@ -40,6 +43,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, sample, n_pieces, ids_crc32, log_p, log_inclusion and the text that the pieces give back."""
+    small_batches(spark)
     rows = piece_sampling.encode(docs, decoded=True)
     rows = rows.withColumn("n_pieces", (F.length("ids") / 4).cast("long")).withColumn("ids_crc32", F.crc32("ids"))
     return rows.select("doc_id", "sample", "n_pieces", "ids_crc32", "log_p", "log_inclusion", "text")
