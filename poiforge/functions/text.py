@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,25 +94,124 @@ def jaro_winkler_similarity(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+#: Pairs that one vectorised step compares, and characters of a string from which it is compared alone.
+STEP, LONG = 8192, 96
+
+
+def _characters(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, one row a string, padded; lengths)."""
+    n = np.fromiter(map(len, strings), np.int64, len(strings))
+    out = np.zeros((len(strings), max(1, int(n.max(initial=0)))), np.uint32)
+    out[np.arange(out.shape[1]) < n[:, None]] = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out, n
+
+
+def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Longest common subsequence of every pair: one row of the table at a time, for all pairs at once."""
+    out = np.zeros(len(a), np.int64)
+    long = np.array([len(x) > LONG or len(y) > LONG for x, y in zip(a, b, strict=True)], bool)
+    for i in np.flatnonzero(long).tolist():
+        out[i] = lcs_length(a[i], b[i])
+    some = np.flatnonzero(~long)
+    # pairs of like lengths together
+    some = some[np.argsort([len(a[i]) + len(b[i]) for i in some.tolist()], kind="stable")]
+    for at in range(0, len(some), STEP):
+        part = some[at : at + STEP].tolist()
+        x, n = _characters([a[i] for i in part])
+        y, m = _characters([b[i] for i in part])
+        y[np.arange(y.shape[1]) >= m[:, None]] = 0xFFFFFFFF
+        row = np.zeros((len(part), y.shape[1] + 1), np.int16)
+        for i in range(int(n.max(initial=0))):
+            hit = (y == x[:, i : i + 1]) & (i < n)[:, None]
+            np.maximum.accumulate(np.maximum(row[:, 1:], row[:, :-1] + hit), axis=1, out=row[:, 1:])
+        out[part] = row[:, -1]
+    return out
+
+
+def indel_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    n = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], float)
+    return np.where(n > 0, 100.0 * 2 * lcs_lengths(a, b) / np.maximum(n, 1), 100.0)
+
+
+def _sorted(s: str) -> str:
+    return " ".join(sorted(s.split()))
+
+
+def token_sorts(a: list[str], b: list[str]) -> np.ndarray:
+    return indel_ratios(list(map(_sorted, a)), list(map(_sorted, b)))
+
+
+def token_sets(a: list[str], b: list[str]) -> np.ndarray:
+    """token_set of every pair. The shared words begin both sides, so against them the longest common subsequence is the shared part."""
+    sets = [(set(x.split()), set(y.split())) for x, y in zip(a, b, strict=True)]
+    shared = [" ".join(sorted(x & y)) for x, y in sets]
+    sides = [[" ".join(t for t in (both, " ".join(sorted(p[k] - p[1 - k]))) if t) for p, both in zip(sets, shared, strict=True)] for k in (0, 1)]
+    n, left, right = (np.fromiter(map(len, x), np.int64, len(a)) for x in (shared, *sides))
+    best = indel_ratios(*sides)
+    for side in (left, right):
+        best = np.where(n > 0, np.maximum(best, 200.0 * n / np.maximum(n + side, 1)), best)
+    subset = np.array([bool(x) and bool(y) and bool(x & y) and (x <= y or y <= x) for x, y in sets], bool)
+    empty = np.array([not x or not y for x, y in sets], bool)
+    return np.where(empty, 0.0, np.where(subset, 100.0, best))
+
+
+def jaro_winklers(a: list[str], b: list[str]) -> np.ndarray:
+    """jaro_winkler_similarity of every pair: the characters of the first strings in turn, for all pairs at once."""
+    out = np.zeros(len(a))
+    long = np.array([len(x) > LONG or len(y) > LONG for x, y in zip(a, b, strict=True)], bool)
+    for i in np.flatnonzero(long).tolist():
+        out[i] = jaro_winkler_similarity(a[i], b[i])
+    some = np.flatnonzero(~long)
+    some = some[np.argsort([len(a[i]) + len(b[i]) for i in some.tolist()], kind="stable")]
+    for at in range(0, len(some), STEP):
+        part = some[at : at + STEP].tolist()
+        x, n = _characters([a[i] for i in part])
+        y, m = _characters([b[i] for i in part])
+        rows, place = np.arange(len(part)), np.arange(y.shape[1])
+        reach = np.maximum(np.maximum(n, m) // 2 - 1, 0)
+        free = place < m[:, None]
+        hit = np.zeros(x.shape, bool)
+        for i in range(x.shape[1]):
+            fits = free & (y == x[:, i : i + 1]) & (np.abs(place - i) <= reach[:, None]) & (i < n)[:, None]
+            first = fits.argmax(1)
+            hit[:, i] = fits[rows, first]
+            free[rows[hit[:, i]], first[hit[:, i]]] = False
+        used = (place < m[:, None]) & ~free
+        found = hit.sum(1)
+        # matched characters of both sides in their order
+        mine, other = x[hit], y[used]
+        swapped = np.bincount(np.repeat(rows, found), weights=mine != other, minlength=len(part)).astype(np.int64) // 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            jaro = np.where(found > 0, (found / n + found / m + (found - swapped) / found) / 3, 0.0)
+        wide = min(4, x.shape[1], y.shape[1])
+        same = (x[:, :wide] == y[:, :wide]) & (np.arange(wide) < np.minimum(n, m)[:, None])
+        prefix = np.minimum.accumulate(same, axis=1).sum(1)
+        out[part] = np.where(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro), jaro)
+    return out
+
+
 def _pairwise(f):
+    """An Arrow UDF of a function over lists of pairs; equal pairs of a batch are compared once."""
+
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple, float | None] = {}
-        out = []
-        for pair in zip(a, b, strict=True):
-            if pair not in known:
-                known[pair] = None if pair[0] is None or pair[1] is None else f(*pair)
-            out.append(known[pair])
-        return pd.Series(out, dtype="float64")
+        known: dict[tuple, int] = {}
+        at = [known.setdefault(pair, len(known)) for pair in zip(a, b, strict=True)]
+        pairs = [(x, y) if x is not None and y is not None else None for x, y in known]
+        fine = [p for p in pairs if p is not None]
+        score = np.full(len(pairs), np.nan)
+        if fine:
+            score[[p is not None for p in pairs]] = f([x for x, _ in fine], [y for _, y in fine])
+        return pd.Series(score[at] if at else [], dtype="float64")
 
     run.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
     return F.pandas_udf(run, T.DoubleType())
 
 
-ratio = _pairwise(indel_ratio)
-token_sort_ratio = _pairwise(token_sort)
-token_set_ratio = _pairwise(token_set)
-max_sort_set_ratio = _pairwise(lambda a, b: max(token_sort(a, b), token_set(a, b)))
-jaro_winkler = _pairwise(jaro_winkler_similarity)
+ratio = _pairwise(indel_ratios)
+token_sort_ratio = _pairwise(token_sorts)
+token_set_ratio = _pairwise(token_sets)
+max_sort_set_ratio = _pairwise(lambda a, b: np.maximum(token_sorts(a, b), token_sets(a, b)))
+jaro_winkler = _pairwise(jaro_winklers)
 
 
 # -- normalisers --------------------------------------------------------------------------------------------------------

@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 
@@ -89,3 +90,14 @@ def test_whole_names_of_all_rows(spark, tmp_path):
     got = {r.doc_id: r.name for r in __spark_entry__.queries()["normalize_name"](spark, str(tmp_path)).collect()}
     assert got == {i: plain_name(t) for i, t in enumerate(texts)}
     assert got[2] == "strae gro" and got[4].endswith("word clinica center")
+
+
+def test_vectorised_kernels_equal_the_plain_ones():
+    rnd = random.Random(1)
+    word = lambda: " ".join("".join(rnd.choice("abcdé😀") for _ in range(rnd.randrange(6))) for _ in range(rnd.randrange(5)))
+    a = [word() for _ in range(3000)]
+    b = [word() if rnd.random() < 0.8 else x[::-1] for x in a]
+    a += ["", "x" * 200, "abc", ""]
+    b += ["", "x" * 150 + "y", "", "abc"]
+    for many, one in ((text.indel_ratios, text.indel_ratio), (text.token_sorts, text.token_sort), (text.token_sets, text.token_set), (text.jaro_winklers, text.jaro_winkler_similarity)):
+        assert many(a, b).tolist() == [one(x, y) for x, y in zip(a, b, strict=True)]
