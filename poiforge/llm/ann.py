@@ -39,8 +39,8 @@ SAMPLE, SAMPLE_LIST, SAMPLE_BYTES, LIST, MOST_LISTS = 20_000, 40, 256 << 20, 256
 REPLICAS, CLOSURE = 4, 1.1
 #: Recall that the distance ratio is fit for, queries and vectors of the sample that it is fit on, and lists that are read at least.
 RECALL, ASKED, AMONG, LEAST_LISTS = 0.98, 1_000, 40_000, 2
-#: Neighbours of a centroid in the graph, and centroids that a walk goes on from whatever the ratio.
-DEGREE, BEAM = 24, 32
+#: Neighbours of a centroid in the graph, centroids that a walk goes on from whatever the ratio, and how much farther than the ratio it goes.
+DEGREE, BEAM, SLACK = 24, 128, 1.1
 BLOCK, CHUNK = 4_096, 4_096
 #: Hits that a search task holds before it merges those of a query from several lists.
 HELD = 1_000_000
@@ -102,7 +102,9 @@ class Index:
     tree: Halvings
     centroids: np.ndarray
     largest: float
+    #: Neighbours of all centroids end to end, and where each one's begin.
     graph: np.ndarray
+    begin: np.ndarray
     ratio: float = 1.0
 
     @classmethod
@@ -112,14 +114,16 @@ class Index:
         tree, leaves = Halvings.fit(x, max(1, -(-len(x) // max(1, lists))))
         centroids = np.array([x[r].mean(0) for r in leaves])
         n = len(centroids)
-        # a ring keeps the graph connected
-        near = [(np.arange(n) + 1) % n, (np.arange(n) - 1) % n]
-        graph = np.empty((n, min(DEGREE, n) + 2), np.int32)
-        graph[:, -2], graph[:, -1] = near
+        # neighbours both ways, and a ring that keeps the graph connected
+        pairs = [np.stack([np.arange(n), (np.arange(n) + 1) % n], 1)]
+        near = min(DEGREE, n - 1)
         for lo in range(0, n, 1024):
             d = cls._distances(centroids[lo : lo + 1024], centroids)
-            graph[lo : lo + 1024, :-2] = np.argpartition(d, graph.shape[1] - 3, axis=1)[:, : graph.shape[1] - 2]
-        index = cls(tree, centroids, largest, graph)
+            some = np.argpartition(d, near, axis=1)[:, : near + 1]
+            pairs.append(np.stack([np.repeat(np.arange(lo, lo + len(d)), near + 1), some.ravel()], 1))
+        pairs = np.concatenate(pairs)
+        pairs = np.unique(np.concatenate([pairs, pairs[:, ::-1]]), axis=0)
+        index = cls(tree, centroids, largest, pairs[:, 1].astype(np.int32), np.searchsorted(pairs[:, 0], np.arange(n + 1)))
         index._fit_ratio(x, among or len(x))
         return index
 
@@ -167,7 +171,7 @@ class Index:
         return some[fits], np.repeat(rows, fits.sum(1))
 
     def lists_for(self, query: np.ndarray) -> np.ndarray:
-        """Search over the graph in waves, from all centroids among the BEAM nearest or within the distance ratio, then pruning by the ratio."""
+        """Search over the graph in waves, from all centroids among the BEAM nearest or within SLACK times the distance ratio, then pruning by the ratio."""
         q = np.append(query, 0.0)
         d = np.full(len(self.centroids), np.inf)
         walked = np.zeros(len(d), bool)
@@ -175,9 +179,11 @@ class Index:
         while len(fresh):
             d[fresh] = ((self.centroids[fresh] - q) ** 2).sum(1)
             beam = np.partition(d, BEAM - 1)[BEAM - 1] if len(d) > BEAM else np.inf
-            go = ~walked & np.isfinite(d) & (d <= max(beam, self.ratio**2 * d.min()))
+            go = ~walked & np.isfinite(d) & (d <= max(beam, (SLACK * self.ratio) ** 2 * d.min()))
             walked |= go
-            fresh = np.unique(self.graph[go])
+            some = np.flatnonzero(go)
+            many = self.begin[some + 1] - self.begin[some]
+            fresh = np.unique(self.graph[np.arange(int(many.sum())) + np.repeat(self.begin[some] - np.cumsum(many) + many, many)])
             fresh = fresh[np.isinf(d[fresh])]
         found = np.argsort(d, kind="stable")
         return found[(np.arange(len(d)) < LEAST_LISTS) & np.isfinite(d[found]) | (np.sqrt(d[found]) <= self.ratio * np.sqrt(d.min()))]

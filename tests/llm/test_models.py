@@ -241,6 +241,7 @@ def test_ann_ratio_alone_decides_the_lists():
     x = rnd.normal(size=(12_000, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
     index = ann.Index.fit(x, 1.0, 600)
+    index.ratio = 1.35  # so wide that every query has more lists within it than the walk's beam
     for q in x[:40]:
         d = np.sqrt(((index.centroids - np.append(q, 0.0)) ** 2).sum(1))
         within = set(np.flatnonzero(d <= index.ratio * d.min()).tolist())
