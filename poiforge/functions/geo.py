@@ -31,6 +31,17 @@ def mercator_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column) ->
     return F.sqrt(F.pow(mercator_x(lon1) - mercator_x(lon2), 2) + F.pow(mercator_y(lat1) - mercator_y(lat2), 2))
 
 
+def buffer(lon: Column, lat: Column, metres: float, corners: int = 32) -> Column:
+    """A ring of so many corners around a point, at so many Web-Mercator metres."""
+    x, y = mercator_x(lon), mercator_y(lat)
+    turns = [2 * math.pi * (i % corners) / corners for i in range(corners + 1)]
+    corner = lambda a: F.struct(
+        F.degrees((x + metres * math.cos(a)) / MERCATOR).alias("x"),
+        F.degrees(2 * F.atan(F.exp((y + metres * math.sin(a)) / MERCATOR)) - math.pi / 2).alias("y"),
+    )
+    return F.array(*(corner(a) for a in turns))
+
+
 def cells(lon: Column, lat: Column, radius: float, metric: str) -> tuple[Column, Column]:
     """Grid cells such that points within the radius lie in the same or in neighbouring cells (haversine: up to 72 degrees of latitude)."""
     if metric == "mercator":

@@ -78,6 +78,14 @@ def within_join(points: DataFrame, polygons: DataFrame, point_id: str, polygon_i
     return hit.groupBy(point_id).agg(F.min(polygon_id).alias(polygon_id))
 
 
+def in_region(points: DataFrame, polygons: DataFrame | None, point_id: str, polygon_id: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """Points inside any polygon, after the box; inside the box alone where there are no polygons."""
+    near = points.where(geo.in_boxes(F.col("lon"), F.col("lat"), [box]))
+    if polygons is None:
+        return near
+    return near.join(within_join(near, polygons, point_id, polygon_id).select(point_id), point_id, "left_semi")
+
+
 def _coordinate(key: str):
     return lambda p: p[key]
 

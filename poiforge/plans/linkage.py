@@ -46,6 +46,14 @@ def ready_providers(providers: DataFrame) -> DataFrame:
     return cut(rows.withColumn("brand", text.strip_brand(F.col("norm"))))
 
 
+def resolve_states(places: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """Ready places with the code of the boundary (code, ring) that holds them, where they have no state."""
+    missing = places.where("state = ''").select("place_id", "lon", "lat")
+    found = spatial.within_join(missing, boundaries, "place_id", "code").select("place_id", F.col("code").alias("_code"))
+    out = places.join(found, "place_id", "left")
+    return out.withColumn("state", F.when(F.col("state") == "", F.coalesce("_code", F.lit(""))).otherwise(F.col("state"))).drop("_code")
+
+
 def _scored(pairs: DataFrame, places: DataFrame, providers: DataFrame, kernel) -> DataFrame:
     """Pairs with both sides' names compared by one more kernel, as `other`, and the provider's general and beds."""
     rows = pairs.join(places.select("place_id", F.col("norm").alias("_a")), "place_id").join(providers.select("provider_id", F.col("norm").alias("_b"), "general", "beds"), "provider_id")
@@ -157,5 +165,7 @@ def link(places: DataFrame, providers: DataFrame) -> DataFrame:
     return out
 
 
-def link_providers(places: DataFrame, providers: DataFrame) -> DataFrame:
-    return link(ready_places(places), ready_providers(providers))
+def link_providers(places: DataFrame, providers: DataFrame, boundaries: DataFrame | None = None) -> DataFrame:
+    """From raw rows; boundaries give a state to places without one."""
+    ready = ready_places(places)
+    return link(ready if boundaries is None else cut(resolve_states(ready, boundaries)), ready_providers(providers))

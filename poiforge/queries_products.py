@@ -13,9 +13,9 @@ from poiforge import catalog as c
 from poiforge.functions import geo, score, text
 from poiforge.operators import fuzzy, quality, resolve, spatial, tags
 from poiforge.operators.lineage import shared_dir
-from poiforge.plans import conflation, gold
+from poiforge.plans import conflation, gold, linkage
 from poiforge.queries_linkage import scores
-from poiforge.sources import readers, writers
+from poiforge.sources import readers, services, writers
 
 query, read, points = c.query, c.read, c.points
 
@@ -511,3 +511,59 @@ def key_intersection(spark, sf):
 def in_any_polygon(spark, sf):
     """Inside the union of all polygons, which needs no dissolve."""
     return spatial.within_join(points(read(spark, sf, "customer"), "c_custkey"), c._ring(read(spark, sf, "nation")), "c_custkey", "n_nationkey").select("c_custkey").distinct()
+
+
+# -- services, regions, buffers, copies ---------------------------------------------------------------------------------
+
+
+def _service(batch):
+    """A stand-in for a batch geocoder: it knows three addresses of four, and fails for a batch with a bad one."""
+    if any(r["address"] == "bad" for r in batch):
+        raise ValueError("bad address")
+    return {r["s_suppkey"]: (r["s_suppkey"] / 100.0, 18.0) for r in batch if r["s_suppkey"] % 4 > 0}
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 > 0 THEN s_suppkey / 100.0 END::DOUBLE AS lon, s_suppkey % 4 > 0 AS found, false AS failed FROM supplier")
+def geocode_service(spark, sf):
+    rows = read(spark, sf, "supplier").select("s_suppkey", F.col("s_name").alias("address"))
+    out = services.geocode_batches(rows, "s_suppkey", _service, size=37)
+    return out.select("s_suppkey", "lon", F.col("lat").isNotNull().alias("found"), F.col("error").isNotNull().alias("failed"))
+
+
+@query(f"WITH {_IN} SELECT c_custkey AS place_id, CASE WHEN c_custkey % 2 = 0 THEN 'PR' ELSE coalesce('n' || n, '') END AS state FROM c LEFT JOIN held USING (c_custkey)")
+def states_of_points(spark, sf):
+    """Places without a state take the code of the polygon that holds them."""
+    k = F.col("c_custkey")
+    places = points(read(spark, sf, "customer"), "c_custkey").select(k.alias("place_id"), F.when(k % 2 == 0, "PR").otherwise("").alias("state"), "lon", "lat")
+    codes = c._ring(read(spark, sf, "nation")).select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("code"), "ring")
+    return linkage.resolve_states(places, codes).select("place_id", "state")
+
+
+@query(f"WITH {_IN} SELECT c_custkey, 'polygon' AS how FROM c WHERE lon BETWEEN -67 AND -66 AND lat BETWEEN 18 AND 18.4 AND c_custkey IN (SELECT c_custkey FROM held) UNION ALL SELECT c_custkey, 'box' FROM c WHERE lon BETWEEN -67 AND -66 AND lat BETWEEN 18 AND 18.4")
+def region_filter(spark, sf):
+    """Box, then polygons; without polygons the box alone."""
+    rows, box = points(read(spark, sf, "customer"), "c_custkey"), (-67.0, 18.0, -66.0, 18.4)
+    a = spatial.in_region(rows, c._ring(read(spark, sf, "nation")), "c_custkey", "n_nationkey", box)
+    b = spatial.in_region(rows, None, "c_custkey", "n_nationkey", box)
+    return a.select("c_custkey", F.lit("polygon").alias("how")).unionByName(b.select("c_custkey", F.lit("box").alias("how")))
+
+
+@query(f"WITH {c.sql_points('supplier', 's_suppkey', 's')} SELECT s_suppkey, 33 AS corners, round(lon + degrees(500 / 6378137.0), 6) AS xmax, round(degrees(2 * atan(exp((ln(tan(radians(lat) / 2 + pi() / 4)) * 6378137.0 + 500) / 6378137.0)) - pi() / 2), 6) AS ymax, true AS inside FROM s")
+def point_buffers(spark, sf):
+    ring = geo.buffer(F.col("lon"), F.col("lat"), 500.0)
+    rows = points(read(spark, sf, "supplier"), "s_suppkey").withColumn("ring", ring)
+    top = lambda k: F.round(F.array_max(F.transform("ring", lambda p: p[k])), 6)
+    return rows.select("s_suppkey", F.size("ring").alias("corners"), top("x").alias("xmax"), top("y").alias("ymax"), geo.inside_ring(F.col("lon"), F.col("lat"), F.col("ring")).alias("inside"))
+
+
+@query(f"""WITH {_IN} SELECT 'members' AS layer, count(*) AS n FROM held UNION ALL SELECT 'polygons', count(*) FROM n UNION ALL SELECT 'folded', count(DISTINCT n) FROM held""")
+def campus_copies(spark, sf):
+    """Members, polygons and folded campuses as tables of their own."""
+    rows = _campus_sides(spark, sf)
+    folded, _, members = conflation.campus(rows, ["hospital"])
+    tables = writers.debug_tables(spark, scratch(spark, "campus"), {"members": members, "polygons": rows.where("ring IS NOT NULL"), "folded": folded})
+    out = None
+    for name, df in tables.items():
+        part = df.agg(F.lit(name).alias("layer"), F.count("*").alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out

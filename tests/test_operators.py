@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from poiforge.functions import geo, score
 from poiforge.operators import fuzzy, resolve, spatial, tags
-from poiforge.sources import readers, writers
+from poiforge.sources import readers, services, writers
 
 FEATURE = "kind string, type string, id long, tags map<string,string>, lon double, lat double, ring array<struct<x:double,y:double>>"
 
@@ -183,3 +183,18 @@ def test_same_city_and_pending(spark):
     rows = spark.createDataFrame([(1, "ok", "01"), (2, None, "01"), (3, "error", "02"), (4, "error", "01")], "k long, geocode_status string, category string")
     assert sorted(r.k for r in fuzzy.pending(rows, ("error",)).collect()) == [2, 3, 4]
     assert sorted(r.k for r in fuzzy.pending(rows, ("error",), ("01",)).collect()) == [2, 4]
+
+
+def test_services_fail_by_batch_and_stop_at_their_limit(spark):
+    def call(batch):
+        if any(r["a"] == "bad" for r in batch):
+            raise ValueError("no")
+        return {r["k"]: (1.0, 2.0) for r in batch if r["k"] != 2}
+
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "bad"), (4, "z")], "k long, a string").coalesce(1)
+    got = {r.k: (r.lon, r.error) for r in services.geocode_batches(df, "k", call, size=2).collect()}
+    assert got == {1: (1.0, None), 2: (None, None), 3: (None, "ValueError: no"), 4: (None, "ValueError: no")}
+    single = services.geocode_singly(df, "k", lambda r: (float(r["k"]), 0.0), most=3, wait=0.0)
+    assert sorted((r.k, r.lon) for r in single.collect()) == [(1, 1.0), (2, 2.0), (3, 3.0)]
+    assert services.with_points(df, single, "k").where("re_lon IS NOT NULL").count() == 3
+    assert services.geocode_batches(df.limit(0), "k", call).count() == 0
