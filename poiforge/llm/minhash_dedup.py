@@ -294,6 +294,22 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def oracle() -> str:
+    """The same by counting the shingles that any two documents share, and the closure of the links."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = r"regexp_extract_all(%s, '[^\x20\x09-\x0D]+')" % lower
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce({words}, []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + least(3, len(w))], ' ') AS g FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT reach.a, l.b FROM reach JOIN both_ways l ON reach.b = l.a),
+least AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id, doc_id <= coalesce(c, doc_id) AS kept FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+
 def brute_force(rows: list[tuple[int, str | None]], words: int, percent: int) -> list[tuple[int, int, int, bool]]:
     """All pairs in plain Python, for tests."""
     sets = {}

@@ -160,6 +160,20 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"), F.size("spans").cast("long").alias("n_spans"))
 
 
+def oracle() -> str:
+    """The same by hashes of all windows' words."""
+    words = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce({words}, []) AS w FROM documents),
+s AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + {WIDTH}], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(len(w) - {WIDTH - 1})) AS i FROM d WHERE len(w) >= {WIDTH})),
+m AS (SELECT h, min(doc_id) AS first FROM s GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WIDTH})) AS p FROM s JOIN m USING (h) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS k, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+runs AS (SELECT doc_id, count(*) AS r FROM (SELECT doc_id, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM gone) WHERE gap IS NULL OR gap > 1 GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256, coalesce(r, 0)::BIGINT AS n_spans FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN runs USING (doc_id)"""
+
+
 def brute_force(rows: list[tuple[int, str | None]], width: int = WIDTH) -> list[tuple[int, int, int, str]]:
     """The contract in plain Python, for tests."""
     least: dict[tuple, int] = {}

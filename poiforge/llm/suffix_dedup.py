@@ -304,6 +304,22 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def oracle() -> str:
+    """The same by hashes of all strings of 200 bytes, on hexadecimal texts, which are cut into pieces of 400 bytes first."""
+    return """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+cut AS (SELECT doc_id, c, substr(x, 800 * c + 1, 1198) AS y FROM (SELECT doc_id, x, unnest(range((length(x) // 2 + 200) // 400)) AS c FROM d WHERE length(x) >= 400)),
+s AS (SELECT doc_id, 400 * c + j AS i, md5(substr(y, 2 * j + 1, 400)) AS h FROM (SELECT doc_id, c, y, unnest(range(least(400, length(y) // 2 - 199))) AS j FROM cut WHERE length(y) >= 400)),
+again AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1),
+f AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM s JOIN again USING (h)),
+g AS (SELECT doc_id, i, sum(CASE WHEN i <= p + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM f),
+spans AS (SELECT doc_id, k, min(i) AS lo, max(i) + 200 AS hi FROM g GROUP BY doc_id, k),
+pieces AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM spans UNION ALL SELECT doc_id, coalesce(max(hi), 0), any_value(length(x)) // 2 FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS t FROM pieces JOIN d USING (doc_id) GROUP BY doc_id),
+total AS (SELECT doc_id, sum(hi - lo) AS gone, count(*) AS k FROM spans GROUP BY doc_id)
+SELECT doc_id, length(x)::BIGINT // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(k, 0)::BIGINT AS n_spans, sha256(unhex(t)) AS kept_sha256 FROM d JOIN kept USING (doc_id) LEFT JOIN total USING (doc_id)"""
+
+
 def brute_force(rows: list[tuple[int, str | None]], width: int = WIDTH) -> list[tuple[int, int, int, int, str]]:
     """The contract in plain Python, for tests."""
     texts = [(k, (t or "").encode()) for k, t in rows]
