@@ -74,6 +74,8 @@ class Pieces:
         self.length = np.fromiter(map(len, out), np.int64, n)
         self.start = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(out), np.uint8)
+        # what only begins a piece has the id -2: longer strings from there on are looked up
+        texts |= dict.fromkeys({t[:i] for t in texts for i in range(1, len(t))} - texts.keys(), -2)
         flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         total, down = prefix_hash(flat)
@@ -90,7 +92,7 @@ class Pieces:
             left = left[way[slot[left]] != left]
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        """Piece id of each hash, -1: none."""
+        """Piece id of each hash, -1: none, -2: the beginning of a piece."""
         slot = (key & np.uint64(_SLOTS - 1)).astype(np.int64)
         found = np.full(len(key), -1, np.int32)
         open_ = np.arange(len(key))
@@ -125,10 +127,16 @@ class Lattice:
         self.points = points[own]
         left = np.repeat(self.begin + n, n) - np.arange(len(own))
         self.ids = np.full((len(own), MOST), -1, np.int16 if pieces.none < 2**15 else np.int32)
-        for length in range(1, min(MOST, int(n.max(initial=0))) + 1):
-            at = np.flatnonzero(left >= length)
+        at = np.arange(len(own))
+        for length in range(1, MOST + 1):
+            at = at[left[at] >= length]
+            if not len(at):
+                break
             i = own[at]
-            self.ids[at, length - 1] = pieces.find(mix64((total[i + length] - total[i]) * down[i] + np.uint64(length)))
+            found = pieces.find(mix64((total[i + length] - total[i]) * down[i] + np.uint64(length)))
+            self.ids[at, length - 1] = np.maximum(found, -1)
+            at = at[found != -1]
+        self.far = (self.ids[:, MOST // 2 :] >= 0).any(1)  # places with a long arc
         bare = np.flatnonzero(self.ids[:, 0] < 0)
         one = self.points[bare] < 128
         self.ids[bare, 0] = np.where(one, pieces.byte[np.minimum(self.points[bare], 255)], pieces.none)
@@ -149,26 +157,31 @@ class Lattice:
         longest, span = -n[order], np.arange(1, MOST + 1)
         scaled = weight if logs else np.exp(weight)
         grow = np.exp(2.0 * span)
+        half = MOST // 2
         for d in range(1, int(-longest[0] if len(longest) else 0) + 1):
-            at = end[order[: np.searchsorted(longest, -d, "right")]] - d
-            k = min(d, MOST)
-            x = scaled[self.ids[at, :k]]
-            after = beta[at[:, None] + span[:k]]
-            if d <= MOST:  # a word's own end, whatever stands there in the next word
-                after[:, d - 1] = 0.0 if logs else 1.0
-            if logs:
-                x = x + after
-                top = x.max(1)
-                x = np.exp(x - top[:, None])
-                total = x.sum(1)
-                beta[at] = np.log(total) + top
-            else:
-                x *= after
-                x *= grow[:k]
-                total = x.sum(1)
-                beta[at] = total
-            x /= total[:, None]
-            self.prob[at, :k] = x
+            every = end[order[: np.searchsorted(longest, -d, "right")]] - d
+            long = self.far[every] if d > half else np.zeros(len(every), bool)
+            # few places have arcs of more than half the length
+            for at, k in ((every[~long], min(d, half)), (every[long], min(d, MOST))):
+                if not len(at):
+                    continue
+                x = scaled[self.ids[at, :k]]
+                after = beta[at[:, None] + span[:k]]
+                if d <= k:  # a word's own end, whatever stands there in the next word
+                    after[:, d - 1] = 0.0 if logs else 1.0
+                if logs:
+                    x = x + after
+                    top = x.max(1)
+                    x = np.exp(x - top[:, None])
+                    total = x.sum(1)
+                    beta[at] = np.log(total) + top
+                else:
+                    x *= after
+                    x *= grow[:k]
+                    total = x.sum(1)
+                    beta[at] = total
+                x /= total[:, None]
+                self.prob[at, :k] = x
         first = np.zeros(len(end))
         first[order] = beta[(end - n)[order]]
         return first
