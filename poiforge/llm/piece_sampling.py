@@ -97,11 +97,13 @@ class Pieces:
         found = np.full(len(key), -1, np.int32)
         open_ = np.arange(len(key))
         for way in self.ways:
-            at = way[slot[open_]]
-            open_, at = open_[at >= 0], at[at >= 0]
-            same = self.key[at] == key[open_]
-            found[open_[same]] = self.id[at[same]]
-            open_ = open_[~same]
+            at = way.take(slot.take(open_))
+            known = np.flatnonzero(at >= 0)
+            open_, at = open_.take(known), at.take(known)
+            same = self.key.take(at) == key.take(open_)
+            hit = np.flatnonzero(same)
+            found[open_.take(hit)] = self.id.take(at.take(hit))
+            open_ = open_.take(np.flatnonzero(~same))
         return found
 
 
@@ -129,13 +131,13 @@ class Lattice:
         self.ids = np.full((len(own), MOST), -1, np.int16 if pieces.none < 2**15 else np.int32)
         at = np.arange(len(own))
         for length in range(1, MOST + 1):
-            at = at[left[at] >= length]
+            at = at.take(np.flatnonzero(left.take(at) >= length))
             if not len(at):
                 break
-            i = own[at]
-            found = pieces.find(mix64((total[i + length] - total[i]) * down[i] + np.uint64(length)))
+            i = own.take(at)
+            found = pieces.find(mix64((total.take(i + length) - total.take(i)) * down.take(i) + np.uint64(length)))
             self.ids[at, length - 1] = np.maximum(found, -1)
-            at = at[found != -1]
+            at = at.take(np.flatnonzero(found != -1))
         self.far = (self.ids[:, MOST // 2 :] >= 0).any(1)  # places with a long arc
         bare = np.flatnonzero(self.ids[:, 0] < 0)
         one = self.points[bare] < 128
@@ -165,8 +167,8 @@ class Lattice:
             for at, k in ((every[~long], min(d, half)), (every[long], min(d, MOST))):
                 if not len(at):
                     continue
-                x = scaled[self.ids[at, :k]]
-                after = beta[at[:, None] + span[:k]]
+                x = scaled.take(self.ids.take(at, axis=0)[:, :k], mode="wrap")
+                after = beta.take(at[:, None] + span[:k])
                 if d <= k:  # a word's own end, whatever stands there in the next word
                     after[:, d - 1] = 0.0 if logs else 1.0
                 if logs:
@@ -178,7 +180,7 @@ class Lattice:
                 else:
                     x *= after
                     x *= grow[:k]
-                    total = x.sum(1)
+                    total = np.einsum("ij->i", x)  # row by row, whatever the other rows
                     beta[at] = total
                 x /= total[:, None]
                 self.prob[at, :k] = x
@@ -188,7 +190,8 @@ class Lattice:
 
     def _pick(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The first arc at which the running sum of probabilities exceeds u; most are among the short ones."""
-        arc = (self.running[place] <= u[:, None]).sum(1)
+        below = self.running.take(place, axis=0) <= u[:, None]  # eight flags, counted as one word
+        arc = np.bitwise_count(below.view(np.uint64).ravel()).astype(np.int64)
         far = np.flatnonzero(arc == MOST // 2)
         arc[far] = (np.cumsum(self.prob[place[far]], axis=1) <= u[far, None]).sum(1)
         return arc
@@ -204,7 +207,7 @@ class Lattice:
             p, s = place[active], step[active]
             u = uniform(noise[active] + s.astype(np.uint64) * _PHI)
             arc = np.concatenate([self._pick(p[i : i + ROWS], u[i : i + ROWS].astype(np.float32)) for i in range(0, len(p), ROWS)])
-            if (bad := np.flatnonzero((arc >= MOST) | (self.prob[p, np.minimum(arc, MOST - 1)] == 0))).size:  # rounding: the likeliest
+            if (bad := np.flatnonzero((arc >= MOST) | (self.prob.take(p * MOST + np.minimum(arc, MOST - 1)) == 0))).size:  # rounding: the likeliest
                 arc[bad] = self.prob[p[bad]].argmax(1)
             logs.append((active, p, arc, s))
             place[active] = p + arc + 1
@@ -219,12 +222,12 @@ class Lattice:
 
     def log_probability(self, place: np.ndarray, arc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the arcs taken, and of all other arcs together."""
-        p = self.prob[place, arc].astype(np.float64)
+        p = self.prob.take(place * MOST + arc).astype(np.float64)
         rest = 1 - p
         near = np.flatnonzero(p > 0.9999)
         for i in range(0, len(near), ROWS):
             some = near[i : i + ROWS]
-            row = self.prob[place[some]].astype(np.float64)
+            row = self.prob.take(place[some], axis=0).astype(np.float64)
             row[np.arange(len(some)), arc[some]] = 0
             rest[some] = row.sum(1)
         with np.errstate(divide="ignore"):
@@ -365,7 +368,7 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
     for t, mine_ in enumerate(found):
         mine = []
         for p in mine_:
-            ids = lattice.ids[p.place, p.arc].astype(np.int32)
+            ids = lattice.ids.take(p.place * MOST + p.arc).astype(np.int32)
             if (ids == pieces.none).any():
                 ids = _with_bytes(pieces, ids, lattice.points[p.place])
             mine.append((ids, p.log_p, log_inclusion(p.log_p, float(kappa[t]))))
