@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from poiforge.llm.common import blocks, broadcast_if_small, i64, LOWER, mix64, released, rolling, stored, string_parts, table, word_bounds, word_hashes, _WORD_POW
+from poiforge.llm.common import blocks, broadcast_if_small, discard, i64, LOWER, mix64, released, rolling, stored, string_parts, table, word_bounds, word_hashes, _WORD_POW
 
 BANDS, ROWS = 28, 4
 #: Members that one copy of a leader is compared with in one group, and shingles that a block of an exact search holds.
@@ -224,12 +224,14 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        old = edges
+        nearest = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = both.join(nearest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.where("u <> v").distinct(), "large")
         least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = stored(small.where("u <> v").distinct(), "edges")
+        discard(old, nearest, large, least)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             # stars only: every node points at its component's smallest
@@ -264,6 +266,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80, key
         own = features(docs.join(broadcast_if_small(several), "doc_id", "left_semi"), words, texts=True).join(sets, ["s1", "s2"]).where("doc_id = key").select("rep", "text")
         texts = texts.join(broadcast_if_small(several), F.col("rep") == several["doc_id"], "left_anti").unionByName(own.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]))
     texts = stored(texts, "texts")
+    discard(found, crowded, wanted)
 
     close = (F.col("rep") != F.col("leader")) & (100 * F.least("n", "leader_n") >= percent * F.greatest("n", "leader_n"))
     pairs = inside.where(close).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
