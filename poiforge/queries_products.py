@@ -268,12 +268,12 @@ def top_name_search(spark, sf):
     return found.select("p_partkey", F.round("score", 3).alias("score"))
 
 
-@query("""WITH n AS (SELECT n_nationkey, n_name AS a FROM nation), t AS (SELECT x.n_nationkey, y.n_nationkey AS other, upper(trim(x.a)) AS a, upper(trim(y.a)) AS b FROM n x, n y)
+@query("""WITH n AS (SELECT n_nationkey, n_regionkey, n_name AS a FROM nation), t AS (SELECT x.n_nationkey, y.n_nationkey AS other, upper(trim(x.a)) AS a, upper(trim(y.a)) AS b FROM n x JOIN n y USING (n_regionkey))
 SELECT n_nationkey, other, a = b OR (least(length(a), length(b)) >= 4 AND starts_with(CASE WHEN length(a) <= length(b) THEN b ELSE a END, substr(CASE WHEN length(a) <= length(b) THEN a ELSE b END, 1, 4))) OR jaro_winkler_similarity(a, b) >= 0.75 AS plausible FROM t""")
 def city_pairs(spark, sf):
-    """All pairs of 25 names."""
-    n = read(spark, sf, "nation").select("n_nationkey", F.lower("n_name").alias("a"))
-    both = n.crossJoin(F.broadcast(n.select(F.col("n_nationkey").alias("other"), F.col("a").alias("b"))))  # 25 rows
+    """All pairs of names of a region."""
+    n = read(spark, sf, "nation").select("n_regionkey", "n_nationkey", F.lower("n_name").alias("a"))
+    both = n.join(n.select("n_regionkey", F.col("n_nationkey").alias("other"), F.col("a").alias("b")), "n_regionkey")
     return both.select("n_nationkey", "other", text.city_plausible(F.col("a"), F.col("b")).alias("plausible"))
 
 
