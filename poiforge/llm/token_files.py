@@ -31,6 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -245,9 +246,9 @@ class WordEncoder:
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of cache entries end to end, their running lengths from 0)."""
-        length = self.length[at]
+        length = self.length.take(at)
         total = np.concatenate([[0], np.cumsum(length)])
-        return self.ids[np.arange(total[-1]) + np.repeat(self.start[at] - total[:-1], length)], total
+        return self.ids.take(np.arange(total[-1]) + np.repeat(self.start.take(at) - total[:-1], length)), total
 
     def _add(self, words: list[str]) -> None:
         """The pre-tokenizer parts a run of letters from a run of signs, and the normaliser lower-cases, so a piece of letters and closing
@@ -271,13 +272,20 @@ class WordEncoder:
         if not self.pieces:
             got = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
             return np.array([i for ids in got for i in (*ids, end_id)], np.uint32), np.fromiter((len(ids) + 1 for ids in got), np.int64, len(got))
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        words = [w for p in pieces for w in p]
-        if fresh := list(set(words).difference(self.number)):
+        # Arrow splits and numbers the pieces; only distinct ones are looked up
+        pieces = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        coded = pieces.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        get = self.number.get
+        number = np.array([get(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            fresh = [words[i] for i in missing.tolist()]
             self._add(fresh)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+            number[missing] = [self.number[w] for w in fresh]
+        at = number.take(coded.indices.to_numpy())
         ids, total = self._gather(at)
-        borders = total[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
+        borders = total[np.cumsum(pieces.value_lengths().to_numpy())]
         return np.insert(ids, borders, np.uint32(end_id)), np.diff(borders, prepend=0) + 1
 
 
