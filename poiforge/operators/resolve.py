@@ -119,7 +119,9 @@ def merge_nodes(buildings: DataFrame, nodes: DataFrame, key: str, name: str = "d
     kinds = dict(buildings.dtypes)
     joined = buildings.join(match, key, "left").join(other, "_node", "left")
     fixed = {key, "lon", "lat", "geom_type", "ring"}
-    cols = [F.col(f"`{c}`") if c in fixed or c not in nodes.columns else F.when(text.is_empty(F.col(f"`{c}`")) if kinds[c] == "string" else F.col(f"`{c}`").isNull(), F.col(f"`_n_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in buildings.columns]
+    missing = lambda c, kind: text.is_empty(F.col(f"`{c}`")) if kind == "string" else F.col(f"`{c}`").isNull()
+    # an empty value of a node fills no gap
+    cols = [F.col(f"`{c}`") if c in fixed or c not in nodes.columns else F.when(missing(c, kinds[c]) & ~missing(f"_n_{c}", kinds[c]), F.col(f"`_n_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in buildings.columns]
     rest = nodes.join(match.select(F.col("_node").alias(key)).distinct(), key, "left_anti")
     return joined.select(*cols).unionByName(rest, allowMissingColumns=True)
 

@@ -94,6 +94,13 @@ def test_node_merge(spark, metres, a, b, left):
         assert got[0].phone == "555" and got[0].display_name == (a or b) and got[0].lon == 0.0
 
 
+def test_empty_values_of_a_node_fill_no_gap(spark):
+    schema = "lifeline_id string, display_name string, phone string, beds int, lon double, lat double"
+    buildings = spark.createDataFrame([("w", None, "", None, 0.0, 0.0)], schema)
+    nodes = spark.createDataFrame([("n", "", " none ", 4, 0.0, 0.0)], schema)
+    assert [tuple(r)[:4] for r in resolve.merge_nodes(buildings, nodes, "lifeline_id").collect()] == [("w", None, "", 4)]
+
+
 def test_polygons(spark):
     square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
     polys = spark.createDataFrame([(7, [tuple(p) for p in square])], "poly long, ring array<struct<x:double,y:double>>")
