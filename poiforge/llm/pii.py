@@ -52,6 +52,8 @@ _RUN = re.compile(r"(?<![0-9A-Za-z])(?:\+|\()?[0-9]++(?:[ ().,/-]{1,2}[0-9]++)*+
 _GROUP = re.compile("[0-9]+")
 _QUAD = re.compile(r"(?<![0-9A-Za-z.])(?=([0-9]{1,4}(?: ?[\[({]?(?:\.|dot)[\])}]? ?[0-9]{1,4}){3})(?![0-9A-Za-z]))")
 _WRITTEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?[\[({](?:at|@)[\])}] ?| at | @ ?|@ )[A-Za-z0-9-]{1,63}+(?:(?: ?[\[({](?:dot|\.)[\])}] ?| dot |\.| \. )[A-Za-z0-9-]{1,63}+){1,5}", re.I)
+#: What every written-out address without an @ has.
+_AT = re.compile(r"[ \[({]at[ \])}]", re.I)
 #: Groups of digits that a candidate spans at most.
 _GROUPS = 6
 _CUES = {"phone": r"phone|tel|call|fax|mobile|dial|contact", "card": r"card|visa|credit|debit|master|pay", "ip": r"\bip\b|server|host|addr", "email": r"mail|contact|write|reach"}
@@ -128,7 +130,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
                 if 13 <= n:
                     out.append(("card", lo, hi))
     out += [("ip", m.start(1), m.end(1)) for m in _QUAD.finditer(text)]
-    if "@" in text or "at" in text or "AT" in text:
+    if "@" in text or _AT.search(text):
         out += [("email", m.start(), m.end()) for m in _WRITTEN.finditer(text)]
     return out
 
@@ -325,13 +327,17 @@ def train(rows: list[tuple[list[float], int, bool]]) -> Model | None:
     return model
 
 
+#: Bytes before and after a written-out @ (see _WRITTEN).
+_OPEN, _CLOSE = (np.isin(np.arange(256), list(signs)) for signs in (b" [({", b" ])}"))
+
+
 def _suspects(part: pa.RecordBatch, column: str) -> np.ndarray:
-    """Rows that can have any span or candidate: with a digit, an @ or a "dot" in letters."""
+    """Rows that can have any span or candidate: with a digit, an @, or an "at" in letters of any case between blanks or brackets."""
     flat, at, _ = string_parts(part.column(column))
-    sign = ((flat >= 48) & (flat <= 57)) | (flat == 64)
-    dot = (flat[3:] == 116) & (flat[2:-1] == 111) & (flat[1:-2] == 100) if len(flat) > 3 else np.zeros(0, bool)  # "dot"
-    total = np.concatenate([[0], np.cumsum(sign)])
-    total[4 : 4 + len(dot)] += np.cumsum(dot)
+    total = np.concatenate([[0], np.cumsum(((flat >= 48) & (flat <= 57)) | (flat == 64))])
+    if len(flat) > 3:
+        written = ((flat[1:-2] | 32) == 97) & ((flat[2:-1] | 32) == 116) & _OPEN[flat[:-3]] & _CLOSE[flat[3:]]
+        total[4:] += np.cumsum(written)
     return np.flatnonzero(total[at[1:]] > total[at[:-1]])
 
 
