@@ -78,10 +78,18 @@ def link_registry(silver: DataFrame, registry: DataFrame, codes: DataFrame, radi
 
 
 def link_trauma(places: DataFrame, centres: DataFrame, radius: float = 200.0, threshold: float = 0.70) -> DataFrame:
-    """Best name within the radius, nearer first on ties (places: lifeline_id, name; centres: institution_id, name)."""
-    pairs = spatial.radius_join(places, centres, radius, "lifeline_id", "institution_id")
-    simple = lambda df, key: df.select(key, text.normalize_name_simple(F.col("name")).alias("name"))
-    return fuzzy.spatial_name_match(pairs, simple(places, "lifeline_id"), simple(centres, "institution_id"), "lifeline_id", "institution_id", threshold, k=1_000_000, score=text.token_sort_ratio)
+    """Best name within the radius, nearer first on ties, then the smaller id (places: lifeline_id, name; centres: institution_id, name).
+
+    Of the centres of one name only the nearest can win at a point, so one is kept a point and name before names are compared, each two once."""
+    simple = lambda df, key, alias: df.where("lon IS NOT NULL AND lat IS NOT NULL").select(key, text.normalize_name_simple(F.col("name")).alias(alias), "lon", "lat")
+    a = simple(places, "lifeline_id", "_a").withColumnsRenamed({"lon": "_lon", "lat": "_lat"})
+    b = simple(centres, "institution_id", "_b").groupBy(F.col("lon").alias("_rlon"), F.col("lat").alias("_rlat"), "_b").agg(F.min("institution_id").alias("institution_id"))
+    pairs = spatial.near_points(a.select("_lon", "_lat").distinct(), b, radius)
+    nearest = pairs.groupBy("_lon", "_lat", "_b").agg(F.min(F.struct("distance_m", "institution_id")).alias("_n"))
+    both = nearest.join(a.select("_lon", "_lat", "_a").distinct(), ["_lon", "_lat"])
+    scored = both.select("_a", "_b").distinct().withColumn("score", text.token_sort_ratio(F.col("_a"), F.col("_b")) / 100).where(F.col("score") >= threshold)
+    best = both.join(scored, ["_a", "_b"]).groupBy("_lon", "_lat", "_a").agg(F.min(F.struct((-F.col("score")).alias("s"), "_n.distance_m", "_n.institution_id")).alias("_m"))
+    return a.join(best, ["_lon", "_lat", "_a"]).select("lifeline_id", "_m.institution_id", (-F.col("_m.s")).alias("score"), "_m.distance_m")
 
 
 def campus(rows: DataFrame, amenities: list[str], polygon_id: str = "lifeline_id") -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from poiforge.operators import spatial
+from poiforge.plans import conflation
 
 
 def nodes(plan):
@@ -38,3 +39,10 @@ def test_a_point_of_many_rows_has_several_arrays(spark, monkeypatch):
     a, b = sides(spark, 45, 2)
     rows = [(r.a, r.b) for r in spatial.radius_join(a, b, 50.0, "a", "b").collect()]
     assert len(rows) == len(set(rows)) and set(rows) == {(i, j) for i in range(45) for j in range(i % 2, 45, 2)}
+
+
+def test_one_centre_a_point_and_name_is_compared(spark):
+    a, b = sides(spark)
+    places, centres = a.select(F.col("a").cast("string").alias("lifeline_id"), F.lit("St. Mary").alias("name"), "lon", "lat"), b.select(F.col("b").alias("institution_id"), F.when(F.col("b") % 8 < 4, "Mary St").otherwise("Other").alias("name"), "lon", "lat")
+    rows, most = joined(conflation.link_trauma(places, centres, 50.0))
+    assert {(int(r.lifeline_id), r.institution_id) for r in rows} == {(i, i % 4) for i in range(400)} and most <= 400
