@@ -71,6 +71,12 @@ def test_nearest_equals_brute_force(spark, metric, lat):
     assert most < len(pairs) / 2
 
 
+def test_reasons_of_near_misses_are_of_the_nearest(spark):
+    a, b = sides(spark, 200, 100)
+    rows, most = joined(spatial.near_miss(a, b, 4000.0, "a", "b"))
+    assert len(rows) == 600 and {r.reason for r in rows} == {"within_radius"} and {7, 107} < {r.b for r in rows if r.a == 7} and most < 10_000
+
+
 def test_one_centre_a_point_and_name_is_compared(spark):
     a, b = sides(spark)
     places, centres = a.select(F.col("a").cast("string").alias("lifeline_id"), F.lit("St. Mary").alias("name"), "lon", "lat"), b.select(F.col("b").alias("institution_id"), F.when(F.col("b") % 8 < 4, "Mary St").otherwise("Other").alias("name"), "lon", "lat")
