@@ -98,3 +98,11 @@ def test_streets_of_a_block_are_compared_once(spark, top):
     queries = spark.createDataFrame([(i, "PR", "1", "5", ("main street", "oak stret")[i % 2]) for i in range(400)] + [(900, "PR", "2", "5", "main street"), (901, None, "1", "5", "main street")], f"q {kinds}")
     rows, most = joined(fuzzy.geocode(addresses, queries, "q", top=top))
     assert {(r.q, r.id, r.lon) for r in rows} == {(q, i, float(i)) for q in range(400) for i in [(0, 3, 6), (1, 4, 7)][q % 2][:top]} and most <= 400 * top
+
+
+def test_a_checked_geocode_compares_streets_once(spark):
+    kinds = "long, state_code string, postcode string, number string, street string, city string"
+    addresses = spark.createDataFrame([(i, "PR", "1", "5", "Main Street", "Ponce", 1.0, 2.0) for i in range(300)], f"id {kinds}, lon double, lat double")
+    queries = spark.createDataFrame([(i, "PR", "1", "5", "main street", ("Ponce", "Caguas")[i % 2]) for i in range(300)], f"q {kinds}")
+    rows, most = joined(fuzzy.geocode_checked(addresses, queries, "q"))
+    assert {(r.q, r.status, r.id) for r in rows} == {(q, "rejected" if q % 2 else "matched", None if q % 2 else 0) for q in range(300)} and most <= 300
