@@ -44,7 +44,7 @@ ROWS = 1 << 16  # arc rows that are looked at together
 TEXT = 3 << 18
 _POW = Powers(0x8CB92BA72F3D8DD7)
 _PHI = np.uint64(0x9E3779B97F4A7C15)
-_SLOTS = 1 << 20
+_SLOTS = 19  # bits
 
 
 class Pieces:
@@ -74,36 +74,41 @@ class Pieces:
         self.length = np.fromiter(map(len, out), np.int64, n)
         self.start = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(out), np.uint8)
-        # what only begins a piece has the id -2: longer strings from there on are looked up
-        texts |= dict.fromkeys({t[:i] for t in texts for i in range(1, len(t))} - texts.keys(), -2)
-        flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        total, down = prefix_hash(flat)
-        at = np.cumsum(sizes) - sizes
-        self.key = mix64((total[at + sizes] - total[at]) * down[at] + sizes.astype(np.uint64))
-        self.id = np.fromiter(texts.values(), np.int32, len(texts))
-        slot = (self.key & np.uint64(_SLOTS - 1)).astype(np.int64)
+        # a tree of the beginnings of pieces; node 0 is its root, and stands for none where a node is looked for
+        texts |= dict.fromkeys({t[:i] for t in texts for i in range(1, len(t))} - texts.keys(), -1)
+        node = {t: i for i, t in enumerate(["", *texts])}
+        self.id = np.array([-1, *texts.values()], np.int32)
+        up = np.fromiter((node[t[:-1]] for t in texts), np.int64, len(texts))
+        last = np.fromiter((ord(t[-1]) for t in texts), np.int64, len(texts))
+        self.edge = np.concatenate([[-1], up << 21 | last])  # into each node, from its parent by a character
+        self.more = np.zeros(len(node), bool)
+        self.more[up] = True
+        self.first = np.zeros(PLAIN + 1, np.int32)
+        self.first[last[up == 0]] = np.flatnonzero(up == 0) + 1
+        slot = self._slot(self.edge)
         self.ways: list[np.ndarray] = []
-        left = np.arange(len(slot))
+        left = np.flatnonzero(up) + 1
         while len(left):
-            way = np.full(_SLOTS, -1, np.int32)
+            way = np.zeros(1 << _SLOTS, np.int32)
             way[slot[left]] = left  # the last one of a slot stays, the others go to the next way
             self.ways.append(way)
             left = left[way[slot[left]] != left]
 
-    def find(self, key: np.ndarray) -> np.ndarray:
-        """Piece id of each hash, -1: none, -2: the beginning of a piece."""
-        slot = (key & np.uint64(_SLOTS - 1)).astype(np.int64)
-        found = np.full(len(key), -1, np.int32)
-        open_ = np.arange(len(key))
-        for way in self.ways:
-            at = way.take(slot.take(open_))
-            known = np.flatnonzero(at >= 0)
-            open_, at = open_.take(known), at.take(known)
-            same = self.key.take(at) == key.take(open_)
-            hit = np.flatnonzero(same)
-            found[open_.take(hit)] = self.id.take(at.take(hit))
-            open_ = open_.take(np.flatnonzero(~same))
+    @staticmethod
+    def _slot(edge: np.ndarray) -> np.ndarray:
+        return (edge.view(np.uint64) * _PHI >> np.uint64(64 - _SLOTS)).view(np.int64)
+
+    def step(self, node: np.ndarray, point: np.ndarray) -> np.ndarray:
+        """The node to which a character leads from each node, 0: none."""
+        edge = node.astype(np.int64) << 21 | point
+        slot = self._slot(edge)
+        found = self.ways[0].take(slot)
+        open_ = np.flatnonzero(self.edge.take(found) != edge)
+        for way in self.ways[1:]:
+            open_ = open_.take(np.flatnonzero(found.take(open_)))  # an empty slot ends the search
+            found[open_] = other = way.take(slot.take(open_))
+            open_ = open_.take(np.flatnonzero(self.edge.take(other) != edge.take(open_)))
+        found[open_] = 0
         return found
 
 
@@ -129,18 +134,28 @@ class Lattice:
         self.points = points[own]
         left = np.repeat(self.begin + n, n) - np.arange(len(own))
         self.ids = np.full((len(own), MOST), -1, np.int16 if pieces.none < 2**15 else np.int32)
-        at = np.arange(len(own))
+        self.far = np.zeros(len(own), bool)  # places with a long arc
+        arcs = np.zeros(len(own), np.int8)
+        code = self.points.astype(np.int64)
+        node = pieces.first.take(code)
+        at = np.flatnonzero(node)
+        node = node.take(at)
         for length in range(1, MOST + 1):
-            at = at.take(np.flatnonzero(left.take(at) >= length))
-            if not len(at):
+            self.ids.ravel()[at * MOST + (length - 1)] = found = pieces.id.take(node)
+            arcs[at] += found >= 0
+            if length > MOST // 2:
+                self.far[at] |= found >= 0
+            on = np.flatnonzero(pieces.more.take(node) & (left.take(at) > length))
+            if not len(on):
                 break
-            i = own.take(at)
-            found = pieces.find(mix64((total.take(i + length) - total.take(i)) * down.take(i) + np.uint64(length)))
-            self.ids[at, length - 1] = np.maximum(found, -1)
-            at = at.take(np.flatnonzero(found != -1))
-        self.far = (self.ids[:, MOST // 2 :] >= 0).any(1)  # places with a long arc
+            at = at.take(on)
+            node = pieces.step(node.take(on), code.take(at + length))
+            on = np.flatnonzero(node)
+            at, node = at.take(on), node.take(on)
         bare = np.flatnonzero(self.ids[:, 0] < 0)
+        self.rest = np.where(arcs + (self.ids[:, 0] < 0) > 1, np.nan, 0.0)  # of an arc that all but exhausts its place, the others together: 0 for a lone arc, nan for what is not yet known
         one = self.points[bare] < 128
+        self.bytes = not one.all()  # whether any character has no piece and more than one byte
         self.ids[bare, 0] = np.where(one, pieces.byte[np.minimum(self.points[bare], 255)], pieces.none)
         weight = pieces.weight.copy()
         weight[pieces.byte[:128]] = weight[pieces.none]
@@ -151,7 +166,9 @@ class Lattice:
         odd = np.flatnonzero(~((sums > 1e-280) & (sums < 1e280)))
         if len(odd):
             self._backward(weight, self.begin + n, n, odd[np.argsort(-n[odd], kind="stable")], True)
-        self.running = np.cumsum(self.prob[:, : MOST // 2], axis=1)  # once a place, however many walks come by
+        self.running = self.prob[:, : MOST // 2].copy()  # once a place, however many walks come by
+        for k in range(1, MOST // 2):
+            self.running[:, k] += self.running[:, k - 1]
 
     def _backward(self, weight: np.ndarray, end: np.ndarray, n: np.ndarray, order: np.ndarray, logs: bool) -> np.ndarray:
         """Fill the arcs' conditional probabilities of the words in `order` (longest first); the sums at their beginnings."""
@@ -160,6 +177,8 @@ class Lattice:
         scaled = weight if logs else np.exp(weight)
         grow = np.exp(2.0 * span)
         half = MOST // 2
+        row = np.dtype((np.void, 4 * half))
+        rows = self.prob[:, :half].view(row)[:, 0]
         for d in range(1, int(-longest[0] if len(longest) else 0) + 1):
             every = end[order[: np.searchsorted(longest, -d, "right")]] - d
             long = self.far[every] if d > half else np.zeros(len(every), bool)
@@ -183,7 +202,12 @@ class Lattice:
                     total = np.einsum("ij->i", x)  # row by row, whatever the other rows
                     beta[at] = total
                 x /= total[:, None]
-                self.prob[at, :k] = x
+                if k <= half:  # rows of a fixed size are moved as one value
+                    wide = np.zeros((len(at), half), np.float32)
+                    wide[:, :k] = x
+                    rows[at] = wide.view(row)[:, 0]
+                else:
+                    self.prob[at, :k] = x
         first = np.zeros(len(end))
         first[order] = beta[(end - n)[order]]
         return first
@@ -201,35 +225,43 @@ class Lattice:
 
         noise: a hash per walk, step: decisions already made in its word. Returns (walk, place, arc) in the order of walks."""
         active = np.flatnonzero(place < end)
-        place, step = place.copy(), step.copy()
-        logs: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        place, begun, step = place.copy(), step, step.copy()
+        logs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(active):
             p, s = place[active], step[active]
             u = uniform(noise[active] + s.astype(np.uint64) * _PHI)
             arc = np.concatenate([self._pick(p[i : i + ROWS], u[i : i + ROWS].astype(np.float32)) for i in range(0, len(p), ROWS)])
-            if (bad := np.flatnonzero((arc >= MOST) | (self.prob.take(p * MOST + np.minimum(arc, MOST - 1)) == 0))).size:  # rounding: the likeliest
+            if (bad := np.flatnonzero(arc >= MOST)).size:  # rounding: the likeliest
                 arc[bad] = self.prob[p[bad]].argmax(1)
-            logs.append((active, p, arc, s))
+            logs.append((active, p, arc))
             place[active] = p + arc + 1
             step[active] = s + 1
             active = active[place[active] < end[active]]
-        if not logs:
-            z = np.zeros(0, np.int64)
-            return z, z, z
-        walk, at, arc, nth = (np.concatenate(x) for x in zip(*logs, strict=True))
-        order = np.argsort(walk, kind="stable")  # steps of a walk are already in order
-        return walk[order], at[order], arc[order]
+        steps = step - begun
+        first = np.cumsum(steps) - steps
+        walk = np.repeat(np.arange(len(steps)), steps)
+        at, arcs = np.empty(len(walk), np.int64), np.empty(len(walk), np.int64)
+        for n, (active, p, arc) in enumerate(logs):
+            to = first[active] + n
+            at[to], arcs[to] = p, arc
+        return walk, at, arcs
 
     def log_probability(self, place: np.ndarray, arc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the arcs taken, and of all other arcs together."""
         p = self.prob.take(place * MOST + arc).astype(np.float64)
         rest = 1 - p
         near = np.flatnonzero(p > 0.9999)
-        for i in range(0, len(near), ROWS):
-            some = near[i : i + ROWS]
+        at = place.take(near)
+        new = near.take(np.flatnonzero(np.isnan(self.rest.take(at))))
+        last = np.empty(len(self.rest), np.int32)
+        last[place.take(new)] = np.arange(len(new))
+        new = new.take(np.flatnonzero(last.take(place.take(new)) == np.arange(len(new))))  # every place once
+        for i in range(0, len(new), ROWS):
+            some = new[i : i + ROWS]
             row = self.prob.take(place[some], axis=0).astype(np.float64)
             row[np.arange(len(some)), arc[some]] = 0
-            rest[some] = row.sum(1)
+            self.rest[place[some]] = row.sum(1)
+        rest[near] = self.rest.take(at)
         with np.errstate(divide="ignore"):
             return np.log(p), np.log(rest)
 
@@ -250,12 +282,21 @@ def truncated(noise: np.ndarray, location: np.ndarray, bound: np.ndarray) -> np.
 
 class Path:
     """A segmentation of one text: decisions (word number, place, arc), their conditional log-probabilities and those of the other arcs,
-    the log-probability before each, and the bounds of the regions that the decisions from its start on left behind."""
+    the log-probability before each, and the perturbed values of the regions that the decisions from its start on left behind. These values
+    are below `value` as truncation leaves them in their order; only the largest is truncated."""
 
-    def __init__(self, word, place, arc, own, other, before, regions):
-        self.word, self.place, self.arc, self.own, self.other, self.before, self.regions = word, place, arc, own, other, before, regions
+    def __init__(self, word, place, arc, own, other, before, regions, value):
+        self.word, self.place, self.arc, self.own, self.other, self.before, self.regions, self.value = word, place, arc, own, other, before, regions, value
         self.log_p = float(own.sum())
 
+    def best(self) -> tuple[float, int]:
+        """The bound of the best region, and its decision."""
+        if not len(self.regions):
+            return -np.inf, 0
+        i = int(self.regions.argmax())
+        free = self.regions[i]
+        return (-float(np.logaddexp(-self.value, -free)) if np.isfinite(free) else -np.inf), i
+
 
 def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: int) -> list[list[tuple[np.ndarray, float, float]]]:
     """Per text its samples, best first: (ids, log-probability, log inclusion score)."""
@@ -279,10 +320,10 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
     def noises(which: np.ndarray, turn: int) -> np.ndarray:
         return mix64(seeds[text_of[which]] + mix64((ordinal[which] << np.uint64(8)) + np.uint64(turn + 1)))
 
-    def scalar(t: int, *what: int) -> np.ndarray:
-        x = seeds[t : t + 1]
+    def hashes(of: np.ndarray, *what: int | np.ndarray) -> np.ndarray:
+        x = seeds[of]
         for w in what:
-            x = mix64(x + np.array([w + 1], np.uint64) * _PHI)
+            x = mix64(x + np.atleast_1d(w).astype(np.uint64) * _PHI + _PHI)
         return x
 
     def paths(owners: np.ndarray, cut: np.ndarray, turn: int, word, place, arc, own, other, value: np.ndarray, begun: np.ndarray) -> list[Path]:
@@ -292,10 +333,10 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
         total = np.concatenate([[0.0], np.cumsum(own)])
         before = total[:-1] - np.repeat(total[cut[:-1]], sizes)
         some = np.isfinite(other) & (nth >= np.repeat(begun, sizes))
-        bounds = np.full(len(own), -np.inf)
+        free = np.full(len(own), -np.inf)
         noise = gumbel(np.repeat(mix64(seeds[owners] + np.array([turn + 77], np.uint64) * _PHI), sizes)[some] + nth[some].astype(np.uint64) * _PHI)
-        bounds[some] = truncated(noise, (before + other)[some], np.repeat(value, sizes)[some])
-        return [Path(*(x[a:b] for x in (word, place, arc, own, other, before, bounds))) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        free[some] = (before + other)[some] + noise
+        return [Path(*(x[a:b] for x in (word, place, arc, own, other, before, free)), v) for a, b, v in zip(cut[:-1].tolist(), cut[1:].tolist(), value.tolist(), strict=True)]
 
     walks = np.arange(len(start))
     walk, place, arc = lattice.walk(noises(walks, 0), entry, stop, np.zeros(len(start), np.int64))
@@ -307,16 +348,21 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
     kappa = np.full(len(texts), -np.inf)
     for turn in range(1, samples + 1):
         opened: list[tuple[int, Path, int, int, float]] = []
+        chosen_regions: list[tuple[int, tuple]] = []
         for t, mine in enumerate(found):
             if len(mine) < turn:
                 continue
-            best = max(((float(p.regions[i]), k, i, frozenset([int(p.arc[i])])) for k, p in enumerate(mine) if len(p.regions) for i in [int(p.regions.argmax())]), default=(-np.inf, 0, 0, frozenset()))
+            (bound, i), k = max(((p.best(), k) for k, p in enumerate(mine)), key=lambda b: b[0][0])
+            best = (bound, k, i, frozenset(mine[k].arc[i : i + 1].tolist()))
             best = max([best, *rest[t]], key=lambda r: r[0])
             kappa[t] = best[0]
-            if turn == samples or not np.isfinite(best[0]):
-                continue
+            if turn < samples and np.isfinite(best[0]):
+                chosen_regions.append((t, best))
+        of, decision = np.array([t for t, _ in chosen_regions], np.int64), np.array([b[2] for _, b in chosen_regions], np.int64)
+        draws, falls = uniform(hashes(of, turn, 5, decision)).tolist(), gumbel(hashes(of, turn, 9, decision))
+        for n, (t, best) in enumerate(chosen_regions):
             value, k, i, out = best
-            parent = mine[k]
+            parent = found[t][k]
             if best in rest[t]:
                 rest[t].remove(best)
             else:
@@ -324,12 +370,12 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
             arcs = lattice.prob[parent.place[i]].astype(np.float64)
             arcs[list(out)] = 0
             running = np.cumsum(arcs)
-            chosen = int(np.searchsorted(running, uniform(scalar(t, turn, 5, i))[0] * running[-1], "right"))
+            chosen = int(np.searchsorted(running, draws[n] * running[-1], "right"))
             chosen = min(chosen, int(np.flatnonzero(arcs > 0)[-1]))
             arcs[chosen] = 0
             if arcs.sum() > 0:  # what is left at this decision
                 location = parent.before[i] + np.log(arcs.sum())
-                bound = truncated(gumbel(scalar(t, turn, 9, i)), np.array([location]), np.array([value]))[0]
+                bound = truncated(falls[n : n + 1], np.array([location]), np.array([value]))[0]
                 rest[t].append((float(bound), k, i, out | {chosen}))
             opened.append((t, parent, i, chosen, value))
         if turn == samples or not opened:
@@ -369,7 +415,7 @@ def sample_block(pieces: Pieces, texts: list[str], seeds: np.ndarray, samples: i
         mine = []
         for p in mine_:
             ids = lattice.ids.take(p.place * MOST + p.arc).astype(np.int32)
-            if (ids == pieces.none).any():
+            if lattice.bytes and (ids == pieces.none).any():
                 ids = _with_bytes(pieces, ids, lattice.points[p.place])
             mine.append((ids, p.log_p, log_inclusion(p.log_p, float(kappa[t]))))
         out.append(mine)

@@ -85,3 +85,25 @@ def test_decoding_is_exact_for_any_text(pieces):
     found = ps.sample_block(pieces, texts, np.arange(len(texts)), 2)
     for text, samples in zip(texts, found, strict=True):
         assert samples and all(ps.decode_block(pieces, [ids.astype(np.int64)]) == [text] for ids, _, _ in samples)
+
+
+def test_arcs_are_the_pieces_and_only_beginnings_of_pieces_are_looked_up(pieces, monkeypatch):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=ps.default_model())
+    known = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if np.isfinite(pieces.weight[i])}
+    begun = {t[:i] for t in known for i in range(1, len(t))}
+    asked, step = [], ps.Pieces.step
+    monkeypatch.setattr(ps.Pieces, "step", lambda self, node, point: asked.append(len(node)) or step(self, node, point))
+    words = ["▁internationalization", "▁the", "▁", "▁zqxzqx", "▁Überraschung", "▁龘\U0001f600a", "\n\tab"]
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    size = np.array([len(w) for w in words])
+    lattice = ps.Lattice(pieces, points, np.cumsum(size) - size, size)
+    lookups = 0
+    for n, w in enumerate(words):
+        for i in range(len(w)):
+            row = lattice.ids[lattice.begin[lattice.word[n]] + i]
+            want = [known.get(w[i:j], -1) if j <= len(w) else -1 for j in range(i + 1, i + ps.MOST + 1)]
+            assert row[1:].tolist() == want[1:] and (want[0] < 0 or row[0] == want[0])
+            lookups += sum(w[i : j - 1] in begun for j in range(i + 2, min(len(w), i + ps.MOST) + 1))
+    assert sum(asked) == lookups  # none at the places' first characters, none past a piece that begins no other
